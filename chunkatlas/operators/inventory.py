@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import top_folder
+from ..session import materialize
 
 # Marks of the matrix.
 YES, NO = "Yes", "No"
@@ -55,12 +56,10 @@ def collect_folders(spark: SparkSession, buckets: Sequence[str], prefix: str,
     for bucket in buckets:
         try:
             objects = lister(bucket).withColumn("bucket", F.lit(bucket))
-            # The distinct folders of one bucket; listing them now is what shows a failure.
-            rows = folders_by_bucket(objects, prefix).collect()
+            # Written now, since only running the listing shows a failure.
+            folders = materialize(folders_by_bucket(objects, prefix), "folders")
         except Exception as error:  # noqa: BLE001 - reported as a row
             errors.append((bucket, str(error)))
             continue
-        found = found.unionByName(spark.createDataFrame(
-            [(row["bucket"], row["collection"]) for row in rows],
-            "bucket STRING, collection STRING"))
+        found = found.unionByName(folders)
     return found, spark.createDataFrame(errors, "bucket STRING, error STRING")

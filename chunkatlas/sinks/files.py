@@ -17,6 +17,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    fs, at = _hadoop(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, at = _hadoop(spark, source)
+    to_fs, to = _hadoop(spark, target)
+    if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+            fs, at, to_fs, to, True, True, spark._jsc.hadoopConfiguration()):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def concat_parts(spark: SparkSession, parts: str, out: str, top: str, bottom: str) -> None:
     """Join the part files of a folder, in name order, into one file with text around them.
 

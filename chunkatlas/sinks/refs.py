@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import chunk_key
 from ..operators.rewrite import rewrite_refs
@@ -16,10 +17,12 @@ from ..schemas import Dataset
 from ..session import materialize, scratch_path, small_side
 from ..sources.refs import (ARRAY_META, ATTR_META, COORD_NAMES, DIM_NAMES, GROUP_META,
                             read_head_json, read_refs_json)
-from .files import concat_parts, exists
+from .files import concat_parts, exists, move, size_of
 
 #: Values of a loaded coordinate that share one inline chunk.
 COORD_CHUNK = 65_536
+#: Largest reference file that is joined into one; larger ones stay folders of parts.
+DOCUMENT_BYTES = 16 << 30
 
 
 def quoted(text: Column) -> Column:
@@ -33,7 +36,7 @@ def _object(pairs: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.array_sort(pairs), ","), F.lit("}"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _encode(values: pd.Series, spots: pd.Series, size: pd.Series, dtype: pd.Series) -> pd.Series:
     """The values of one chunk as base64 bytes; spots without a value stay zero."""
     out = []
@@ -194,12 +197,13 @@ def _entry(indent: bool) -> Column:
 
 
 def write_refs_json(source: Dataset | DataFrame, path: str, head: str = '{"version":1}',
-                    indent: bool = False) -> None:
-    """Write one reference file, entries sorted by key.
+                    indent: bool = False, max_bytes: int = DOCUMENT_BYTES) -> bool:
+    """Write one reference file, entries sorted by key; return whether it is one file.
 
     The entries are sorted and written as parts by all tasks, and the parts are then joined on the
-    file system; no row passes through the driver's Python. Without ``indent`` each entry is one
-    line, and the file can be read back in parallel (``layout="lines"``).
+    file system. Without ``indent`` each entry is one line (``layout="lines"``). Parts of more than
+    ``max_bytes`` are not joined: ``path`` is then a folder of the same text in many files, which
+    the same layout reads.
     """
     refs = dataset_to_refs(source) if isinstance(source, Dataset) else source
     spark = refs.sparkSession
@@ -208,8 +212,12 @@ def write_refs_json(source: Dataset | DataFrame, path: str, head: str = '{"versi
     parts = scratch_path(spark, "parts")
     (entries.withColumn("_comma", F.when(F.col("key") == last, "").otherwise(","))
      .sort("key").select(F.concat("text", "_comma").alias("value")).write.text(parts))
+    if size_of(spark, parts) > max_bytes:
+        move(spark, parts, path)
+        return False
     top, bottom = _frame(spark, head, indent)
     concat_parts(spark, parts, path, top, bottom)
+    return True
 
 
 def _frame(spark: SparkSession, head: str, indent: bool) -> tuple[str, str]:
@@ -245,22 +253,25 @@ def write_refs_parquet(ds: Dataset, path: str, mode: str = "errorifexists") -> N
 
 def convert_refs(spark: SparkSession, src: str, dst: str | None = None, *,
                  buckets: Sequence[str], hosts: Mapping[str, str], default_host: str,
-                 overwrite: bool = False) -> str:
+                 overwrite: bool = False, layout: str = "document",
+                 head: str = '{"version":1}') -> str:
     """Rewrite the URLs of a reference file to HTTPS, with two-space indentation.
 
     Other top-level keys stay, and so does a file without ``refs``. Writing over ``src`` needs
-    ``overwrite=True``.
+    ``overwrite=True``. With another layout than ``document`` the file is read in parallel, and
+    ``head`` gives the other top-level keys.
     """
     out = dst or src
     if not overwrite and exists(spark, out):
         raise FileExistsError(f"{out} exists; pass overwrite=True to replace it")
-    head = read_head_json(spark, src)
+    if layout == "document":
+        head = read_head_json(spark, src)
     if head is None:
         whole = spark.read.text(src, wholetext=True)
         parts = scratch_path(spark, "parts")
         whole.write.text(parts)
         concat_parts(spark, parts, out, "", "")
         return out
-    refs = rewrite_refs(read_refs_json(spark, src), buckets, hosts, default_host)
+    refs = rewrite_refs(read_refs_json(spark, src, layout), buckets, hosts, default_host)
     write_refs_json(refs, out, head=head, indent=True)
     return out

@@ -11,6 +11,8 @@ from ..session import small_side
 # Names of metadata entries and attributes in array stores.
 ARRAY_META, ATTR_META, GROUP_META = ".zarray", ".zattrs", ".zgroup"
 DIM_NAMES, COORD_NAMES = "_ARRAY_DIMENSIONS", "coordinates"
+#: What stands before each entry of an indented reference file, up to its key.
+ENTRY_BREAK = '\n    "'
 #: A chunk key ends in its indices.
 CHUNK_KEY = r"^(.*?)/([0-9]+(?:[./][0-9]+)*)$"
 
@@ -19,14 +21,22 @@ def read_refs_json(spark: SparkSession, path: str | list[str],
                    layout: str = "document") -> DataFrame:
     """Rows of the ``refs`` object of reference files.
 
-    ``document`` reads any JSON, one file per row and so below 2 GB each. ``lines`` reads the files
-    that ``write_refs_json`` makes without indentation: one entry per line, which Spark splits
-    between tasks at any size.
+    ``document`` reads any JSON, one file per row and so below 2 GB each. ``lines`` and
+    ``indented`` read what ``write_refs_json`` makes without and with indentation; there Spark
+    splits a file of any size between tasks.
     """
+    entry = F.col("value")
     if layout == "lines":
-        line = F.regexp_replace(F.col("value"), ",$", "")
-        entries = spark.read.text(path).where(F.col("value").startswith('"')).select(
-            F.explode(F.from_json(F.concat(F.lit("{"), line, F.lit("}")), "map<string,variant>")))
+        lines = spark.read.text(path).where(entry.startswith('"'))
+        entries = _single_entries(lines.withColumn("value", F.regexp_replace(entry, ",$", "")))
+    elif layout == "indented":
+        # A JSON string holds no raw line break, so this separator is found between entries only.
+        pieces = spark.read.option("lineSep", ENTRY_BREAK).text(path)
+        pieces = pieces.where(~entry.startswith("{\n"))
+        entries = _single_entries(pieces.withColumn("value", F.concat(
+            F.lit('"'), F.regexp_replace(entry, r"(,|\n  \}\n\})$", ""))))
+    elif layout != "document":
+        raise ValueError(f"layout: {layout!r}")
     else:
         entries = spark.sql(
             "SELECT key, e.value FROM {docs}, LATERAL variant_explode("
@@ -34,6 +44,12 @@ def read_refs_json(spark: SparkSession, path: str | list[str],
     return entries.select("key", *_split_value(F.col("value")))
 
 
+def _single_entries(lines: DataFrame) -> DataFrame:
+    """Key and value of rows that each hold one ``"key": value``."""
+    return lines.select(F.explode(F.from_json(
+        F.concat(F.lit("{"), "value", F.lit("}")), "map<string,variant>")))
+
+
 def _docs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("doc"))
 
