@@ -49,7 +49,7 @@ def parse_day(value: Column | str | dt.date) -> Column:
             return F.lit(dt.date(int(m[1]), int(m[2]), int(m[3])))
         raise ValueError(f"not a date: {value!r}")
     parsed = F.coalesce(F.try_to_timestamp(value, F.lit("M-d-yyyy")),
-                        F.try_to_timestamp(value, F.lit("yyyy-MM-dd"))).cast("date")
+                        F.try_to_timestamp(value, F.lit("yyyy-M-d"))).cast("date")
     return F.when(is_valid_date(value), F.coalesce(
         parsed, F.raise_error(F.concat(F.lit("not a date: "), value)).cast("date")))
 

@@ -17,7 +17,7 @@ from ..functions import basename, epoch_seconds, granule_fields, link
 from ..schemas import Dataset, Manifest
 from ..session import materialize, small_side
 from .attrs import merge_attrs
-from .ordering import exclusive_sum, order_by_start, with_ordinal, with_ordinal_sorted
+from .ordering import order_by_start, with_ordinal, with_ordinal_sorted
 from .quality import compat_gate, reference_variables
 
 
@@ -66,19 +66,20 @@ def axis_table(granules: DataFrame, mode: Mode, sizes: DataFrame | None = None,
     """
     if "begin" not in granules.columns:
         granules = granule_fields(granules)
-    columns = [F.col("granule_id"), *_axis_columns(mode)]
     order = order_by_start() if mode.by_start else [*prefix, rank]
-    rows = granules.select(*columns, *[c for c in order if c not in ("begin",)],
-                           *(["begin"] if mode.by_start else []))
-    rows = (with_ordinal_sorted(rows, order, base=base_ordinal) if mode.by_start
-            else with_ordinal(rows, rank, prefix, base=base_ordinal))
-    rows = rows.drop(*order)
-    if mode.new_axis:
-        return rows.withColumns({"axis_offset": F.col("ordinal") - base_ordinal + base_offset,
-                                 "axis_size": F.lit(1).cast("bigint")})
-    rows = rows.join(sizes, "granule_id", "left").withColumn(
-        "axis_size", F.coalesce("axis_size", F.lit(0)).cast("bigint"))
-    return exclusive_sum(rows, "axis_size", "axis_offset", base=base_offset)
+    rows = granules.select("granule_id", *_axis_columns(mode), *order)
+    if mode.by_start:
+        rows = with_ordinal_sorted(rows, order, base=base_ordinal)
+    elif mode.new_axis:
+        rows = with_ordinal(rows, rank, prefix, base=base_ordinal)
+    else:
+        rows = rows.join(sizes, "granule_id", "left").withColumn(
+            "axis_size", F.coalesce("axis_size", F.lit(0)).cast("bigint"))
+        return with_ordinal(rows, rank, prefix, base=base_ordinal, sums={
+            "axis_offset": ("axis_size", base_offset)}).drop(*order)
+    return rows.drop(*order).withColumns({
+        "axis_offset": F.col("ordinal") - base_ordinal + base_offset,
+        "axis_size": F.lit(1).cast("bigint")})
 
 
 def _axis_columns(mode: Mode) -> list[Column]:
@@ -93,8 +94,8 @@ def _axis_columns(mode: Mode) -> list[Column]:
 
 
 def axis_sizes(dims: DataFrame, axis: str) -> DataFrame:
-    return dims.where(F.col("dim") == axis).groupBy("granule_id").agg(
-        F.max("size").alias("axis_size"))
+    """Length of the axis per granule, which has each of its dimensions once."""
+    return dims.where(F.col("dim") == axis).select("granule_id", F.col("size").alias("axis_size"))
 
 
 def roles(reference: DataFrame, mode: Mode) -> DataFrame:

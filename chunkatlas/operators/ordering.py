@@ -7,7 +7,7 @@ shorter table of block totals.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,22 +28,34 @@ def _before(value: Column, window: Window) -> Column:
 
 
 def with_ordinal(df: DataFrame, rank: str = "search_rank", prefix: Sequence[str] = (),
-                 out: str = "ordinal", base: int = 0, block_bits: int = BLOCK_BITS) -> DataFrame:
+                 out: str = "ordinal", base: int = 0,
+                 sums: Mapping[str, tuple[str, int]] | None = None,
+                 block_bits: int = BLOCK_BITS) -> DataFrame:
     """Number rows 0..n-1 in the order of ``(*prefix, rank)``.
 
     ``rank`` is a unique integer position (with gaps allowed) within each value of ``prefix``, and
     ``prefix`` is a short list of non-null columns with few values, such as the search number.
+    ``sums`` maps an output column to a value column and a start: the start plus the sum of the
+    value over all earlier rows.
+
     Blocks are cut from the rank itself, so no sampling pass is needed and the plan stays lazy: one
-    exchange by block serves both the join and the window.
+    exchange by block serves the join with the block totals and the window.
     """
+    sums = dict(sums or {})
     keys = [*prefix, "_block"]
     blocked = df.withColumn("_block", F.shiftright(F.col(rank), block_bits))
-    starts = (blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-              .select(*keys, _before(F.col("_n"), Window.orderBy(*keys)).alias("_start")))
-    in_block = F.row_number().over(Window.partitionBy(*keys).orderBy(rank))
-    return (blocked.join(starts, keys)
-            .withColumn(out, F.col("_start") + in_block.cast("bigint") + F.lit(base - 1))
-            .drop("_block", "_start"))
+    totals = blocked.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(value).alias(f"_sum_{name}") for name, (value, _) in sums.items()])
+    over_blocks, in_block = Window.orderBy(*keys), Window.partitionBy(*keys).orderBy(rank)
+    starts = totals.select(
+        *keys, _before(F.col("_n"), over_blocks).alias("_start"),
+        *[_before(F.col(f"_sum_{name}"), over_blocks).alias(f"_start_{name}") for name in sums])
+    columns = {out: F.col("_start") + F.row_number().over(in_block).cast("bigint")
+               + F.lit(base - 1)}
+    for name, (value, start) in sums.items():
+        columns[name] = F.col(f"_start_{name}") + _before(F.col(value), in_block) + F.lit(start)
+    return blocked.join(starts, keys).withColumns(columns).select(*df.columns, *columns)
 
 
 def with_ordinal_sorted(df: DataFrame, order: Sequence[str | Column], out: str = "ordinal",
@@ -66,21 +78,6 @@ def with_ordinal_sorted(df: DataFrame, order: Sequence[str | Column], out: str =
             .drop("_at", "_part", "_start"))
 
 
-def exclusive_sum(df: DataFrame, value: str, out: str, ordinal: str = "ordinal",
-                  by: Sequence[str] = (), base: int = 0,
-                  block_bits: int = BLOCK_BITS) -> DataFrame:
-    """Sum of ``value`` over all rows with a lower ordinal (within ``by``)."""
-    keys = [*by, "_block"]
-    blocked = df.withColumn("_block", F.shiftright(F.col(ordinal), block_bits))
-    over_blocks = Window.partitionBy(*by).orderBy("_block") if by else Window.orderBy("_block")
-    starts = (blocked.groupBy(*keys).agg(F.sum(value).alias("_sum"))
-              .select(*keys, _before(F.col("_sum"), over_blocks).alias("_start")))
-    in_block = _before(F.col(value), Window.partitionBy(*keys).orderBy(ordinal))
-    return (blocked.join(starts, keys)
-            .withColumn(out, F.col("_start") + in_block + F.lit(base))
-            .drop("_block", "_start"))
-
-
 def order_by_start() -> list[str]:
     """Sort columns for start time; the raw text keeps digits that a timestamp drops."""
     return ["begin", "begin_raw", "search_rank"]

@@ -45,9 +45,9 @@ def reference_variables(variables: DataFrame, granules: DataFrame,
 
 def _against(variables: DataFrame, reference: DataFrame, how: str) -> DataFrame:
     """Each variable row beside the row of the same variable in granule 0, as struct ``ref``."""
-    ref = small_side(reference.select("var", F.struct(
-        "dims", "shape", "chunk_shape", "dtype", "codec_json").alias("ref")))
-    return variables.join(ref, "var", how)
+    ref = reference.select("var", F.struct(
+        "dims", "shape", "chunk_shape", "dtype", "codec_json").alias("ref"))
+    return variables.join(small_side(ref), "var", how)
 
 
 def var_mismatches(variables: DataFrame, granules: DataFrame,
@@ -77,14 +77,9 @@ def var_mismatches(variables: DataFrame, granules: DataFrame,
     return differing.unionByName(missing)
 
 
-def _fixed(shape: Column, dims: Column, axis: str | None) -> Column:
-    """Sizes of the dimensions that must agree: all but the axis to combine along."""
-    sizes = F.arrays_zip(dims.alias("d"), shape.alias("s"))
-    return F.filter(sizes, lambda one: ~one["d"].eqNullSafe(F.lit(axis)))
-
-
-def ragged(size: Column, chunk: Column) -> Column:
-    return size % chunk != 0
+def _without(shape: str, at: Column) -> Column:
+    """The sizes but for the one at position ``at``, which counts from 1."""
+    return F.concat(F.slice(shape, F.lit(1), at - 1), F.slice(shape, at + 1, F.size(shape)))
 
 
 def compat_report(manifest: Manifest, granules: DataFrame, axis: str | None = None,
@@ -99,18 +94,21 @@ def compat_report(manifest: Manifest, granules: DataFrame, axis: str | None = No
         reference = reference_variables(manifest.variables, granules, order)
     pairs = _against(manifest.variables, reference, "left")
     known = F.col("ref").isNotNull()
-    equal = (F.col("dims").eqNullSafe(F.col("ref.dims"))
-             & F.col("dtype").eqNullSafe(F.col("ref.dtype"))
+    same_shape = F.col("shape") == F.col("ref.shape")
+    partial = F.lit(False)
+    if axis is not None:
+        at = F.array_position("dims", F.lit(axis)).cast("int")
+        along, chunk = F.get("shape", at - 1), F.get("chunk_shape", at - 1)
+        # The length along the axis may differ; only then are the other sizes compared one by one.
+        same_shape = F.when(same_shape, True).when(at > 0, _without("shape", at).eqNullSafe(
+            _without("ref.shape", at))).otherwise(False)
+        partial = (at > 0) & ~F.coalesce("loadable", F.lit(False)) & (along % chunk != 0)
+    equal = ((F.col("dims") == F.col("ref.dims")) & (F.col("dtype") == F.col("ref.dtype"))
              & F.col("codec_json").eqNullSafe(F.col("ref.codec_json"))
-             & F.col("chunk_shape").eqNullSafe(F.col("ref.chunk_shape"))
-             & _fixed(F.col("shape"), F.col("dims"), axis).eqNullSafe(
-                 _fixed(F.col("ref.shape"), F.col("ref.dims"), axis)))
-    at = F.array_position("dims", F.lit(axis)).cast("int") - 1
-    partial = F.when((at >= 0) & ~F.coalesce("loadable", F.lit(False)),
-                     ragged(F.get("shape", at), F.get("chunk_shape", at)))
+             & (F.col("chunk_shape") == F.col("ref.chunk_shape")) & same_shape)
     per_granule = pairs.groupBy("granule_id").agg(
         F.count_if(known).alias("n_known"), F.count_if(~known).alias("n_extra"),
-        F.count_if(known & ~equal).alias("n_different"),
+        F.count_if(known & ~F.coalesce(equal, F.lit(False))).alias("n_different"),
         F.count_if(F.coalesce(partial, F.lit(False))).alias("n_ragged"))
     needed = reference.agg(F.count(F.lit(1))).scalar()
     last = granules.agg(F.max_by("granule_id", F.struct(*order))).scalar()

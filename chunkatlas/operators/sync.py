@@ -133,10 +133,12 @@ def stamped_objects(plan: DataFrame, bucket: str) -> DataFrame:
 def apply_plan(plan: DataFrame, request: SyncRequest, partitions: int | None = None) -> DataFrame:
     """Copy and delete what the plan says, in parallel; one row per key with what happened.
 
-    A failure is a row, not the end of the job. Deletes run in batches of 1000 keys. Both actions
-    can be repeated, so a task that is run again does no harm; the result is written once.
+    A failure is a row, not the end of the job. Deletes run in batches of 1000 keys. The plan is
+    fixed before anything changes. Both actions can be repeated, so a task that is run again does
+    no harm, and the result is written once.
     """
     spark = plan.sparkSession
+    plan = materialize(plan.select("key", "source_key", "action"), "plan")
     tasks = partitions or spark.sparkContext.defaultParallelism
     work = plan.where(F.col("action") == "copy").select("key", "source_key", "action")
     copies = work.withColumn("batch_no", F.lit(None).cast("bigint")).repartition(tasks)

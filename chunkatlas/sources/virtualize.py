@@ -177,16 +177,19 @@ def zarr2_manifest(stores: DataFrame, listing: DataFrame, meta: DataFrame) -> Ma
     meta (granule_id, var, name, text).
 
     A listing table, such as a bucket inventory, keeps the driver from listing the objects. The
-    store of an object is found by an equi-join on each of its parent folders.
+    store of an object is found by an equi-join on its parent folders, at the depths stores are at.
     """
     spark = stores.sparkSession
     plain = lambda c: F.regexp_replace(F.regexp_replace(c, "^file:/*", "/"), "/+$", "")
-    roots = small_side(stores.select("granule_id", plain(F.col("path")).alias("root")))
+    roots = stores.select("granule_id", plain(F.col("path")).alias("root"))
+    # A handful of numbers, however many stores there are.
+    depths = sorted(row[0] for row in roots.select(
+        F.size(F.split("root", "/"))).distinct().collect()) or [0]
+    roots = small_side(roots)
 
     def inside(files: DataFrame) -> DataFrame:
         parts = F.split(plain(F.col("path")), "/")
-        depths = F.sequence(F.lit(1), F.size(parts) - 1)
-        parents = F.transform(depths, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+        parents = F.array(*[F.array_join(F.slice(parts, F.lit(1), F.lit(n)), "/") for n in depths])
         return files.withColumn("root", F.explode(parents)).join(roots, "root").withColumn(
             "key", F.substr(plain(F.col("path")), F.length("root") + 2))
 
