@@ -89,11 +89,14 @@ def compat_report(manifest: Manifest, granules: DataFrame, axis: str | None = No
 
     All variables of both must be the same, with equal dims, dtype, codec, chunk shape and sizes
     apart from ``axis``. On an existing axis only the last granule may end in a partial chunk.
+    Codec and chunks of coordinates kept as values may differ.
     """
     if reference is None:
         reference = reference_variables(manifest.variables, granules, order)
     pairs = _against(manifest.variables, reference, "left")
     known = F.col("ref").isNotNull()
+    # How a coordinate was stored does not matter once its values are held.
+    held = F.coalesce("loadable", F.lit(False))
     same_shape = F.col("shape") == F.col("ref.shape")
     partial = F.lit(False)
     if axis is not None:
@@ -102,10 +105,10 @@ def compat_report(manifest: Manifest, granules: DataFrame, axis: str | None = No
         # The length along the axis may differ; only then are the other sizes compared one by one.
         same_shape = F.when(same_shape, True).when(at > 0, _without("shape", at).eqNullSafe(
             _without("ref.shape", at))).otherwise(False)
-        partial = (at > 0) & ~F.coalesce("loadable", F.lit(False)) & (along % chunk != 0)
+        partial = (at > 0) & ~held & (along % chunk != 0)
     equal = ((F.col("dims") == F.col("ref.dims")) & (F.col("dtype") == F.col("ref.dtype"))
-             & F.col("codec_json").eqNullSafe(F.col("ref.codec_json"))
-             & (F.col("chunk_shape") == F.col("ref.chunk_shape")) & same_shape)
+             & (held | (F.col("codec_json").eqNullSafe(F.col("ref.codec_json"))
+                        & (F.col("chunk_shape") == F.col("ref.chunk_shape")))) & same_shape)
     per_granule = pairs.groupBy("granule_id").agg(
         F.count_if(known).alias("n_known"), F.count_if(~known).alias("n_extra"),
         F.count_if(known & ~F.coalesce(equal, F.lit(False))).alias("n_different"),

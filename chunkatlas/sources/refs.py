@@ -32,7 +32,9 @@ def read_refs_json(spark: SparkSession, path: str | list[str],
     elif layout == "indented":
         # A JSON string holds no raw line break, so this separator is found between entries only.
         pieces = spark.read.option("lineSep", ENTRY_BREAK).text(path)
-        pieces = pieces.where(~entry.startswith("{\n"))
+        # A part of a folder begins with an entry instead of the outer braces.
+        pieces = pieces.where(~entry.startswith("{\n")).withColumn(
+            "value", F.regexp_replace(entry, '^    "', ""))
         entries = _single_entries(pieces.withColumn("value", F.concat(
             F.lit('"'), F.regexp_replace(entry, r"(,|\n  \}\n\})$", ""))))
     elif layout != "document":

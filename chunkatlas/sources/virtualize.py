@@ -165,10 +165,11 @@ def zarr2_manifest_of(spark: SparkSession, stores: DataFrame | Sequence[str],
     errors = facts.where(F.col("kind") == "errors").select(
         "granule_id", "path", F.get_json_object("fact", "$.error").alias("error"))
     # Stores that were read; the list is as long as the list of granules that the user names.
-    good = stores.join(errors, "granule_id", "left_anti")
+    good = stores.select("granule_id", "path").join(errors, "granule_id", "left_anti")
     roots = [row["path"] for row in good.select("path").collect()]
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(roots).select("path", "length"))
+    # Written, since every scan of the listing asks the store for each object again.
+    listing = materialize(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                          .load(roots).select("path", "length"), "listing")
     return zarr2_manifest(good, listing, meta).with_(errors=errors)
 
 
