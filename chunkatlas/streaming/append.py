@@ -53,16 +53,15 @@ class CombinedStore:
                 raise
             return self.spark.createDataFrame([], _COMMITS)
 
-    def _table(self, name: str, before: int | None = None) -> DataFrame:
-        """Rows of finished batches. The batch numbers become a filter on the folders."""
-        done = self._done(before)
-        return self.spark.read.option("basePath", self._path(name)).parquet(
-            *[self._path(name, b) for b in done]).drop("batch_id")
+    def _filled(self, before: int | None = None) -> list[int]:
+        """Numbers of the finished batches that brought granules."""
+        full = self.commits().where("granules > 0")
+        if before is not None:
+            full = full.where(F.col("batch_id") < before)
+        return sorted(row["batch_id"] for row in full.select("batch_id").collect())
 
-    def _done(self, before: int | None = None) -> list[int]:
-        commits = self.commits() if before is None else self.commits().where(
-            F.col("batch_id") < before)
-        return sorted(row["batch_id"] for row in commits.select("batch_id").collect())
+    def _table(self, name: str, batches: Sequence[int]) -> DataFrame:
+        return self.spark.read.parquet(*[self._path(name, b) for b in batches])
 
     def append(self, manifest: Manifest, granules: DataFrame, batch_id: int) -> int:
         """Combine new granules behind the stored ones; return how many were new."""
@@ -82,8 +81,8 @@ class CombinedStore:
         if first_batch:
             reference = reference_variables(manifest.variables, new, order)
             self._write(reference, "reference", batch_id)
-        reference = self.spark.read.parquet(self._path(
-            "reference", batch_id if first_batch else self._reference_batch()))
+        reference = self._table(
+            "reference", [batch_id] if first_batch else self._filled(batch_id)[:1])
         if self.gate:
             compat_gate(self._only(manifest, new), new,
                         None if self.mode.new_axis else self.mode.axis, order,
@@ -118,7 +117,7 @@ class CombinedStore:
         rows = rows if "begin" in columns else granule_fields(rows)
         if first_batch:
             return rows
-        stored = self._table("axis", batch_id).select("granule_id")
+        stored = self._table("axis", self._filled(batch_id)).select("granule_id")
         # The arrivals are few beside the store: the store is scanned, not shuffled.
         ids = rows.select("granule_id")
         if fits(ids):
@@ -130,9 +129,6 @@ class CombinedStore:
         ids = small_side(granules.select("granule_id"))
         return manifest.with_(variables=manifest.variables.join(ids, "granule_id", "left_semi"))
 
-    def _reference_batch(self) -> int:
-        return self.commits().where("granules > 0").agg(F.min("batch_id")).first()[0]
-
     def _write(self, table: DataFrame, name: str, batch_id: int) -> None:
         table.write.mode("overwrite").parquet(self._path(name, batch_id))
 
@@ -143,14 +139,14 @@ class CombinedStore:
 
     def read(self) -> Dataset:
         """The dataset as of the last finished batch."""
-        full = self.commits().where("granules > 0")
-        done = sorted(row["batch_id"] for row in full.select("batch_id").collect())
+        done = self._filled()
         if not done:
             raise ValueError(f"nothing stored in {self.root}")
 
         def table(name: str) -> DataFrame:
-            return self.spark.read.parquet(*[self._path(name, b) for b in done])
+            return self._table(name, done)
 
+        full = self.commits().where(F.col("batch_id").isin(done))
         length = full.agg(F.sum("axis_size")).scalar()
         axis = self.mode.axis
         reference = self.spark.read.parquet(self._path("reference", done[0]))

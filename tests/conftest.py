@@ -16,7 +16,8 @@ from chunkatlas.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", **{
-        "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
+        "spark.master": "local[8]", "spark.sql.shuffle.partitions": "4",
+        "spark.default.parallelism": "2", "spark.sql.leafNodeDefaultParallelism": "2",
         "spark.driver.memory": "8g", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
