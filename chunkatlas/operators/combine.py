@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import basename, epoch_seconds, granule_fields, link
 from ..schemas import Dataset, Manifest
-from ..session import materialize, small_side
+from ..session import local_frame, materialize, small_side
 from .attrs import merge_attrs
 from .ordering import order_by_start, with_ordinal, with_ordinal_sorted
 from .quality import compat_gate, reference_variables
@@ -235,8 +235,7 @@ def with_axis_attrs(attrs: DataFrame, mode: Mode) -> DataFrame:
         rows = axis_attrs("orbit", MICRO_ATTRS)
     else:
         return attrs
-    added = attrs.sparkSession.createDataFrame(
-        rows, "scope STRING, key STRING, value_json STRING")
+    added = local_frame(attrs.sparkSession, rows, "scope STRING, key STRING, value_json STRING")
     return attrs.unionByName(added)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import top_folder
-from ..session import materialize
+from ..session import local_frame, materialize
 
 # Marks of the matrix.
 YES, NO = "Yes", "No"
@@ -51,7 +51,7 @@ def collect_folders(spark: SparkSession, buckets: Sequence[str], prefix: str,
 
     A failure ends only that bucket's listing.
     """
-    found = spark.createDataFrame([], "bucket STRING, collection STRING")
+    found = local_frame(spark, [], "bucket STRING, collection STRING")
     errors = []
     for bucket in buckets:
         try:
@@ -62,4 +62,4 @@ def collect_folders(spark: SparkSession, buckets: Sequence[str], prefix: str,
             errors.append((bucket, str(error)))
             continue
         found = found.unionByName(folders)
-    return found, spark.createDataFrame(errors, "bucket STRING, error STRING")
+    return found, local_frame(spark, errors, "bucket STRING, error STRING")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import COORD_VALUES, Manifest
+from ..session import local_frame
 
 HOSTS = {"b-src1": "h-one", "b-src2": "h-two"}
 DEFAULT_HOST = "h-all"
@@ -118,7 +119,7 @@ def manifest_existing(spark: SparkSession, sf_dir: str) -> Manifest:
         ("m_total", "y", four, four, False), ("lat", "y", four, four, True)])
     chunks = _line_chunks(lines).unionByName(_order_chunks(orders, ["m_total", "lat"]))
     return Manifest(dims, variables, order_attrs(orders), chunks,
-                    spark.createDataFrame([], COORD_VALUES))
+                    local_frame(spark, [], COORD_VALUES))
 
 
 def manifest_new(spark: SparkSession, sf_dir: str) -> Manifest:
@@ -135,7 +136,7 @@ def manifest_new(spark: SparkSession, sf_dir: str) -> Manifest:
         ids.select("granule_id", F.lit("y").alias("dim"), F.lit(4).cast("bigint").alias("size")))
     chunks = _line_chunks(lines).unionByName(_order_chunks(orders, ["lat", "crs"]))
     return Manifest(dims, variables, order_attrs(orders), chunks,
-                    spark.createDataFrame([], COORD_VALUES))
+                    local_frame(spark, [], COORD_VALUES))
 
 
 def part_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -161,7 +162,7 @@ def part_variables(spark: SparkSession, sf_dir: str) -> tuple[Manifest, DataFram
         F.lit(False).alias("is_coord"), F.lit(False).alias("loadable"))
     found = part.groupBy("p_size").agg(F.first("p_size").cast("bigint").alias("search_rank")
                                        ).select(granule_id("p_size"), "search_rank")
-    empty = spark.createDataFrame([], COORD_VALUES)
+    empty = local_frame(spark, [], COORD_VALUES)
     return Manifest(empty, variables, empty, empty, empty), found
 
 

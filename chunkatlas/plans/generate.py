@@ -13,7 +13,7 @@ from ..functions.dates import temporal_range
 from ..operators.attrs import require_attrs
 from ..operators.combine import choose_mode, combine
 from ..operators.quality import dim_conflicts, var_mismatches
-from ..session import materialize
+from ..session import local_frame, materialize
 from ..sinks.refs import convert_refs, write_refs_json, write_refs_parquet
 from ..sinks.reports import publish
 from ..sources.arrays import load_coords
@@ -65,7 +65,7 @@ def run(spark: SparkSession, granules: DataFrame, config: RunConfig,
     found = materialize(found, "found")
     state = guard(found, config.links).first()
     if state["status"] != "ok":
-        return spark.createDataFrame([(state["status"], state["reason"], state["granules"],
+        return local_frame(spark, [(state["status"], state["reason"], state["granules"],
                                        state["links"], override, None, None, 0, 0)], STATUS)
 
     coll = F.lit(config.collection)
@@ -105,7 +105,7 @@ def run(spark: SparkSession, granules: DataFrame, config: RunConfig,
     convert_refs(spark, s3_file, https_file, buckets=config.buckets, hosts=config.hosts,
                  default_host=config.default_host, overwrite=True, layout="lines")
     publish(spark, config.out_dir, config.dests, target)
-    return spark.createDataFrame([("ok", None, state["granules"], state["links"], override,
+    return local_frame(spark, [("ok", None, state["granules"], state["links"], override,
                                    s3_file, https_file, *counts)], STATUS)
 
 

@@ -19,7 +19,7 @@ from ..operators.quality import compat_gate, dim_conflicts, var_mismatches
 from ..operators.rewrite import rewrite_refs, urls_to_https
 from ..operators.sync import SyncRequest, apply_plan, sync_plan, sync_status
 from ..schemas import Dataset, Manifest
-from ..session import materialize, prepare, scratch_path
+from ..session import local_frame, materialize, prepare, scratch_path
 from ..sinks.refs import convert_refs, write_refs_json, write_refs_parquet
 from ..sinks.reports import write_inventory
 from ..sources.arrays import read_array
@@ -168,7 +168,7 @@ def subset_by_start_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def url_translate(spark: SparkSession, sf: str) -> DataFrame:
-    hosts = spark.createDataFrame(list(b.HOSTS.items()), "bucket STRING, host STRING")
+    hosts = local_frame(spark, list(b.HOSTS.items()), "bucket STRING, host STRING")
     found = urls_to_https(b.urls(spark, sf), hosts, b.DEFAULT_HOST, out="by_table")
     return found.withColumn("by_map", s3_to_https(F.col("url"), b.HOSTS, b.DEFAULT_HOST))
 

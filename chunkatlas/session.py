@@ -5,10 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -88,6 +92,18 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows as a DataFrame that holds them itself.
+
+    Rows given to ``createDataFrame`` as a list are turned by Python workers at each use; an Arrow
+    table is not.
+    """
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array(column, field.type) for column, field in zip(columns, fields)], schema=fields))
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` of text.
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 from ..functions import chunk_key
 from ..operators.rewrite import rewrite_refs
 from ..schemas import Dataset
-from ..session import materialize, scratch_path, small_side
+from ..session import local_frame, materialize, scratch_path, small_side
 from ..sources.refs import (ARRAY_META, ATTR_META, COORD_NAMES, DIM_NAMES, GROUP_META,
                             read_head_json, read_refs_json)
 from .files import concat_parts, exists, move, size_of
@@ -114,7 +114,7 @@ def _axis_variables(ds: Dataset) -> tuple[DataFrame | None, list[DataFrame]]:
     schema = ("var STRING, dims ARRAY<STRING>, shape ARRAY<BIGINT>, chunk_shape ARRAY<BIGINT>, "
               "dtype STRING, codec_json STRING, fill_json STRING, is_coord BOOLEAN, "
               "loadable BOOLEAN")
-    return spark.createDataFrame(meta, schema), chunks
+    return local_frame(spark, meta, schema), chunks
 
 
 def dataset_to_refs(ds: Dataset) -> DataFrame:
@@ -158,7 +158,7 @@ def dataset_to_refs(ds: Dataset) -> DataFrame:
             F.when(F.col("scope") == "", ATTR_META).otherwise(
                 F.concat("scope", F.lit("/" + ATTR_META))).alias("key"),
             _object(F.col("pairs")).alias("inline_text"))
-    group = spark.createDataFrame([(GROUP_META, '{"zarr_format":2}')],
+    group = local_frame(spark, [(GROUP_META, '{"zarr_format":2}')],
                                   "key STRING, inline_text STRING")
 
     shapes = variables.where("loadable").select("var", "dtype", "shape")
@@ -247,7 +247,7 @@ def write_refs_parquet(ds: Dataset, path: str, mode: str = "errorifexists") -> N
             table = table.withColumn("axis_name", F.lit(ds.axis_name))
         table.write.mode(mode).parquet(f"{path}/{name}")
     if ds.axis is None:
-        ds.variables.sparkSession.createDataFrame([], "granule_id STRING, axis_name STRING"
+        local_frame(ds.variables.sparkSession, [], "granule_id STRING, axis_name STRING"
                                                   ).write.mode(mode).parquet(f"{path}/axis")
 
 

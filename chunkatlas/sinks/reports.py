@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import report_key
 from ..operators.sync import SyncRequest, apply_plan, sync_plan
-from ..session import materialize
+from ..session import local_frame, materialize
 from ..sources.listing import list_objects
 from .files import exists
 
@@ -40,7 +40,7 @@ def publish(spark: SparkSession, src: str, dests: Sequence[str], prefix: str = "
     per destination that failed: ``(dest, key, action, ok, error)``.
     """
     columns = "dest STRING, key STRING, action STRING, ok BOOLEAN, error STRING"
-    result = spark.createDataFrame([], columns)
+    result = local_frame(spark, [], columns)
     files = materialize(list_objects(spark, src, glob=glob, etag="md5"), "published")
     for dest in dests:
         request = SyncRequest(src, dest, "", prefix)
@@ -52,8 +52,8 @@ def publish(spark: SparkSession, src: str, dests: Sequence[str], prefix: str = "
             plan = sync_plan(files, there, request)
             done = apply_plan(plan, request)
         except Exception as error:  # noqa: BLE001 - reported as a row
-            result = result.unionByName(spark.createDataFrame(
-                [(dest, None, "copy", False, str(error))], columns))
+            result = result.unionByName(local_frame(
+                spark, [(dest, None, "copy", False, str(error))], columns))
             continue
         result = result.unionByName(done.select(F.lit(dest).alias("dest"), "key", "action", "ok",
                                                 "error"))

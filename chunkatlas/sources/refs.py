@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import Dataset
-from ..session import small_side
+from ..session import local_frame, small_side
 
 # Names of metadata entries and attributes in array stores.
 ARRAY_META, ATTR_META, GROUP_META = ".zarray", ".zattrs", ".zgroup"
@@ -149,7 +149,7 @@ def refs_to_dataset(refs: DataFrame) -> Dataset:
         ).drop("scalar")
     kept = attrs.where(~F.col("key").isin(DIM_NAMES)
                        & ~((F.col("key") == COORD_NAMES) & (F.col("scope") == "")))
-    values = spark.createDataFrame([], "var STRING, pos BIGINT, value DOUBLE")
+    values = local_frame(spark, [], "var STRING, pos BIGINT, value DOUBLE")
     return Dataset(dims, variables, kept, chunks, values)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..schemas import Manifest
-from ..session import materialize, small_side
+from ..session import local_frame, materialize, small_side
 from .refs import ARRAY_META, ATTR_META, CHUNK_KEY, DIM_NAMES, GROUP_META, codec_json
 
 #: A reader takes a path and yields facts: ``("dims", {...})``, ``("chunk_refs", {...})`` and so on.
@@ -90,7 +90,7 @@ def virtualize(spark: SparkSession, paths: DataFrame | Sequence[str], reader: Re
             return zarr2_manifest_of(spark, paths, partitions, attempts, wait, on_error)
         reader = {"parquet": read_parquet_footer}[reader]
     if not isinstance(paths, DataFrame):
-        paths = spark.createDataFrame([(p, p) for p in paths], "granule_id STRING, path STRING")
+        paths = local_frame(spark, [(p, p) for p in paths], "granule_id STRING, path STRING")
     facts = run_reader(paths, reader, partitions, attempts, wait, on_error)
 
     def table(kind: str, schema: str) -> DataFrame:
@@ -157,7 +157,7 @@ def zarr2_manifest_of(spark: SparkSession, stores: DataFrame | Sequence[str],
                       on_error: str = "fail") -> Manifest:
     """Manifest of Zarr v2 directory stores, from a listing without file contents."""
     if not isinstance(stores, DataFrame):
-        stores = spark.createDataFrame([(s, s) for s in stores], "granule_id STRING, path STRING")
+        stores = local_frame(spark, [(s, s) for s in stores], "granule_id STRING, path STRING")
     facts = run_reader(stores, read_zarr2_metadata, partitions, attempts, wait, on_error)
     meta = facts.where(F.col("kind") == "metadata").select("granule_id", F.from_json(
         "fact", "var STRING, name STRING, text STRING").alias("one")).select(
@@ -235,4 +235,4 @@ def zarr2_manifest(stores: DataFrame, listing: DataFrame, meta: DataFrame) -> Ma
                       F.lit(None).cast("string").alias("inline_text")))
     kept = attrs.where(F.col("key") != DIM_NAMES)
     return Manifest(dims, variables, kept, chunks,
-                    spark.createDataFrame([], schemas.COORD_VALUES))
+                    local_frame(spark, [], schemas.COORD_VALUES))

@@ -20,7 +20,7 @@ from ..operators.combine import (MODES, Mode, axis_sizes, axis_table, combine_ch
                                  combine_coord_values, combined_variables, roles, with_axis_attrs)
 from ..operators.quality import compat_gate, reference_variables
 from ..schemas import Dataset, Manifest
-from ..session import fits, materialize, small_side
+from ..session import fits, local_frame, materialize, small_side
 
 _COMMITS = "batch_id BIGINT, granules BIGINT, axis_size BIGINT"
 
@@ -51,7 +51,7 @@ class CombinedStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _COMMITS)
+            return local_frame(self.spark, [], _COMMITS)
 
     def _filled(self, before: int | None = None) -> list[int]:
         """Numbers of the finished batches that brought granules."""
@@ -133,7 +133,7 @@ class CombinedStore:
         table.write.mode("overwrite").parquet(self._path(name, batch_id))
 
     def _commit(self, batch_id: int, granules: int, axis_size: int) -> None:
-        row = self.spark.createDataFrame([(granules, axis_size)],
+        row = local_frame(self.spark, [(granules, axis_size)],
                                          "granules BIGINT, axis_size BIGINT")
         row.coalesce(1).write.mode("overwrite").parquet(self._path("commits", batch_id))
 

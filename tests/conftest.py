@@ -5,12 +5,13 @@ import tempfile
 from pathlib import Path
 
 import pytest
+from pyspark.sql.types import ArrayType, StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from chunkatlas import schemas as S  # noqa: E402
 from chunkatlas.schemas import Manifest  # noqa: E402
-from chunkatlas.session import build_session  # noqa: E402
+from chunkatlas.session import build_session, local_frame  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -37,15 +38,26 @@ def granule(gid, rank, begin, end=None, cycle=1, passes=(2,), collection="C", li
             (((begin, end),), (((cycle, [(p,) for p in passes]),),)), links)
 
 
+def named(value, kind):
+    """A nested tuple as the dicts that Arrow expects for structs."""
+    if isinstance(kind, StructType) and value is not None:
+        return {f.name: named(v, f.dataType) for f, v in zip(kind.fields, value)}
+    if isinstance(kind, ArrayType) and value is not None:
+        return [named(v, kind.elementType) for v in value]
+    return value
+
+
 def granules(spark, rows):
-    return spark.createDataFrame(rows, S.GRANULES)
+    kinds = [f.dataType for f in StructType.fromDDL(S.GRANULES)]
+    return local_frame(spark, [tuple(named(v, k) for v, k in zip(row, kinds)) for row in rows],
+                       S.GRANULES)
 
 
 def manifest(spark, dims=(), variables=(), attrs=(), chunks=(), values=()):
-    make = spark.createDataFrame
-    return Manifest(make(list(dims), S.DIMS), make(list(variables), S.VARIABLES),
-                    make(list(attrs), S.ATTRS), make(list(chunks), S.CHUNK_REFS),
-                    make(list(values), S.COORD_VALUES))
+    def make(rows, schema):
+        return local_frame(spark, list(rows), schema)
+    return Manifest(make(dims, S.DIMS), make(variables, S.VARIABLES), make(attrs, S.ATTRS),
+                    make(chunks, S.CHUNK_REFS), make(values, S.COORD_VALUES))
 
 
 def variable(gid, var, dims, shape, chunk=None, dtype="<f4", codec="{}", coord=False,
