@@ -21,8 +21,9 @@ from .files import concat_parts, exists, move, size_of
 
 #: Values of a loaded coordinate that share one inline chunk.
 COORD_CHUNK = 65_536
-#: Largest reference file that is joined into one; larger ones stay folders of parts.
-DOCUMENT_BYTES = 16 << 30
+#: Largest reference file that is joined into one; larger ones stay folders of parts. Readers that
+#: take a file as one document stop at about this size anyway.
+DOCUMENT_BYTES = 2 << 30
 
 
 def quoted(text: Column) -> Column:
