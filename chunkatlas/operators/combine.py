@@ -215,7 +215,7 @@ def assemble(manifest: Manifest, mode: Mode, reference: DataFrame, index: DataFr
         dims = dims.unionByName(index.agg(
             F.lit(mode.axis).alias("dim"),
             F.coalesce(F.sum("axis_size"), F.lit(0)).cast("bigint").alias("size")))
-    used = manifest.attrs.join(index.select("granule_id"), "granule_id", "left_semi")
+    used = manifest.attrs.join(place.select("granule_id"), "granule_id", "left_semi")
     return Dataset(
         dims=dims,
         variables=combined_variables(reference, role, mode, length),
