@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import mixing, quality, secrets, sharding
+from . import fingerprints, mixing, quality, secrets, sharding
 
 SHARDS = 24
 
@@ -16,6 +16,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fingerprints.compare_neighbours(documents(spark, sf_dir))
+    return pairs.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprints.distinct(F.col("sketch")).alias("n_shingles"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``key``: the shard follows from doc_id and the number of shards."""
     content = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
@@ -58,5 +68,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "ratio")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_mixing, op5_secrets, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op5_secrets, op10_quality)}
 ORACLES: dict[str, str] = {}
