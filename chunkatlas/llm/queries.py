@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import fingerprints, mixing, quality, secrets, sharding
+from . import fingerprints, minhash, mixing, quality, secrets, sharding
 
 SHARDS = 24
 
@@ -60,6 +60,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("found")).alias("spans"), secrets.listed(live).alias("live_spans"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), n=4)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is what ``labels`` calls good."""
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
@@ -68,5 +72,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "ratio")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op5_secrets, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op5_secrets, op8_near_duplicates, op10_quality)}
 ORACLES: dict[str, str] = {}
