@@ -126,30 +126,38 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     go along once per task. A task streams over the partners and holds the elements of one set a.
     """
     dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int"))
-    partners = dealt.join(sets.withColumnRenamed("set_id", "b"), "b").select("a", "salt", "b", "elements")
-    heads = (dealt.select("a", "salt").distinct().join(sets.withColumnRenamed("set_id", "a"), "a")
-             .select("a", "salt", F.lit(None).cast("binary").alias("b"), "elements"))
+    partners = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "elements")
+    heads = (dealt.select("a", "salt").distinct().join(sets.withColumnRenamed("node", "a"), "a")
+             .select("a", "salt", F.lit(None).cast("bigint").alias("b"), "elements"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = np.zeros(0, _U)
         for batch in batches:
-            linked_a, linked_b = [], []
+            found = []
             for a, b, elements in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
                 other = np.frombuffer(elements, _U)
                 if b is None:
                     have = other
-                    continue
-                at = np.minimum(np.searchsorted(have, other), len(have) - 1)
-                both = int((have[at] == other).sum())
-                if 100 * both >= percent * (len(have) + len(other) - both):
-                    linked_a.append(a)
-                    linked_b.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(linked_a, pa.binary()), pa.array(linked_b, pa.binary())], ["a", "b"])
+                elif alike(have, other, percent):
+                    found.append((a, b))
+            yield _pairs(found)
 
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (heads.unionByName(partners).repartition(parts, "a", "salt")
             .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-            .mapInArrow(run, "a binary, b binary"))
+            .mapInArrow(run, "a bigint, b bigint"))
+
+
+def alike(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    at = np.minimum(np.searchsorted(one, other), len(one) - 1)
+    both = int((one[at] == other).sum())
+    return 100 * both >= percent * (len(one) + len(other) - both)
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
@@ -164,17 +172,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
 
     Equal sets are one node, so thousands of copies cost one comparison. In each bucket of a band all
     nodes are first held against the bucket's least node: pairs grow with the bucket, not its square.
-    Only buckets whose nodes are then in different components are searched for further pairs, between
-    components, in tiles of at most ``TILE`` nodes; each such pair with a sufficient odd-sketch
-    estimate is confirmed as well. So no candidate is left out, and no bucket has a cap.
+    Where a bucket's nodes are then in different components, the nodes that such buckets connect are
+    searched for links between components, in tiles of about ``TILE`` nodes that bring their full sets
+    along. Nodes of a group's largest component meet only those outside it. No candidate is left out,
+    no bucket has a cap, and a tile passes on only as many links as join its components.
     """
     signed = materialize(signatures(docs, key, text, n), "signatures")
+    # The node number is fixed by writing it.
     nodes = materialize(signed.where("set_id is not null").groupBy("set_id").agg(
-        F.min("key").alias("key"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "sets")
-    linked = _links(docs, key, text, n, percent, nodes)
-    roots = components(linked)
-    placed = nodes.select("set_id", "key").join(
-        roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        F.min("key").alias("key"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
+        .withColumn("node", F.monotonically_increasing_id()), "sets")
+    roots = components(_links(docs, key, text, n, percent, nodes))
+    placed = nodes.select("set_id", "key", "node").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("key").alias("component_id"))
     of_set = placed.join(least, "root").select("set_id", "component_id")
     with_set = signed.where("set_id is not null").select("key", "n_shingles", "set_id").join(of_set, "set_id")
@@ -185,71 +195,89 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
 
 
 def _links(docs: DataFrame, key: str, text: str, n: int, percent: int, nodes: DataFrame) -> DataFrame:
-    banded = nodes.select("set_id", F.explode("bands").alias("bucket"))
+    banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = materialize(banded.groupBy("bucket").agg(
-        F.min("set_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "leader"), "buckets")
+        F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "leader"), "buckets")
     members = materialize(banded.join(small_side(shared), "bucket"), "members")
-    stars = materialize(members.where("set_id != leader").select(
-        F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct(), "stars")
-    wanted = nodes.join(members.select("set_id").distinct(), "set_id", "left_semi")
-    sets = materialize(full_sets(docs, key, text, n, wanted), "elements")
+    stars = materialize(members.where("node != leader").select(
+        F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    sets = materialize(full_sets(docs, key, text, n, wanted)
+                       .join(nodes.select("set_id", "node"), "set_id").select("node", "elements"), "elements")
     first = materialize(confirm(stars, sets, percent), "links")
-    more = _across(members, nodes, components(first), stars)
-    second = materialize(confirm(materialize(more, "pairs"), sets, percent), "links")
+    second = materialize(_across(members, nodes, sets, components(first), percent), "links")
     return first.unionByName(second)
 
 
-def _across(members: DataFrame, nodes: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
-    """Further candidates (a, b): nodes of one bucket, in different components, with a like odd sketch."""
-    placed = (members.select("bucket", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-              .withColumn("root", F.coalesce("root", "set_id")))
-    mixed = (placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                          F.count(F.lit(1)).alias("n"))
-             .where("lo != hi").select("bucket", F.expr(f"cast((n - 1) div {TILE} + 1 as int)").alias("tiles")))
-    rows = (placed.join(mixed, "bucket").join(nodes.select("set_id", "bands", "odd"), "set_id")
-            .withColumn("tile", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int")))
-    # A node meets every tile: once in each pair of tiles that its own is part of.
-    spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "bucket", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"),
-        "tile", "set_id", "root", "bands", "odd")
+def _across(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket: enough of them to join what they join."""
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    open_ = placed.join(mixed.select("bucket"), "bucket").select("node", "leader", "root").distinct()
+    groups = components(open_.select(F.col("leader").alias("a"), F.col("node").alias("b"))).select(
+        "node", F.col("root").alias("group"))
+    rows = materialize(open_.select("node", "root").distinct().join(groups, "node"), "open")
+    counts = rows.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy("group").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"))
+    tiles = largest.select(
+        "group", F.col("most.root").alias("main"),
+        F.expr(f"cast((all - most.n - 1) div {TILE} + 1 as int)").alias("rest_tiles"),
+        F.expr(f"cast((most.n - 1) div {TILE} + 1 as int)").alias("main_tiles"))
+    is_main, slot = F.col("root") == F.col("main"), F.xxhash64("node")
+    dealt = rows.join(tiles, "group").withColumn("tile", F.when(
+        is_main, F.col("rest_tiles") + F.pmod(slot, F.col("main_tiles"))).otherwise(
+        F.pmod(slot, F.col("rest_tiles"))).cast("int"))
+    meets = F.sequence(F.lit(0), F.when(is_main, F.col("rest_tiles") - 1).otherwise(
+        F.col("rest_tiles") + F.col("main_tiles") - 1))
+    spread = (dealt.join(nodes.select("node", "odd"), "node").join(sets, "node")
+              .withColumn("other", F.explode(meets))
+              .select("group", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"),
+                      "tile", "node", "root", "odd", "elements"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(group: list[tuple]) -> pa.RecordBatch:
-            a, b = _candidates(group)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
         group: list[tuple] = []
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
                 if group and group[0][:3] != row[:3]:
-                    yield flush(group)
+                    yield _pairs(_joins(group, percent))
                     group = []
                 group.append(row)
-        if group:
-            yield flush(group)
+        yield _pairs(_joins(group, percent))
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = (spread.repartition(parts, "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-             .mapInArrow(run, "a binary, b binary"))
-    return found.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
+    return (spread.repartition(parts, "group", "lo", "hi").sortWithinPartitions("group", "lo", "hi")
+            .mapInArrow(run, "a bigint, b bigint"))
 
 
-def _candidates(group: list[tuple]) -> tuple[list[bytes], list[bytes]]:
-    """Pairs of a pair of tiles: different roots, this bucket the first they share, estimate high enough."""
-    bucket, lo, hi = group[0][:3]
+def _joins(group: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Confirmed links between the two tiles of a group, until they join all components that any link joins."""
+    if not group:
+        return []
+    lo, hi = group[0][1:3]
     left = [r for r in group if r[3] == lo]
     right = left if lo == hi else [r for r in group if r[3] == hi]
     if not left or not right:
-        return [], []
-    names = {root: i for i, root in enumerate({r[5] for r in group})}
-    roots = [np.array([names[r[5]] for r in side]) for side in (left, right)]
-    likeness = estimate(*[np.array([np.frombuffer(r[7], _U) for r in side]) for side in (left, right)])
-    good = (likeness >= ESTIMATE) & (roots[0][:, None] != roots[1][None, :])
+        return []
+    odd, sets = [[np.frombuffer(r[6], _U) for r in side] for side in (left, right)], [
+        [np.frombuffer(r[7], _U) for r in side] for side in (left, right)]
+    likeness = estimate(np.array(odd[0]), np.array(odd[1]))
+    likeness[np.array([r[5] for r in left])[:, None] == np.array([r[5] for r in right])[None, :]] = -1
     if lo == hi:
-        good &= np.tri(len(left), k=-1, dtype=bool)
-    keys = [np.array([r[6] for r in side]) for side in (left, right)]
-    i, j = np.nonzero(good)
-    same = keys[0][i] == keys[1][j]
-    first = keys[0][i][np.arange(len(i)), same.argmax(axis=1)] == bucket
-    pairs = [sorted((left[x][4], right[y][4])) for x, y in zip(i[first].tolist(), j[first].tolist())]
-    return [p[0] for p in pairs], [p[1] for p in pairs]
+        likeness[~np.tri(len(left), k=-1, dtype=bool)] = -1
+    i, j = np.nonzero(likeness >= ESTIMATE)
+    # The likeliest first: they join most components at once, and joined ones need no further test.
+    order = np.argsort(-likeness[i, j], kind="stable")
+    leads: dict[int, int] = {}
+
+    def lead(x: int) -> int:
+        while x in leads:
+            x = leads[x]
+        return x
+
+    found = []
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        a, b = sorted((lead(left[x][5]), lead(right[y][5])))
+        if a != b and alike(sets[0][x], sets[1][y], percent):
+            leads[b] = a
+            found.append((left[x][4], right[y][4]))
+    return found
