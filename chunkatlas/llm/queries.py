@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import fingerprints, minhash, mixing, quality, secrets, sharding
+from . import bpe, fingerprints, lm_scoring, minhash, mixing, quality, secrets, sharding
 
 SHARDS = 24
 
@@ -44,6 +44,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return bpe.read_tokenizer(public_tokenizers.path(name))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer())
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owners are sources; an owner's repositories are its languages."""
     found = secrets.scan(documents(spark, sf_dir),
@@ -64,6 +74,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), n=4)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf_dir))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is what ``labels`` calls good."""
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
@@ -72,5 +86,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "ratio")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op5_secrets, op8_near_duplicates, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op4_bpe, op5_secrets, op8_near_duplicates, op9_lm_scoring, op10_quality)}
 ORACLES: dict[str, str] = {}
