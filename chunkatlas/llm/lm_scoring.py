@@ -6,6 +6,10 @@ bytes. A context that is frequent enough becomes a state if its next-symbol coun
 the context shorter by a byte: if the log-likelihood gain passes ``GAIN``. A state's distribution is smoothed
 with its parent's. A symbol is scored in the state of the longest suffix. As no context reaches across a
 word's start, a word's score depends on the word alone, and each distinct word is scored once.
+
+The word itself is the longest context of all: its count is smoothed with the tree's spelling of it, which
+gets the weight that words seen once say is due to new ones. As it is new words that are spelt, the tree is
+trained on the table of distinct words, each counted once.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .wordtable import buckets_for, rejoin, squeeze, unpack, unsqueeze, word_rows
 
-DEPTH = 6
+DEPTH = 4
 #: Least share of all symbols that a context with its next symbol has. It bounds the tree: there are at
 #: most (DEPTH + 1) / SHARE pairs, however large the corpus.
 SHARE = 1e-6
@@ -127,39 +131,38 @@ def word_counts(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "word binary, c bigint"))
 
 
-def gram_counts(words: DataFrame, ends: int) -> DataFrame:
-    """(length, pair, n): counts of contexts of each length with their next symbol, of at least SHARE of all."""
+def gram_counts(words: DataFrame) -> DataFrame:
+    """(length, pair, n): counts of contexts of each length with their next symbol over distinct words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            names = batch.column(0).to_pylist()
             if not names:
                 continue
-            value, length, word = grams(names)
+            value, length, _ = grams(names)
             for n in range(DEPTH + 1):
                 kept = length >= n
-                pairs, where = np.unique(value[kept] & _MASKS[n + 1], return_inverse=True)
-                total = np.bincount(where, counts[word[kept]].astype(float), len(pairs)).astype(np.int64)
+                pairs, total = np.unique(value[kept] & _MASKS[n + 1], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(pairs), n, np.int32)), pa.array(pairs.view(np.int64)), pa.array(total)],
                     ["length", "pair", "n"])
 
     counted = words.mapInArrow(run, "length int, pair bigint, n bigint").groupBy("length", "pair").agg(
         F.sum("n").alias("n"))
-    # The end of a text is a symbol of the empty context and of a word's start.
+    # The end of a text is one more word: a symbol of the empty context and of a word's start.
     extra = words.sparkSession.range(2).select(
         F.col("id").cast("int").alias("length"),
         F.when(F.col("id") == 0, _END).otherwise((_SPACE << 8) | _END).cast("bigint").alias("pair"),
-        F.lit(ends).cast("bigint").alias("n"))
+        F.lit(1).cast("bigint").alias("n"))
     return counted.unionByName(extra)
 
 
-def fit_tree(words: DataFrame, ends: int) -> Tree:
-    """The tree of a table (word, c) and a number of texts.
+def fit_tree(words: DataFrame) -> Tree:
+    """The tree of a table of distinct words.
 
     Counts cover all words; pairs below SHARE of all symbols are left to the parent's distribution, so
     the pairs that reach the driver are bounded by SHARE and DEPTH.
     """
-    counts = materialize(gram_counts(words, ends), "grams")
+    counts = materialize(gram_counts(words), "grams")
     symbols = counts.where("length = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = max(1, int(SHARE * symbols))
     rows = counts.where((F.col("n") >= least) | (F.col("length") == 0)).where("n > 0").toArrow()
@@ -182,7 +185,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     Tokens are the words, ASCII letters in lower case, and one end. base_score adds up smoothed word
-    frequencies; score is the suffix tree's log10 probability of the same tokens. A null or empty text
+    frequencies; score is the model's log10 probability of the same tokens. A null or empty text
     is the end alone. If nothing is trained on, every token is unknown and the tree is uniform. ``key``
     is an integer column, which may be null or repeated.
     """
@@ -191,9 +194,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     rows = materialize(word_rows(docs, key, text, buckets, True, train), "words")
     words = materialize(word_counts(rows), "counts")
     ends = docs.where(train).count()
-    kinds, total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
+    kinds, total, once = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0)),
+                                   F.count(F.when(F.col("c") == 1, 1))).first()
     kinds, total = kinds + (ends > 0), total + ends
-    tree = docs.sparkSession.sparkContext.broadcast(fit_tree(words, ends))
+    tree = docs.sparkSession.sparkContext.broadcast(fit_tree(words))
+    fresh = once + 1.0
     scale = np.log10(total + 0.5 * (kinds + 1))
     answers = _scored(rows, buckets, tree)
 
@@ -210,7 +215,10 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
         of_doc = np.repeat(np.arange(len(sizes)), sizes)
         own = counts[place]
         base = np.bincount(of_doc, np.log10(own + 0.5) - scale, len(sizes)) + np.log10(ends + 0.5) - scale
-        spelt = np.bincount(of_doc, scores[place], len(sizes)) + tree.value.end()
+        # Every count is smoothed with the tree's probability of the same word, or of the end.
+        each = np.log10((counts + fresh * 10.0 ** scores) / (total + fresh))
+        last = np.log10((ends + fresh * 10.0 ** tree.value.end()) / (total + fresh))
+        spelt = np.bincount(of_doc, each[place], len(sizes)) + last
         known = np.bincount(of_doc, own > 0, len(sizes)).astype(np.int64) + int(ends > 0)
         return pa.RecordBatch.from_arrays([
             pa.array(keys, pa.int64()), pa.array(sizes + 1), pa.array(known),
