@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, fingerprints, lm_scoring, minhash, mixing, quality, secrets, sharding
+from . import bpe, fingerprints, lm_scoring, minhash, mixing, quality, secrets, sharding, suffix_dedup
 
 SHARDS = 24
 
@@ -70,6 +70,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("found")).alias("spans"), secrets.listed(live).alias("live_spans"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), n=4)
 
@@ -86,5 +91,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "ratio")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op4_bpe, op5_secrets, op8_near_duplicates, op9_lm_scoring, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op4_bpe, op5_secrets, op7_suffix_dedup, op8_near_duplicates, op9_lm_scoring, op10_quality)}
 ORACLES: dict[str, str] = {}
