@@ -194,6 +194,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
                     F.col("key").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
+                percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one with the least key.
+
+    Of rows that share a key one stays. Null keys take no part in groups and all stay. Texts stay where
+    they are if the keys that go are measured to be few.
+    """
+    twice = docs.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > 1 and `{key}` is not null").select(key)
+    twice = small_side(materialize(twice, "repeated"))
+    single = docs.join(twice, key, "left_anti").select(*docs.columns).unionByName(
+        docs.join(twice, key, "left_semi").select(*docs.columns).dropDuplicates([key]))
+    gone = near_duplicates(single, key, text, n, percent).where(~F.col("kept")).select(key)
+    return single.join(small_side(materialize(gone, "gone")), key, "left_anti").select(*docs.columns)
+
+
 def _links(docs: DataFrame, key: str, text: str, n: int, percent: int, nodes: DataFrame) -> DataFrame:
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = materialize(banded.groupBy("bucket").agg(

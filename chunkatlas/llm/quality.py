@@ -128,3 +128,12 @@ def judge(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
             .withColumn("ratio", mean_ratio(F.col("_words"), ratios))
             .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
             .drop("_words"))
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps."""
+    judged = judge(docs, trusted, **options)
+    # A filter on the verdict alone would be moved below the steps that it is made of, each of which
+    # would then be written out within the next; one that also needs a row number stays behind them.
+    return (judged.withColumn("_row", F.monotonically_increasing_id())
+            .where(F.col("kept") & (F.col("_row") >= 0)).select(*docs.columns))

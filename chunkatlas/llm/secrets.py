@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, small_side
 
 #: The base patterns, in the order that ties keep. The first one's value is group 2.
 PATTERNS = (
@@ -69,24 +69,26 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source",
          repository: Column | None = None, most_owners: int = MOST_OWNERS,
-         most_repositories: int = MOST_REPOSITORIES) -> DataFrame:
-    """Add ``found``: per row all spans, sorted by start and kind, each with owners, repositories, live.
+         most_repositories: int = MOST_REPOSITORIES, keep: list[Column] | None = None) -> DataFrame:
+    """(key, found): per row all spans, sorted by start and kind, each with owners, repositories, live.
 
     ``live`` is true if the value's hash has at most ``most_owners`` distinct owners and
     ``most_repositories`` distinct repositories in the whole corpus. Base spans stay whatever their
     ownership; a span of the kind ``owned`` is there only if it is live and no base span overlaps it.
-    Null and empty texts have no spans; repeated rows are judged row by row alike.
+    Null and empty texts have no spans; repeated rows are judged row by row alike. ``repository`` is the
+    key if it isn't given; ``keep`` lists other columns to return in the key's place.
 
     The rows' spans, without the texts, are written once; the row number given there joins the
     ownership back. A value that many rows hold is a skewed join key, which adaptive execution splits.
     """
-    return _judged(_scanned(docs, key, text, owner, repository, [key]), most_owners, most_repositories)
+    kept = [F.col(key)] if keep is None else keep
+    return _judged(_scanned(docs, key, text, owner, repository, kept), most_owners, most_repositories)
 
 
 def _scanned(docs: DataFrame, key: str, text: str, owner: str, repository: Column | None,
-             kept: list[str]) -> DataFrame:
+             kept: list[Column]) -> DataFrame:
     repository = F.col(key).cast("string") if repository is None else repository
-    rows = docs.select(*[F.col(c) for c in kept], F.col(owner).cast("string").alias("_owner"),
+    rows = docs.select(*kept, F.col(owner).cast("string").alias("_owner"),
                        repository.alias("_repository"),
                        _candidates(F.coalesce(F.col(text), F.lit(""))).alias("_spans"))
     # The values themselves are credentials, so only their hashes are written.
@@ -115,6 +117,26 @@ def _judged(rows: DataFrame, most_owners: int, most_repositories: int) -> DataFr
             .drop("_row", "_owner", "_repository", "_spans"))
 
 
+def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", size: str = "n_chars",
+             **options) -> DataFrame:
+    """``docs`` with all found spans in its texts replaced, and ``size`` counted anew where one was.
+
+    Only rows with spans are joined back, by key and a digest of the text, so equal keys with different
+    texts keep apart. Texts stay where they are if the table of spans is measured to be small.
+    """
+    digest = F.xxhash64(text)
+    found = (scan(docs, key, text, keep=[F.col(key).alias("_key"), digest.alias("_digest")], **options)
+             .where(F.size("found") > 0).dropDuplicates(["_key", "_digest"]))
+    joined = docs.withColumn("_own", digest).join(
+        small_side(found), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_digest")), "left")
+    clean = F.when(F.col("found").isNotNull(), redact(F.col(text), F.col("found"))).otherwise(F.col(text))
+    sized = F.when(F.col("found").isNotNull(), F.length("_clean")).otherwise(F.col(size))
+    kinds = docs.schema
+    return joined.withColumn("_clean", clean).select(*[
+        F.col("_clean").alias(text) if c == text else sized.cast(kinds[c].dataType).alias(c) if c == size
+        else F.col(c) for c in docs.columns])
+
+
 def listed(found: Column) -> Column:
     """Spans as text: kind:start:end, comma-joined, in their order."""
     names = F.array(*map(F.lit, KINDS))
