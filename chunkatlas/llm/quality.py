@@ -17,8 +17,9 @@ from ..session import small_side
 SPACE = r"[\x20\x09-\x0D]+"
 #: Hash buckets; also the bound of what is sent to the driver and back.
 BUCKETS = 1 << 14
-#: Added to each bucket's count in both multinomials.
-PRIOR = 1.0
+#: N-grams of the raw corpus that are added to the target's, in the raw corpus's proportions: with little
+#: trusted text the ratios are near 0.
+PRIOR = float(BUCKETS)
 #: Least mean log ratio of a kept document, in nats.
 THRESHOLD = -0.1
 WINDOW = 5
@@ -57,10 +58,10 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: st
     raw, target = [0] * buckets, [0] * buckets
     for row in counts:
         raw[row["_bucket"]], target[row["_bucket"]] = row["raw"], row["good"]
-    if not sum(target):
+    size, total = sum(target), sum(raw)
+    if not size:
         return [0.0] * buckets
-    base = math.log(sum(raw) + prior * buckets) - math.log(sum(target) + prior * buckets)
-    return [math.log(t + prior) - math.log(r + prior) + base for t, r in zip(target, raw)]
+    return [math.log((t * total / r + prior) / (size + prior)) if r else 0.0 for t, r in zip(target, raw)]
 
 
 def mean_ratio(words_: Column, ratios: list[float]) -> Column:

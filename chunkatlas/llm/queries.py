@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, fingerprints, lm_scoring, minhash, mixing, quality, secrets, sharding, suffix_dedup
+from . import bpe, fingerprints, licenses, lm_scoring, minhash, mixing, quality, secrets, sharding, suffix_dedup
 
 SHARDS = 24
 
@@ -70,6 +70,14 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("found")).alias("spans"), secrets.listed(live).alias("live_spans"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", F.size("licences").cast("bigint").alias("n_matches"),
+        F.array_join(F.transform("licences", lambda x: F.concat_ws(":", x["line"].cast("string"), x["licence"])), ",").alias("licences"),
+        F.array_join(F.array_sort(F.array_distinct("licences.licence")), ",").alias("names"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -91,5 +99,33 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "ratio")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op4_bpe, op5_secrets, op7_suffix_dedup, op8_near_duplicates, op9_lm_scoring, op10_quality)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_sharding, op3_mixing, op4_bpe, op5_secrets, op6_licenses, op7_suffix_dedup, op8_near_duplicates, op9_lm_scoring, op10_quality)}
+ORACLES: dict[str, str] = {
+    "op3_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+  FROM sized GROUP BY source),
+ranked AS (
+  SELECT *, sum(source_size) OVER () AS total,
+         coalesce(sum(3 * source_size) OVER (ORDER BY source_size * 1.0 / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fixed,
+         sum(w) OVER (ORDER BY source_size * 1.0 / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+  FROM sums),
+level AS (
+  SELECT total - fixed AS rest, share FROM ranked
+  WHERE 3 * source_size * share >= (total - fixed) * w ORDER BY source_size * 1.0 / w, source NULLS LAST LIMIT 1),
+targets AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), CAST(rest AS DOUBLE) * w / CAST(share AS DOUBLE)) AS target
+  FROM sums, level),
+rated AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, d.source,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+counted AS (
+  SELECT *, CAST(floor(rate) AS BIGINT) + CAST(
+    CAST(('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '\N')), 1, 13)) AS BIGINT) / 4503599627370496.0
+    < rate - floor(rate) AS BIGINT) AS copies FROM rated)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM counted""",
+}

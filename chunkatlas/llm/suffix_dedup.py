@@ -25,7 +25,7 @@ from .text import mix, slices, stream
 
 LENGTH = 100
 K = 32
-#: Bytes of runs that are sorted at a time; three names of so many suffixes fit in 64 bits.
+#: Bytes of runs after which a suffix array is closed, at the end of an anchor's runs.
 CHUNK = 1 << 20
 _BYTES = stream(6, 256)
 _U = np.uint64
@@ -81,6 +81,13 @@ def runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
     return own, lo - starts[own], hi - starts[own], value[anchor[first]].view(np.int64), name.view(np.int64)
 
 
+def _pair_names(padded: np.ndarray) -> np.ndarray:
+    """An order-preserving number below 2**32 for each symbol and the next."""
+    if int(padded.max()) < 1 << 16:
+        return (padded[:-1] << _U(16)) | padded[1:]
+    return np.unique((padded[:-1] << _U(32)) | padded[1:], return_inverse=True)[1].astype(_U)
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Suffixes in order, by the difference cover of residues 1 and 2 modulo 3. Symbols are at least 1."""
     n = len(symbols)
@@ -90,7 +97,8 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     # A further sampled place keeps the two residues' names apart if n is 1 modulo 3.
     one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sampled = np.concatenate((one, two))
-    triples = (padded[sampled] << _U(42)) | (padded[sampled + 1] << _U(21)) | padded[sampled + 2]
+    pairs = _pair_names(padded)
+    triples = (pairs[sampled] << _U(32)) | padded[sampled + 2]
     kinds, names = np.unique(triples, return_inverse=True)
     order = np.argsort(names, kind="stable") if len(kinds) == len(sampled) else suffix_array(names + 1)
     rank = np.zeros(n + 3, np.int64)
@@ -103,7 +111,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         return (padded[at] << _U(32)) | rank[at + 1].astype(_U)
 
     def before_two(at: np.ndarray) -> np.ndarray:
-        return (padded[at] << _U(42)) | (padded[at + 1] << _U(21)) | rank[at + 2].astype(_U)
+        return (pairs[at] << _U(32)) | rank[at + 2].astype(_U)
 
     rest = rest[np.argsort(before(rest), kind="stable")]
     ones, twos = order[order % 3 == 1], order[order % 3 == 2]
