@@ -87,6 +87,12 @@ def utc_timestamp(c: Column) -> Column:
         .otherwise(c))
 
 
+def sub_micros(c: Column) -> Column:
+    """Nanoseconds beyond the last whole microsecond of an ISO text; a timestamp drops them."""
+    digits = F.rpad(F.regexp_extract(c, r"\.\d{6}(\d{1,3})", 1), 3, "0")
+    return F.coalesce(digits.cast("int"), F.lit(0))
+
+
 def epoch_seconds(c: Column) -> Column:
     """Whole seconds since 1970-01-01 UTC, rounded down."""
     return F.unix_seconds(utc_timestamp(c))

@@ -56,6 +56,11 @@ def axis_attrs(axis: str, values: dict[str, str] = EPOCH_ATTRS) -> list[tuple[st
     return [(axis, key, f'"{text}"') for key, text in values.items()]
 
 
+def combine_order(mode: Mode, prefix: Sequence[str] = ()) -> list:
+    """Sort columns that make the first granule granule 0."""
+    return order_by_start(prefix) if mode.by_start else [*prefix, "search_rank"]
+
+
 def axis_table(granules: DataFrame, mode: Mode, sizes: DataFrame | None = None,
                base_ordinal: int = 0, base_offset: int = 0,
                rank: str = "search_rank", prefix: Sequence[str] = ()) -> DataFrame:
@@ -66,10 +71,10 @@ def axis_table(granules: DataFrame, mode: Mode, sizes: DataFrame | None = None,
     """
     if "begin" not in granules.columns:
         granules = granule_fields(granules)
-    order = order_by_start() if mode.by_start else [*prefix, rank]
+    order = [*(("begin", "begin_raw") if mode.by_start else ()), *prefix, rank]
     rows = granules.select("granule_id", *_axis_columns(mode), *order)
     if mode.by_start:
-        rows = with_ordinal_sorted(rows, order, base=base_ordinal)
+        rows = with_ordinal_sorted(rows, order_by_start(prefix, rank), base=base_ordinal)
     elif mode.new_axis:
         rows = with_ordinal(rows, rank, prefix, base=base_ordinal)
     else:
@@ -133,14 +138,21 @@ def _placed(rows: DataFrame, role: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def combine_chunks(chunk_refs: DataFrame, role: DataFrame, index: DataFrame) -> DataFrame:
-    """Chunk rows with indices that count over the whole axis."""
+    """Chunk rows with indices that count over the whole axis.
+
+    A granule that would begin within a chunk has no index of its own, so it ends the job.
+    """
     step = F.when(F.col("role") == "spread",
                   F.when(F.col("axis_size") > 0, F.sequence(F.lit(0), F.col("axis_size") - 1))
                   .otherwise(F.array().cast("array<bigint>"))).otherwise(
                       F.array(F.lit(0).cast("bigint")))
     rows = _placed(chunk_refs, role, index).withColumn("_step", F.explode(step))
+    whole = F.when(F.col("axis_offset") % F.col("chunk_len") == 0, F.expr("axis_offset div chunk_len")
+                   ).otherwise(F.raise_error(F.concat(
+                       F.lit("a partial chunk of "), "var", F.lit(" lies before granule "),
+                       "granule_id")).cast("bigint"))
     shifted = F.transform("chunk_idx", lambda i, n: F.when(
-        n == F.col("at"), i + F.expr("axis_offset div chunk_len")).otherwise(i))
+        n == F.col("at"), i + whole).otherwise(i))
     leading = F.concat(F.array(F.col("axis_offset") + F.col("_step")), F.col("chunk_idx"))
     idx = (F.when(F.col("role") == "shift", shifted)
            .when(F.col("role") == "first", F.col("chunk_idx")).otherwise(leading))
@@ -192,7 +204,7 @@ def combine(manifest: Manifest, granules: DataFrame, mode: Mode | str = EXISTING
         mode = Mode(mode.name, axis or mode.axis, mode.new_axis,
                     tuple(mode.coords if coords is None else coords), mode.by_start)
     granules = granule_fields(granules) if "begin" not in granules.columns else granules
-    order = order_by_start() if mode.by_start else [*prefix, "search_rank"]
+    order = combine_order(mode, prefix)
     # Both are read several times below and are far smaller than the tables they come from.
     reference = materialize(reference_variables(manifest.variables, granules, order), "reference")
     if gate:
@@ -246,11 +258,14 @@ def subset_by_start(ds: Dataset, hits: DataFrame, start: str = "start") -> Datas
     """
     wanted = small_side(hits.select(start).distinct())
     axis = ds.axis.join(wanted, start, "left_semi")
-    place = small_side(axis.select("granule_id"))
-    along = ds.variables.where(F.array_contains("dims", F.lit(ds.axis_name))).select("var")
+    place = small_side(axis.select("granule_id", F.lit(True).alias("_wanted")).distinct())
+    along = ds.variables.where(F.array_contains("dims", F.lit(ds.axis_name))).select(
+        "var", F.lit(True).alias("_along"))
     on_axis = small_side(along)
+
     def part(table: DataFrame) -> DataFrame:
-        moving = table.join(on_axis, "var", "left_semi").join(place, "granule_id", "left_semi")
-        return moving.unionByName(table.join(on_axis, "var", "left_anti"))
+        return (table.join(on_axis, "var", "left").join(place, "granule_id", "left")
+                .where("_along is null or _wanted").select(*table.columns))
+
     return Dataset(ds.dims, ds.variables, ds.attrs, part(ds.chunk_refs), part(ds.coord_values),
                    axis, ds.axis_name)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import provider
+from ..functions.dates import sub_micros
 from ..session import materialize
 
 #: Positions per block are 2 ** BLOCK_BITS: the most rows one window group holds.
@@ -39,11 +40,17 @@ def with_ordinal(df: DataFrame, rank: str = "search_rank", prefix: Sequence[str]
     value over all earlier rows.
 
     Blocks are cut from the rank itself, so no sampling pass is needed and the plan stays lazy: one
-    exchange by block serves the join with the block totals and the window.
+    exchange by block serves the join with the block totals and the window. A NULL in ``rank`` or
+    ``prefix`` has no position and ends the job.
     """
     sums = dict(sums or {})
     keys = [*prefix, "_block"]
-    blocked = df.withColumn("_block", F.shiftright(F.col(rank), block_bits))
+    unplaced = F.col(rank).isNull()
+    for name in prefix:
+        unplaced = unplaced | F.col(name).isNull()
+    blocked = df.withColumn("_block", F.when(unplaced, F.raise_error(F.lit(
+        f"NULL in {', '.join([*prefix, rank])}: a row without a position")).cast("bigint"))
+        .otherwise(F.shiftright(F.col(rank), block_bits)))
     totals = blocked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(value).alias(f"_sum_{name}") for name, (value, _) in sums.items()])
@@ -78,9 +85,9 @@ def with_ordinal_sorted(df: DataFrame, order: Sequence[str | Column], out: str =
             .drop("_at", "_part", "_start"))
 
 
-def order_by_start() -> list[str]:
-    """Sort columns for start time; the raw text keeps digits that a timestamp drops."""
-    return ["begin", "begin_raw", "search_rank"]
+def order_by_start(prefix: Sequence[str] = (), rank: str = "search_rank") -> list[Column]:
+    """Start time to the nanosecond, then search order."""
+    return [F.col("begin"), sub_micros(F.col("begin_raw")), *map(F.col, prefix), F.col(rank)]
 
 
 def assign_batches(links: DataFrame, rules: Sequence[tuple[str, str]], default: str,

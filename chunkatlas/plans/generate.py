@@ -8,18 +8,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import coord_vars, https_name, is_level2, output_name, s3_to_https
+from ..functions import coord_vars, granule_fields, https_name, is_level2, output_name, s3_to_https
 from ..functions.dates import temporal_range
 from ..operators.attrs import require_attrs
-from ..operators.combine import choose_mode, combine
+from ..operators.combine import choose_mode, combine, combine_order
 from ..operators.quality import dim_conflicts, var_mismatches
-from ..session import local_frame, materialize
+from ..session import local_frame, materialize, small_side
 from ..sinks.refs import convert_refs, write_refs_json, write_refs_parquet
 from ..sinks.reports import publish
 from ..sources.arrays import load_coords
 from ..sources.catalog import direct_links, guard, search, search_specs
-from ..sources.refs import open_refs
-from ..sources.virtualize import Reader, virtualize
+from ..sources.refs import open_refs, open_refs_parquet
+from ..sources.virtualize import ATTEMPTS, Reader, virtualize
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,9 @@ class RunConfig:
     default_host: str = ""
     dests: Sequence[str] = ()
     links: str = "direct"
+    layout: str = "file"
+    on_error: str = "fail"
+    attempts: int = ATTEMPTS
 
 
 STATUS = ("status STRING, reason STRING, granules BIGINT, links BIGINT, spec_override BOOLEAN, "
@@ -81,32 +84,44 @@ def run(spark: SparkSession, granules: DataFrame, config: RunConfig,
     linked = direct_links(found, config.links)
     # A granule that two specs found is read once and placed twice.
     manifest = virtualize(spark, linked.select("granule_id", F.col("url").alias("path")).distinct(),
-                          config.reader)
+                          config.reader, attempts=config.attempts, on_error=config.on_error)
+    if config.on_error == "quarantine":
+        failed = materialize(manifest.errors, "errors")
+        ids = small_side(failed.select("granule_id").distinct())
+        found, linked = (t.join(ids, "granule_id", "left_anti") for t in (found, linked))
+        if report:
+            report("errors", failed)
     if plan["coords"]:
         manifest = load_coords(manifest, plan["coords"])
     conflicts = dim_conflicts(manifest.dims, linked)
-    mismatches = var_mismatches(manifest.variables, found, [*prefix, "search_rank"])
+    mode = choose_mode(config.collection, plan["level2"], dict(config.modes))
+    mismatches = var_mismatches(manifest.variables, granule_fields(found),
+                                combine_order(mode, prefix))
     counts = conflicts.count(), mismatches.count()
     if report:
         report("dim_conflicts", conflicts)
         report("var_mismatches", mismatches)
 
-    mode = choose_mode(config.collection, plan["level2"], dict(config.modes))
     ds = combine(manifest, found, mode, prefix=prefix)
     require_attrs(ds.attrs)
-    s3_file = f"{config.out_dir.rstrip('/')}/{plan['s3']}"
-    https_file = f"{config.out_dir.rstrip('/')}/{plan['https']}"
-    write_refs_parquet(ds, s3_file.removesuffix(".json") + ".parquet", "overwrite")
-    write_refs_json(ds, s3_file)
-    if open_refs(spark, s3_file, "lines").variables.isEmpty():
-        raise ValueError(f"{s3_file} opens without variables")
-    target = f"{config.collection}/"
-    publish(spark, config.out_dir, config.dests, target)
-    convert_refs(spark, s3_file, https_file, buckets=config.buckets, hosts=config.hosts,
-                 default_host=config.default_host, overwrite=True, layout="lines")
-    publish(spark, config.out_dir, config.dests, target)
-    return local_frame(spark, [("ok", None, state["granules"], state["links"], override,
-                                   s3_file, https_file, *counts)], STATUS)
+    s3_file, https_file = (f"{config.out_dir.rstrip('/')}/{plan[kind]}" for kind in ("s3", "https"))
+    # Links that are HTTPS already need no second file.
+    first = https_file if config.links == "https" else s3_file
+    tables = first.removesuffix(".json") + ".parquet"
+    write_refs_parquet(ds, tables, "overwrite")
+    write_refs_json(open_refs_parquet(spark, tables), first, layout=config.layout)
+    if open_refs(spark, first, "lines").variables.isEmpty():
+        raise ValueError(f"{first} opens without variables")
+    if first != https_file:
+        convert_refs(spark, first, https_file, buckets=config.buckets, hosts=config.hosts,
+                     default_host=config.default_host, overwrite=True, layout="lines",
+                     out_layout=config.layout)
+    published = publish(spark, config.out_dir, config.dests, f"{config.collection}/")
+    lost = published.where(~F.coalesce("ok", F.lit(False))).count()
+    return local_frame(spark, [("ok", f"{lost} not published" if lost else None,
+                                state["granules"], state["links"], override,
+                                None if config.links == "https" else s3_file, https_file,
+                                *counts)], STATUS)
 
 
 def translate(spark: SparkSession, arg: str, dst: str | None = None, *, buckets: Sequence[str],

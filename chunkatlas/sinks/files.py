@@ -17,17 +17,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
-def size_of(spark: SparkSession, path: str) -> int:
-    fs, at = _hadoop(spark, path)
-    return fs.getContentSummary(at).getLength()
+def folders(spark: SparkSession, root: str, glob: str) -> list[str]:
+    """Names of the folders directly below ``root`` that match ``glob``."""
+    fs, at = _hadoop(spark, f"{root.rstrip('/')}/{glob}")
+    return sorted(status.getPath().getName() for status in fs.globStatus(at) or []
+                  if status.isDirectory())
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    fs, at = _hadoop(spark, source)
-    to_fs, to = _hadoop(spark, target)
-    if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
-            fs, at, to_fs, to, True, True, spark._jsc.hadoopConfiguration()):
-        raise OSError(f"cannot move {source} to {target}")
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a short text as one file."""
+    fs, at = _hadoop(spark, path)
+    stream = fs.create(at, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
 
 
 def concat_parts(spark: SparkSession, parts: str, out: str, top: str, bottom: str) -> None:
@@ -55,6 +59,6 @@ def concat_parts(spark: SparkSession, parts: str, out: str, top: str, bottom: st
     finally:
         stream.close()
     if to_fs.exists(target):
-        to_fs.delete(target, False)
+        to_fs.delete(target, True)
     if not to_fs.rename(staged, target):
         raise OSError(f"cannot rename {staged.toString()} to {target.toString()}")

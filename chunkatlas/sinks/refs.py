@@ -17,13 +17,14 @@ from ..schemas import Dataset
 from ..session import local_frame, materialize, scratch_path, small_side
 from ..sources.refs import (ARRAY_META, ATTR_META, COORD_NAMES, DIM_NAMES, GROUP_META,
                             read_head_json, read_refs_json)
-from .files import concat_parts, exists, move, size_of
+from .files import concat_parts, exists, write_text
 
 #: Values of a loaded coordinate that share one inline chunk.
 COORD_CHUNK = 65_536
-#: Largest reference file that is joined into one; larger ones stay folders of parts. Readers that
-#: take a file as one document stop at about this size anyway.
-DOCUMENT_BYTES = 2 << 30
+#: How a reference file lies on the file system: as one file, or as a folder of parts.
+LAYOUTS = ("file", "parts")
+#: What an integer coordinate of a new axis holds where a granule has no value.
+NO_INTEGER = -(1 << 63)
 
 
 def quoted(text: Column) -> Column:
@@ -51,10 +52,10 @@ def _encode(values: pd.Series, spots: pd.Series, size: pd.Series, dtype: pd.Seri
 def _inline_chunks(cells: DataFrame) -> DataFrame:
     """Inline chunks from cells ``(var, pos, value, shape, dtype)``.
 
-    Chunks cut only the leading dimension, at a fixed number of values, so a group never holds
+    A cell without a value is left out. Chunks cut only the leading dimension, at a fixed number of values, so a group never holds
     more than one chunk.
     """
-    placed = cells.select("var", "pos", "value", "dtype", _inner(F.col("shape")).alias("inner"),
+    placed = cells.where("value is not null").select("var", "pos", "value", "dtype", _inner(F.col("shape")).alias("inner"),
                           F.size("shape").alias("rank"), F.coalesce(
                               F.get(_value_chunk_shape(F.col("shape")), F.lit(0)),
                               F.lit(1)).alias("_steps")).withColumns({
@@ -63,11 +64,11 @@ def _inline_chunks(cells: DataFrame) -> DataFrame:
     rest = F.transform(F.sequence(F.lit(1), F.greatest("rank", F.lit(1))),
                        lambda i: F.when(i == 1, F.col("_chunk")).otherwise(F.lit(0)))
     rows = placed.groupBy("var", "_chunk", "_steps", "inner", "rank", "dtype").agg(
-        F.collect_list("value").alias("values"), F.collect_list("_spot").alias("spots"))
+        F.collect_list(F.struct("_spot", "value")).alias("cells"))
     return rows.select(
         chunk_key("var", F.when(F.col("rank") == 0, F.array().cast("array<bigint>"))
                   .otherwise(rest)).alias("key"),
-        _encode("values", "spots", F.col("inner") * F.col("_steps"), "dtype")
+        _encode("cells.value", "cells._spot", F.col("inner") * F.col("_steps"), "dtype")
         .alias("inline_text"))
 
 
@@ -97,9 +98,9 @@ def _axis_variables(ds: Dataset) -> tuple[DataFrame | None, list[DataFrame]]:
     columns.setdefault(ds.axis_name, F.col("axis_offset"))
     types = dict(ds.axis.dtypes)
     texts = [c for c in names if types[c] == "string"]
-    widths = {}
-    if texts:
-        widths = ds.axis.agg(*[F.max(F.length(c)).alias(c) for c in texts]).first().asDict()
+    widths = ds.axis.agg(*[
+        (F.max(F.length(c)) if c in texts else F.count_if(F.col(c).isNull())).alias(c)
+        for c in names]).first().asDict()
     total = ds.axis.agg(F.max(F.col("axis_offset") + F.col("axis_size"))).first()[0] or 0
     meta, chunks = [], []
     for name, value in columns.items():
@@ -107,11 +108,14 @@ def _axis_variables(ds: Dataset) -> tuple[DataFrame | None, list[DataFrame]]:
         kind = types.get(source, "bigint")
         dtype = f"<U{max(widths[source] or 1, 1)}" if kind == "string" else "<i8"
         value = F.unix_micros(value) if kind == "timestamp" else value
+        gaps = kind != "string" and bool(widths.get(source))
+        value = F.coalesce(value, F.lit("" if kind == "string" else NO_INTEGER))
         chunks.append(_inline_chunks(ds.axis.select(
             F.lit(name).alias("var"), F.col("axis_offset").alias("pos"), value.alias("value"),
             F.array(F.lit(total).cast("bigint")).alias("shape"), F.lit(dtype).alias("dtype"))))
         meta.append((name, [ds.axis_name], [total], [max(min(total, COORD_CHUNK), 1)], dtype,
-                     '{"compressor":null,"filters":null,"order":"C"}', "null", True, True))
+                     '{"compressor":null,"filters":null,"order":"C"}',
+                     str(NO_INTEGER) if gaps else "null", True, True))
     schema = ("var STRING, dims ARRAY<STRING>, shape ARRAY<BIGINT>, chunk_shape ARRAY<BIGINT>, "
               "dtype STRING, codec_json STRING, fill_json STRING, is_coord BOOLEAN, "
               "loadable BOOLEAN")
@@ -198,27 +202,34 @@ def _entry(indent: bool) -> Column:
 
 
 def write_refs_json(source: Dataset | DataFrame, path: str, head: str = '{"version":1}',
-                    indent: bool = False, max_bytes: int = DOCUMENT_BYTES) -> bool:
-    """Write one reference file, entries sorted by key; return whether it is one file.
-
-    The entries are sorted and written as parts by all tasks, and the parts are then joined on the
-    file system. Without ``indent`` each entry is one line (``layout="lines"``). Parts of more than
-    ``max_bytes`` are not joined: ``path`` is then a folder of the same text in many files, which
-    the same layout reads.
+                    indent: bool = False, layout: str = "file") -> None:
+    """Write one reference file, entries sorted by key, over what ``path`` holds.
+
+    The entries are sorted and written as parts by all tasks. ``file`` then joins them on the file
+    system, through one process. ``parts`` leaves them in the folder ``path``, with the text before
+    and after the entries in files of their own: in order of names the files make up the same text.
+    Readers take both. Without ``indent`` each entry is one line (``layout="lines"`` when read).
+    Of rows that share a key the last one counts.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout: {layout!r}")
     refs = dataset_to_refs(source) if isinstance(source, Dataset) else source
     spark = refs.sparkSession
-    entries = materialize(refs.select("key", _entry(indent).alias("text")), "entries")
+    placed = refs.select("key", _entry(indent).alias("text"),
+                         F.monotonically_increasing_id().alias("_at"))
+    entries = materialize(
+        placed.groupBy("key").agg(F.max_by("text", "_at").alias("text")), "entries")
     last = entries.agg(F.max("key")).scalar()
-    parts = scratch_path(spark, "parts")
+    parts = path if layout == "parts" else scratch_path(spark, "parts")
     (entries.withColumn("_comma", F.when(F.col("key") == last, "").otherwise(","))
-     .sort("key").select(F.concat("text", "_comma").alias("value")).write.text(parts))
-    if size_of(spark, parts) > max_bytes:
-        move(spark, parts, path)
-        return False
+     .sort("key").select(F.concat("text", "_comma").alias("value"))
+     .write.mode("overwrite").text(parts))
     top, bottom = _frame(spark, head, indent)
-    concat_parts(spark, parts, path, top, bottom)
-    return True
+    if layout == "file":
+        concat_parts(spark, parts, path, top, bottom)
+    else:
+        write_text(spark, f"{path}/head", top)
+        write_text(spark, f"{path}/tail", bottom)
 
 
 def _frame(spark: SparkSession, head: str, indent: bool) -> tuple[str, str]:
@@ -240,7 +251,8 @@ def write_refs_parquet(ds: Dataset, path: str, mode: str = "errorifexists") -> N
     """
     for name, table in ds.tables().items():
         if name == "chunk_refs":
-            table = table.repartitionByRange("var", "chunk_idx").sortWithinPartitions(
+            # Ranges are found by a sample, which would compute the combination once more.
+            table = materialize(table, "chunks").repartitionByRange("var", "chunk_idx").sortWithinPartitions(
                 "var", "chunk_idx")
             table.write.mode(mode).partitionBy("var").parquet(f"{path}/{name}")
             continue
@@ -255,18 +267,17 @@ def write_refs_parquet(ds: Dataset, path: str, mode: str = "errorifexists") -> N
 def convert_refs(spark: SparkSession, src: str, dst: str | None = None, *,
                  buckets: Sequence[str], hosts: Mapping[str, str], default_host: str,
                  overwrite: bool = False, layout: str = "document",
-                 head: str = '{"version":1}') -> str:
+                 out_layout: str = "file") -> str:
     """Rewrite the URLs of a reference file to HTTPS, with two-space indentation.
 
     Other top-level keys stay, and so does a file without ``refs``. Writing over ``src`` needs
-    ``overwrite=True``. With another layout than ``document`` the file is read in parallel, and
-    ``head`` gives the other top-level keys.
+    ``overwrite=True``. With another layout than ``document`` the file is read in parallel.
+    ``out_layout`` is the layout of ``write_refs_json``.
     """
     out = dst or src
     if not overwrite and exists(spark, out):
         raise FileExistsError(f"{out} exists; pass overwrite=True to replace it")
-    if layout == "document":
-        head = read_head_json(spark, src)
+    head = read_head_json(spark, src, layout)
     if head is None:
         whole = spark.read.text(src, wholetext=True)
         parts = scratch_path(spark, "parts")
@@ -274,5 +285,5 @@ def convert_refs(spark: SparkSession, src: str, dst: str | None = None, *,
         concat_parts(spark, parts, out, "", "")
         return out
     refs = rewrite_refs(read_refs_json(spark, src, layout), buckets, hosts, default_host)
-    write_refs_json(refs, out, head=head, indent=True)
+    write_refs_json(refs, out, head=head, indent=True, layout=out_layout)
     return out

@@ -12,7 +12,7 @@ from ..functions import report_key
 from ..operators.sync import SyncRequest, apply_plan, sync_plan
 from ..session import local_frame, materialize
 from ..sources.listing import list_objects
-from .files import exists
+from .files import exists, folders
 
 #: Files that are published.
 PUBLISHED = "*virtual*.json"
@@ -36,12 +36,16 @@ def publish(spark: SparkSession, src: str, dests: Sequence[str], prefix: str = "
             glob: str = PUBLISHED) -> DataFrame:
     """Copy new and changed reference files to each destination.
 
+    A folder directly below ``src`` whose name matches is a file in parts, and all its parts go.
     A destination that does not exist is reported and does not end the run. One row per file, or
     per destination that failed: ``(dest, key, action, ok, error)``.
     """
     columns = "dest STRING, key STRING, action STRING, ok BOOLEAN, error STRING"
     result = local_frame(spark, [], columns)
-    files = materialize(list_objects(spark, src, glob=glob, etag="md5"), "published")
+    files = list_objects(spark, src, glob=glob, etag="md5")
+    for folder in folders(spark, src, glob):
+        files = files.unionByName(list_objects(spark, src, f"{folder}/", etag="md5"))
+    files = materialize(files, "published")
     for dest in dests:
         request = SyncRequest(src, dest, "", prefix)
         try:

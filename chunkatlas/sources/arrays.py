@@ -8,9 +8,10 @@ import json
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,30 +90,36 @@ def inline_bytes(text: str) -> bytes:
     return base64.b64decode(text[7:]) if text.startswith("base64:") else text.encode("utf-8")
 
 
-def _frames(index: np.ndarray, values: np.ndarray) -> Iterator[pd.DataFrame]:
-    """Cells in pieces of bounded size."""
-    for start in range(0, len(values), _CELLS):
-        part = slice(start, start + _CELLS)
-        yield pd.DataFrame({"idx": list(index[part]), "value": values[part]})
-
-
-def _cells(chunk: np.ndarray, chunk_idx: np.ndarray, info: ArrayInfo) -> Iterator[pd.DataFrame]:
-    """Cells of one chunk that lie inside the array, with their place in the whole array."""
+def _cells(chunk: np.ndarray, chunk_idx: Sequence[int],
+           info: ArrayInfo) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in the whole array and values of a chunk's cells inside it, in pieces of bounded size."""
     base = np.asarray(chunk_idx, "int64") * np.asarray(info.chunk_shape, "int64")
     inside = tuple(slice(0, max(0, min(c, n - b)))
                    for c, n, b in zip(info.chunk_shape, info.shape, base))
     part = chunk[inside]
     flat = part.reshape(-1)
-    index = np.stack(np.unravel_index(np.arange(flat.size), part.shape), axis=1) + base \
-        if part.ndim else np.zeros((1, 0), "int64")
+    for start in range(0, flat.size, _CELLS):
+        at = np.arange(start, min(start + _CELLS, flat.size))
+        index = (np.stack(np.unravel_index(at, part.shape), axis=1) + base if part.ndim
+                 else np.zeros((1, 0), "int64"))
+        yield index.astype("int64"), flat[at]
+
+
+def _values(flat: np.ndarray, info: ArrayInfo) -> pa.Array:
+    """The values as Arrow has them: a NaN is a value, not a NULL."""
     if info.value_type == "DOUBLE":
-        flat = flat.astype("f8")
-    elif info.value_type == "BIGINT":
-        flat = flat.astype("i8")
-    else:
-        from decimal import Decimal
-        flat = np.array([Decimal(int(v)) for v in flat], dtype=object)
-    yield from _frames(index.astype("int64"), flat)
+        return pa.array(flat.astype("f8"))
+    if info.value_type == "BIGINT":
+        return pa.array(flat.astype("i8"))
+    return pa.array([Decimal(int(v)) for v in flat], pa.decimal128(20, 0))
+
+
+def _as_double(var: str, flat: np.ndarray) -> pa.Array:
+    """Values of a coordinate; an integer that a double cannot hold ends the job."""
+    values = flat.astype("f8")
+    if flat.dtype.kind in "iu" and any(int(v) != int(f) for v, f in zip(flat, values)):
+        raise ValueError(f"{var}: a value is not exact as a double; do not load this coordinate")
+    return pa.array(values)
 
 
 def read_array(ds: Dataset, var: str, where: Column | None = None, fill: bool = False,
@@ -138,20 +145,23 @@ def read_array(ds: Dataset, var: str, where: Column | None = None, fill: bool =
     # Reading is slow per row, so rows are spread evenly instead of as the table is split.
     chunks = chunks.repartition(partitions or spark.sparkContext.defaultParallelism)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for idx, url, offset, length, text in batch.itertuples(index=False):
-                if isinstance(text, str):
+            for idx, url, offset, length, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if text is not None:
                     chunk = decode(inline_bytes(text), info)
-                elif isinstance(url, str):
-                    at = None if pd.isna(offset) else int(offset)
-                    chunk = decode(read_range(url, at, None if at is None else int(length)), info)
+                elif url is not None:
+                    chunk = decode(read_range(url, offset, length), info)
                 else:
                     value = 0 if info.fill is None else info.fill
                     chunk = np.full(info.chunk_shape, value, np.dtype(info.dtype))
-                yield from _cells(chunk, idx, info)
+                for places, flat in _cells(chunk, idx, info):
+                    ends = np.arange(len(flat) + 1) * places.shape[1]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places.ravel())),
+                        _values(flat, info)], ["idx", "value"])
 
-    return chunks.mapInPandas(read, f"idx ARRAY<BIGINT>, value {info.value_type}")
+    return chunks.mapInArrow(read, f"idx ARRAY<BIGINT>, value {info.value_type}")
 
 
 def _grid(spark, info: ArrayInfo) -> DataFrame:
@@ -176,23 +186,22 @@ def load_coords(manifest: Manifest, names: Sequence[str]) -> Manifest:
               .join(info, ["granule_id", "var"])
               .repartition(spark.sparkContext.defaultParallelism))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for (granule, var, idx, url, offset, length, text, *meta) in batch.itertuples(
-                    index=False):
+            for granule, var, idx, url, offset, length, text, *meta in zip(
+                    *(c.to_pylist() for c in batch.columns)):
                 array = ArrayInfo.parse(var, *meta)
-                at = None if pd.isna(offset) else int(offset)
-                data = inline_bytes(text) if isinstance(text, str) else read_range(
-                    url, at, None if at is None else int(length))
-                for cells in _cells(decode(data, array), idx, array):
-                    spots = np.stack(cells["idx"].to_list())
-                    pos = (np.ravel_multi_index(spots.T, array.shape) if array.shape
-                           else np.zeros(len(cells), "int64"))
-                    yield pd.DataFrame({"granule_id": granule, "var": var, "pos": pos,
-                                        "value": cells["value"].astype("f8")})
+                data = inline_bytes(text) if text is not None else read_range(url, offset, length)
+                for places, flat in _cells(decode(data, array), idx, array):
+                    pos = (np.ravel_multi_index(places.T, array.shape) if array.shape
+                           else np.zeros(len(flat), "int64"))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([granule] * len(flat), pa.string()),
+                        pa.array([var] * len(flat), pa.string()), pa.array(pos, pa.int64()),
+                        _as_double(var, flat)], ["granule_id", "var", "pos", "value"])
 
     return manifest.with_(
         variables=manifest.variables.withColumn(
             "loadable", F.coalesce("loadable", F.lit(False)) | chosen),
         chunk_refs=manifest.chunk_refs.where(~chosen),
-        coord_values=manifest.coord_values.unionByName(chunks.mapInPandas(read, COORD_VALUES)))
+        coord_values=manifest.coord_values.unionByName(chunks.mapInArrow(read, COORD_VALUES)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +24,8 @@ def read_refs_json(spark: SparkSession, path: str | list[str],
                    layout: str = "document") -> DataFrame:
     """Rows of the ``refs`` object of reference files.
 
-    ``document`` reads any JSON, one file per row and so below 2 GB each. ``lines`` and
+    ``document`` reads any JSON, one file per row and so below 128 MiB each, where Spark's variant
+    ends; a larger one fails. ``lines`` and
     ``indented`` read what ``write_refs_json`` makes without and with indentation; there Spark
     splits a file of any size between tasks.
     """
@@ -33,7 +37,7 @@ def read_refs_json(spark: SparkSession, path: str | list[str],
         # A JSON string holds no raw line break, so this separator is found between entries only.
         pieces = spark.read.option("lineSep", ENTRY_BREAK).text(path)
         # A part of a folder begins with an entry instead of the outer braces.
-        pieces = pieces.where(~entry.startswith("{\n")).withColumn(
+        pieces = pieces.where(~entry.startswith("{\n") & (entry != "  }\n}")).withColumn(
             "value", F.regexp_replace(entry, '^    "', ""))
         entries = _single_entries(pieces.withColumn("value", F.concat(
             F.lit('"'), F.regexp_replace(entry, r"(,|\n  \}\n\})$", ""))))
@@ -56,14 +60,23 @@ def _docs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("doc"))
 
 
-def read_head_json(spark: SparkSession, path: str) -> str | None:
+def read_head_json(spark: SparkSession, path: str, layout: str = "document") -> str | None:
     """Text of a reference file's top-level object without ``refs``; NULL if it has no ``refs``."""
-    return spark.sql("""
-        SELECT if(exists(pairs, p -> p.key = 'refs'), to_json(map_from_entries(
-                   filter(pairs, p -> p.key <> 'refs'))), NULL) AS head
-        FROM (SELECT collect_list(struct(e.key, e.value)) AS pairs
-              FROM {docs}, LATERAL variant_explode(doc) AS e(pos, key, value))
-    """, docs=_docs(spark, path)).first()["head"]
+    if layout == "document":
+        return spark.sql("""
+            SELECT if(bool_or(e.key = 'refs'), to_json(map_from_entries(
+                       collect_list(struct(e.key, e.value)) FILTER (WHERE e.key <> 'refs'))),
+                      NULL) AS head
+            FROM {docs}, LATERAL variant_explode(doc) AS e(pos, key, value)
+        """, docs=_docs(spark, path)).first()["head"]
+    indented = layout == "indented"
+    text = spark.read.option("lineSep", ENTRY_BREAK if indented else "\n").text(path)
+    top = text.where(F.col("value").startswith("{\n" if indented else "{")).first()
+    if top is None:
+        return None
+    # ``refs`` comes last, so the text before the entries ends in its brace.
+    head = json.loads(re.sub(r"\{\s*(\}\s*\}\s*)?$", "{}}", top["value"]))
+    return None if head.pop("refs", None) is None else json.dumps(head)
 
 
 def _split_value(value: Column) -> list[Column]:

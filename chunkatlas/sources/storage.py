@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyarrow import fs as pafs
 
+#: Names that Hadoop has for the same object store.
+_SCHEMES = re.compile("^s3[an]://")
+
 
 def locate(url: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URL; a plain path is local."""
@@ -11,7 +16,7 @@ def locate(url: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), "/" + url[len("file:"):].lstrip("/")
     if "://" not in url:
         return pafs.LocalFileSystem(), url
-    return pafs.FileSystem.from_uri(url)
+    return pafs.FileSystem.from_uri(_SCHEMES.sub("s3://", url))
 
 
 def read_range(url: str, offset: int | None = None, length: int | None = None) -> bytes:

@@ -9,6 +9,7 @@ from chunkatlas.operators.combine import combine
 from chunkatlas.operators.rewrite import urls_to_https
 from chunkatlas.plans.generate import translate
 from chunkatlas.sinks.refs import convert_refs, write_refs_json, write_refs_parquet
+from chunkatlas.sinks.reports import publish
 from chunkatlas.sources.arrays import read_array
 from chunkatlas.sources.refs import (open_refs, open_refs_parquet, read_head_json, read_refs_json)
 
@@ -102,17 +103,65 @@ def test_hosts_in_a_table(spark):
 
 
 @pytest.mark.parametrize("indent,layout", [(False, "lines"), (True, "indented")])
-@pytest.mark.parametrize("max_bytes", [1 << 30, 0])
-def test_layouts_that_split(spark, sample, folder, indent, layout, max_bytes):
+@pytest.mark.parametrize("kind", ["file", "parts"])
+def test_layouts_that_split(spark, sample, folder, indent, layout, kind):
     refs = read_refs_json(spark, sample)
-    path = f"{folder}/{layout}-{max_bytes}.json"
-    one_file = write_refs_json(refs, path, indent=indent, max_bytes=max_bytes)
-    assert one_file == bool(max_bytes) and os.path.isdir(path) != one_file
-    if one_file:
-        assert load(path)["refs"] == SAMPLE["refs"]
+    path = f"{folder}/{layout}-{kind}.json"
+    write_refs_json(refs, path, '{"version":1,"templates":{"u":"{{"}}', indent, kind)
+    assert os.path.isdir(path) == (kind == "parts")
+    assert json.loads(read_head_json(spark, path, layout)) == {"version": 1, "templates": {"u": "{{"}}
+    text = "".join(open(f"{path}/{part}", encoding="utf-8").read() for part in sorted(
+        part for part in os.listdir(path) if part[0] not in "._")) if kind == "parts" else open(
+        path, encoding="utf-8").read()
+    assert json.loads(text) == {"version": 1, "templates": {"u": "{{"}, "refs": SAMPLE["refs"]}
     assert rows(read_refs_json(spark, path, layout)) == rows(refs)
 
 
+def test_last_of_repeated_keys(spark, folder):
+    """A repeated key, be it the last in order, leaves a valid file with its last entry."""
+    line = '"{}":["s3://b/{}",0,1]'.format
+    with open(f"{folder}/in", "w", encoding="utf-8") as out:
+        out.write(",\n".join([line("a", 1), line("z", 1), line("a", 2), line("z", 2)]) + "\n")
+    write_refs_json(read_refs_json(spark, f"{folder}/in", "lines"), f"{folder}/out.json")
+    assert load(f"{folder}/out.json")["refs"] == {"a": ["s3://b/2", 0, 1], "z": ["s3://b/2", 0, 1]}
+
+
+def test_axis_value_that_is_missing(spark, folder):
+    """A granule without a cycle keeps its spot; the fill value stands there."""
+    found = granules(spark, [granule("a", 0, "2022-01-01T00:00:00Z", cycle=None),
+                             granule("b", 1, "2022-01-02T00:00:00Z", cycle=7)])
+    made = manifest(spark, dims=[(g, "y", 4) for g in "ab"],
+                    variables=[variable(g, "ssh", ["y"], [4]) for g in "ab"],
+                    chunks=[(g, "ssh", [0], f"s3://b/{g}", 0, 16, None) for g in "ab"])
+    write_refs_json(combine(made, found, "granule"), f"{folder}/g.json")
+    cells = rows(read_array(open_refs(spark, f"{folder}/g.json"), "cycle"))
+    assert cells == [((0,), -(1 << 63)), ((1,), 7)]
+    fill = json.loads(load(f"{folder}/g.json")["refs"]["cycle/.zarray"])["fill_value"]
+    assert fill == -(1 << 63)
+
+
+def test_parts_are_published(spark, folder):
+    os.makedirs(f"{folder}/out")
+    os.makedirs(f"{folder}/dest")
+    refs = read_refs_json(spark, _written(folder))
+    write_refs_json(refs, f"{folder}/out/x_virtual_s3.json", layout="parts")
+    done = publish(spark, f"{folder}/out", [f"{folder}/dest", f"{folder}/none"], "C/").collect()
+    assert {r["dest"] for r in done if not r["ok"]} == {f"{folder}/none"}
+    copied = f"{folder}/dest/C/x_virtual_s3.json"
+    assert load_parts(copied) == load_parts(f"{folder}/out/x_virtual_s3.json")
+
+
+def _written(folder):
+    with open(f"{folder}/s.json", "w", encoding="utf-8") as out:
+        json.dump(SAMPLE, out)
+    return f"{folder}/s.json"
+
+
+def load_parts(path):
+    names = sorted(n for n in os.listdir(path) if n[0] not in "._")
+    return json.loads("".join(open(f"{path}/{n}", encoding="utf-8").read() for n in names))
+
+
 def test_split_reading_of_one_file(spark, folder):
     """Several tasks read one file, and no entry is lost or read twice at their borders."""
     refs = spark.range(20_000).select(
