@@ -1,44 +1,44 @@
 """Language-model scoring with a probabilistic suffix tree, beside plain word counts.
 
-The tree spells words: its symbols are bytes, 0x20 ends a word, and 0x0A ends the text in a word's place. A
-context is a suffix of what stands before a symbol in its word, from the word's start on, of at most DEPTH
-bytes. A context that is frequent enough becomes a state if its next-symbol counts tell it from its parent,
-the context shorter by a byte: if the log-likelihood gain passes ``GAIN``. A state's distribution is smoothed
-with its parent's. A symbol is scored in the state of the longest suffix. As no context reaches across a
-word's start, a word's score depends on the word alone, and each distinct word is scored once.
-
-The word itself is the longest context of all: its count is smoothed with the tree's spelling of it, which
-gets the weight that words seen once say is due to new ones. As it is new words that are spelt, the tree is
-trained on the table of distinct words, each counted once.
+The tree's symbols are the bytes of the running text: its words, ASCII letters in lower case, with one 0x20 between
+them and 0x0A at the end. Contexts are the up to DEPTH bytes before a symbol, whatever word they belong to; before a
+text's first byte stand 0x0A. A context becomes a state if its next-symbol counts tell it from its parent, the context
+shorter by a byte: if the log-likelihood gain passes ``GAIN``. No context is left out for being rare. A state's
+distribution is smoothed with its parent's, and a symbol is scored in the state of the longest suffix.
+
+A window is a symbol with the DEPTH bytes before it, as one number. Blocks of text send each of their windows
+once, with its count in trained texts. All counts, states and probabilities are Spark tables; the driver gets none.
+Windows that only other texts have are in the tables with a count of 0, so each window finds its own probability.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .text import mix
 from .wordtable import buckets_for, rejoin, squeeze, unpack, unsqueeze, word_rows
 
 DEPTH = 4
-#: Least share of all symbols that a context with its next symbol has. It bounds the tree: there are at
-#: most (DEPTH + 1) / SHARE pairs, however large the corpus.
-SHARE = 1e-6
 #: Least log-likelihood gain of a state over its parent, in nats.
 GAIN = 10.0
-_END = 0x0A
-_SPACE = 0x20
+#: Bytes of text after which a block of windows is closed; longer texts are cut into pieces that keep their contexts.
+BLOCK_BYTES = 3 << 20
+_PAD = b"\n" * DEPTH
 _U = np.uint64
 _MASKS = [_U((1 << (8 * n)) - 1) for n in range(9)]
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each byte and end of each word: the last DEPTH bytes and it as one number, the length of the
-    context there, and the number of the word."""
+    context there, and the number of the word. For the plain form of the tree."""
     buf = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
     spaces = np.cumsum(np.concatenate(([0], [len(w) + 1 for w in words])))
     place = np.arange(len(buf))
@@ -53,7 +53,7 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Tree:
-    """States and smoothed counts as sorted arrays, one pair per context length."""
+    """The plain form of the tree, for small tables: states and smoothed counts as sorted arrays per context length."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """``levels``: for each context length the sorted numbers (context, symbol) and their counts."""
@@ -97,15 +97,6 @@ class Tree:
             p[hit] = np.where(keys[to] == own, counts[to], 0.0) / weight[at] + back[at] * p[hit]
         return p
 
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of each word and its end."""
-        value, length, word = grams(words)
-        return np.bincount(word, np.log10(self.symbols(value, DEPTH, length)), len(words))
-
-    def end(self) -> float:
-        """log10 probability that the text ends where a word could begin."""
-        return float(np.log10(self.symbols(np.array([(_SPACE << 8) | _END], _U), 1, np.array([1])))[0])
-
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, c) of all words with a positive count, from the blocks' packed counts."""
@@ -131,48 +122,202 @@ def word_counts(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "word binary, c bigint"))
 
 
-def gram_counts(words: DataFrame) -> DataFrame:
-    """(length, pair, n): counts of contexts of each length with their next symbol over distinct words."""
+def running(text: str | None) -> bytes:
+    """The symbols of a text."""
+    return b" ".join((text or "").encode().lower().split()) + b"\n"
+
+
+def windows(data: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct windows, sorted, of pieces laid end to end, and the number of each place's window.
+
+    The first DEPTH bytes of each piece are context only. Windows grow byte by byte and are numbered anew each
+    time, so they are mostly found by tables instead of a sort.
+    """
+    buf = np.frombuffer(data, np.uint8)
+    own = np.ones(len(buf), bool)
+    starts = np.cumsum(sizes) - sizes
+    own[(starts[:, None] + np.arange(DEPTH)).ravel()] = False
+    symbols, last = _numbered(buf, 256)
+    names, place = symbols.astype(_U), last
+    for length in range(1, DEPTH + 1):
+        code = place[:-1].astype(np.int64) * len(symbols) + last[length:]
+        if length == DEPTH:
+            code = code[own[DEPTH:]]
+        kinds, place = _numbered(code, len(names) * len(symbols))
+        names = (names[kinds // len(symbols)] << _U(8)) | symbols[kinds % len(symbols)].astype(_U)
+    return names, place
+
+
+def _numbered(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct codes, which are below ``limit``, and the number of each."""
+    if limit > 4 * BLOCK_BYTES:
+        return np.unique(codes, return_inverse=True)
+    there = np.zeros(limit, bool)
+    there[codes] = True
+    names = np.flatnonzero(there)
+    numbers = np.empty(limit, np.int32)
+    numbers[names] = np.arange(len(names), dtype=np.int32)
+    return names, numbers[codes]
+
+
+def _buckets(values: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of sorted windows by bucket, and their buckets in that order."""
+    bucket = (mix(values) % _U(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
+
+
+def _split(order: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    for part in np.split(np.arange(len(order)), np.flatnonzero(np.diff(bucket)) + 1):
+        if len(part):
+            yield int(bucket[part[0]]), order[part]
+
+
+_BLOCK = "block binary, bucket int, data binary, more binary, keys array<bigint>, sizes array<int>"
+
+
+def _block(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)],
+        ["block", "bucket", "data", "more", "keys", "sizes"])
+
+
+def window_rows(docs: DataFrame, key: str, text: str, buckets: int, mark: Column) -> DataFrame:
+    """Per block of text and bucket: the block's windows, each once, sorted, with their counts in marked texts.
+
+    One more row per block, of the bucket ``buckets``, holds the text, and the keys and sizes of its pieces.
+    """
+    def close(pieces: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
+        data = b"".join(p[2] for p in pieces)
+        sizes = np.array([len(p[2]) for p in pieces], np.int64)
+        keys = [p[0] for p in pieces]
+        names, place = windows(data, sizes)
+        counts = np.bincount(place[np.repeat([p[1] for p in pieces], sizes - DEPTH)], minlength=len(names)).astype(np.uint32)
+        digest = hashlib.blake2b(data, digest_size=16)
+        digest.update(np.array(keys, np.int64).tobytes() + sizes.tobytes())
+        name = digest.digest()
+        rows = [(name, own, squeeze(names[at]), squeeze(counts[at]), None, None)
+                for own, at in _split(*_buckets(names, buckets))]
+        return _block([*rows, (name, buckets, zstandard.ZstdCompressor(level=3).compress(data), None, keys, sizes.tolist())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, held = [], 0
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            if not names:
-                continue
-            value, length, _ = grams(names)
-            for n in range(DEPTH + 1):
-                kept = length >= n
-                pairs, total = np.unique(value[kept] & _MASKS[n + 1], return_counts=True)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                for own, content, marked in zip(*(part.column(i).to_pylist() for i in range(3))):
+                    whole = _PAD + running(content)
+                    for lo in range(0, len(whole) - DEPTH, BLOCK_BYTES):
+                        piece = whole[lo:lo + BLOCK_BYTES + DEPTH]
+                        pieces.append((own, marked, piece))
+                        held += len(piece)
+                        if held >= BLOCK_BYTES:
+                            yield close(pieces)
+                            pieces, held = [], 0
+        if pieces:
+            yield close(pieces)
+
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark.alias("mark")).mapInArrow(run, _BLOCK)
+
+
+def window_counts(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(pair, n) of all windows, those without a count included."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for values, counts in zip(*(batch.column(i).to_pylist() for i in range(2))):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pairs), n, np.int32)), pa.array(pairs.view(np.int64)), pa.array(total)],
-                    ["length", "pair", "n"])
+                    [pa.array(unsqueeze(values, np.int64)), pa.array(unsqueeze(counts, np.uint32).astype(np.int64))], ["pair", "n"])
 
-    counted = words.mapInArrow(run, "length int, pair bigint, n bigint").groupBy("length", "pair").agg(
-        F.sum("n").alias("n"))
-    # The end of a text is one more word: a symbol of the empty context and of a word's start.
-    extra = words.sparkSession.range(2).select(
-        F.col("id").cast("int").alias("length"),
-        F.when(F.col("id") == 0, _END).otherwise((_SPACE << 8) | _END).cast("bigint").alias("pair"),
-        F.lit(1).cast("bigint").alias("n"))
-    return counted.unionByName(extra)
+    return (blocks.where(F.col("bucket") < buckets).select("data", "more").mapInArrow(run, "pair bigint, n bigint")
+            .groupBy("pair").agg(F.sum("n").alias("n")))
 
 
-def fit_tree(words: DataFrame) -> Tree:
-    """The tree of a table of distinct words.
+def probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(pair, p): each window's probability of its symbol in the state of its longest suffix.
 
-    Counts cover all words; pairs below SHARE of all symbols are left to the parent's distribution, so
-    the pairs that reach the driver are bounded by SHARE and DEPTH.
+    Level by level, each context's pairs are joined with the same symbol's probability in the parent. A
+    pair has at most 256 extensions by a byte and a context at most 256 symbols, so no key is hot.
     """
-    counts = materialize(gram_counts(words), "grams")
-    symbols = counts.where("length = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = max(1, int(SHARE * symbols))
-    rows = counts.where((F.col("n") >= least) | (F.col("length") == 0)).where("n > 0").toArrow()
-    length, pair, n = (rows.column(i).to_numpy() for i in range(3))
-    levels = []
-    for own in range(DEPTH + 1):
-        picked = pair[length == own].view(_U)
-        order = np.argsort(picked)
-        levels.append((picked[order], n[length == own][order]))
-    return Tree(levels)
+    out = None
+    for length in range(depth + 1):
+        own = counts
+        if length < depth:
+            pair = F.col("pair").bitwiseAND(F.lit((1 << (8 * (length + 1))) - 1))
+            own = counts.groupBy(pair.alias("pair")).agg(F.sum("n").alias("n"))
+        if out is None:
+            own = own.withColumn("parent", F.lit(1 / 256))
+        else:
+            shorter = F.col("pair").bitwiseAND(F.lit((1 << (8 * length)) - 1))
+            own = own.withColumn("_suffix", shorter).join(
+                out.select(F.col("pair").alias("_suffix"), F.col("p").alias("parent")), "_suffix").drop("_suffix")
+        context = Window.partitionBy("context")
+        n = F.col("n").cast("double")
+        step = own.withColumn("context", F.shiftrightunsigned("pair", 8)).select(
+            "pair", "n", "parent", F.sum(n).over(context).alias("total"),
+            F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).over(context).alias("kinds"),
+            F.sum(F.when(F.col("n") > 0, n * F.log(n / F.col("parent"))).otherwise(0.0)).over(context).alias("part"))
+        gain = F.col("part") - F.when(F.col("total") > 0, F.col("total") * F.log("total")).otherwise(0.0)
+        kept = F.lit(True) if not length else (F.col("total") > 0) & (gain >= GAIN)
+        smooth = (n + (F.col("kinds") + 1.0) * F.col("parent")) / (F.col("total") + F.col("kinds") + 1.0)
+        out = step.select("pair", F.when(kept, smooth).otherwise(F.col("parent")).alias("p"))
+    return out
+
+
+def tree_scores(docs: DataFrame, key: str, text: str, buckets: int, mark: Column) -> DataFrame:
+    """(key, score): log10 probability of each text's bytes and end, trained on the marked rows. Keys are unique."""
+    blocks = materialize(window_rows(docs, key, text, buckets, mark), "windows")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, p = batch.column(0).to_numpy().view(_U), batch.column(1).to_numpy()
+            yield _block([(None, own, squeeze(values[at]), squeeze(np.log10(p[at])), None, None)
+                          for own, at in _split(*_buckets(values, buckets))])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, learnt, names, logs = None, [], None, None
+        for batch in batches:
+            rows = []
+            for block, bucket, data, more in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if bucket != now:
+                    now, learnt, names = bucket, [], None
+                if block is None:
+                    learnt.append((unsqueeze(data, _U), unsqueeze(more, np.float64)))
+                    continue
+                if names is None:
+                    names, logs = (np.concatenate(c) for c in zip(*learnt))
+                    order = np.argsort(names)
+                    names, logs, learnt = names[order], logs[order], []
+                rows.append((block, bucket, squeeze(logs[np.searchsorted(names, unsqueeze(data, _U))].astype(np.float32)), None, None, None))
+            yield _block(rows)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, got = None, {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, bucket, data, _, keys, sizes = (batch.column(c)[i].as_py() for c in range(6))
+                if block != now:
+                    now, got = block, {}
+                if bucket < buckets:
+                    got[bucket] = unsqueeze(data, np.float32)
+                    continue
+                sizes = np.array(sizes, np.int64)
+                names, place = windows(zstandard.ZstdDecompressor().decompress(data), sizes)
+                logs = np.empty(len(names))
+                for own, at in _split(*_buckets(names, buckets)):
+                    logs[at] = got[own]
+                of_piece = np.repeat(np.arange(len(sizes)), sizes - DEPTH)
+                sums = np.bincount(of_piece, logs[place], len(sizes))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sums)], ["key", "part"])
+
+    learnt = probabilities(materialize(window_counts(blocks, buckets), "grams")).mapInArrow(pack, _BLOCK)
+    answers = (blocks.where(F.col("bucket") < buckets).withColumn("more", F.lit(None).cast("binary")).unionByName(learnt)
+               .repartition(parts, "bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first())
+               .mapInArrow(answer, _BLOCK))
+    return (blocks.where(F.col("bucket") == buckets).unionByName(answers).repartition(parts, "block")
+            .sortWithinPartitions("block", "bucket").mapInArrow(add, "key bigint, part double")
+            .groupBy(F.col("key").alias(key)).agg(F.sum("part").alias("score")))
 
 
 def held_out(key: Column, folds: int = 5, fold: int = 1) -> Column:
@@ -185,85 +330,67 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     Tokens are the words, ASCII letters in lower case, and one end. base_score adds up smoothed word
-    frequencies; score is the model's log10 probability of the same tokens. A null or empty text
-    is the end alone. If nothing is trained on, every token is unknown and the tree is uniform. ``key``
+    frequencies; score is the tree's log10 probability of the same tokens in their order. A null or empty
+    text is the end alone. If nothing is trained on, every token is unknown and the tree is uniform. ``key``
     is an integer column, which may be null or repeated.
     """
-    buckets = buckets_for(docs)
+    # The row number is fixed by writing it.
+    own = materialize(docs.select(F.col(key).cast("bigint").alias(key), text).withColumn(
+        "_row", F.monotonically_increasing_id()), "rows")
+    buckets = buckets_for(own)
     train = ~held_out(F.col(key), folds, fold)
-    rows = materialize(word_rows(docs, key, text, buckets, True, train), "words")
-    words = materialize(word_counts(rows), "counts")
-    ends = docs.where(train).count()
-    kinds, total, once = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0)),
-                                   F.count(F.when(F.col("c") == 1, 1))).first()
+    rows = materialize(word_rows(own, "_row", text, buckets, True, train), "words")
+    ends = own.where(train).count()
+    kinds, total = word_counts(rows).agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     kinds, total = kinds + (ends > 0), total + ends
-    tree = docs.sparkSession.sparkContext.broadcast(fit_tree(words))
-    fresh = once + 1.0
     scale = np.log10(total + 0.5 * (kinds + 1))
-    answers = _scored(rows, buckets, tree)
-
-    def read(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        counts, scores = [], []
-        for part in parts:
-            cut = int.from_bytes(part[:4], "little")
-            counts.append(unsqueeze(part[4:4 + cut], np.int64))
-            scores.append(unsqueeze(part[4 + cut:], np.float32).astype(float))
-        return (np.concatenate(counts), np.concatenate(scores)) if parts else (np.zeros(0, np.int64), np.zeros(0))
-
-    def write(values, keys, sizes, place) -> pa.RecordBatch:
-        counts, scores = values
+
+    def read(parts: list[bytes]) -> np.ndarray:
+        return np.concatenate([unsqueeze(part, np.int64) for part in parts]) if parts else np.zeros(0, np.int64)
+
+    def write(counts, keys, sizes, place) -> pa.RecordBatch:
         of_doc = np.repeat(np.arange(len(sizes)), sizes)
-        own = counts[place]
-        base = np.bincount(of_doc, np.log10(own + 0.5) - scale, len(sizes)) + np.log10(ends + 0.5) - scale
-        # Every count is smoothed with the tree's probability of the same word, or of the end.
-        each = np.log10((counts + fresh * 10.0 ** scores) / (total + fresh))
-        last = np.log10((ends + fresh * 10.0 ** tree.value.end()) / (total + fresh))
-        spelt = np.bincount(of_doc, each[place], len(sizes)) + last
-        known = np.bincount(of_doc, own > 0, len(sizes)).astype(np.int64) + int(ends > 0)
+        seen = counts[place]
+        base = np.bincount(of_doc, np.log10(seen + 0.5) - scale, len(sizes)) + np.log10(ends + 0.5) - scale
+        known = np.bincount(of_doc, seen > 0, len(sizes)).astype(np.int64) + int(ends > 0)
         return pa.RecordBatch.from_arrays([
             pa.array(keys, pa.int64()), pa.array(sizes + 1), pa.array(known),
-            pa.array(np.full(len(sizes), total, np.int64)), pa.array(base), pa.array(spelt)],
-            [key, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            pa.array(np.full(len(sizes), total, np.int64)), pa.array(base)],
+            ["_row", "n_tokens", "n_known", "train_tokens", "base_score"])
 
-    scored = rejoin(docs, key, text, buckets, answers, read, write,
-                    f"`{key}` bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
-                    lower=True)
-    return scored.select(key, held_out(F.col(key), folds, fold).alias("held_out"), "n_tokens", "n_known",
-                         "train_tokens", "base_score", "score")
+    plain = rejoin(own, "_row", text, buckets, _counted(rows), read, write,
+                   "_row bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double", lower=True)
+    return (own.select("_row", key).join(plain, "_row").join(tree_scores(own, "_row", text, buckets, train), "_row")
+            .select(key, held_out(F.col(key), folds, fold).alias("held_out"), "n_tokens", "n_known",
+                    "train_tokens", "base_score", "score"))
 
 
-def _scored(rows: DataFrame, buckets: int, tree) -> DataFrame:
-    """Answers of count and score for each row of words; counts are added up over the bucket's rows first."""
+def _counted(rows: DataFrame) -> DataFrame:
+    """Counts of the words of each row of words, added up over the bucket's rows first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, now = [], None
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if row[1] != now:
                     if group:
-                        yield _answer(group, tree.value)
+                        yield _answer(group)
                     group, now = [], row[1]
                 group.append(row)
         if group:
-            yield _answer(group, tree.value)
+            yield _answer(group)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.select("block", "bucket", "words", "counts").repartition(parts, "bucket")
             .sortWithinPartitions("bucket").mapInArrow(run, "block binary, bucket int, answer binary"))
 
 
-def _answer(group: list[tuple], tree: Tree) -> pa.RecordBatch:
+def _answer(group: list[tuple]) -> pa.RecordBatch:
     known: dict[bytes, int] = {}
     places, counts = [], []
     for _, _, words, packed in group:
         places.append(np.array([known.setdefault(w, len(known)) for w in unpack(words)], np.int64))
         counts.append(unsqueeze(packed, np.uint32))
     total = np.bincount(np.concatenate(places), np.concatenate(counts).astype(float), len(known)).astype(np.int64)
-    names = list(known)
-    scores = np.concatenate([tree.words(names[i:i + 65536]) for i in range(0, len(names), 65536)]).astype(np.float32)
-    answers = []
-    for at in places:
-        own = squeeze(total[at])
-        answers.append(len(own).to_bytes(4, "little") + own + squeeze(scores[at]))
     return pa.RecordBatch.from_arrays([
         pa.array([g[0] for g in group], pa.binary()), pa.array([g[1] for g in group], pa.int32()),
-        pa.array(answers, pa.binary())], ["block", "bucket", "answer"])
+        pa.array([squeeze(total[at]) for at in places], pa.binary())], ["block", "bucket", "answer"])

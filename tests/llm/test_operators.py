@@ -204,6 +204,31 @@ def test_tree_is_a_distribution():
         assert abs(tree.symbols(pairs, lm_scoring.DEPTH, np.full(256, len(context))).sum() - 1) < 1e-9
 
 
+def plain_scores(texts, trained):
+    """The scores of the plain tree over running texts."""
+    import numpy as np
+
+    def parts(some):
+        pieces = [lm_scoring._PAD + lm_scoring.running(t) for t in some]
+        names, place = lm_scoring.windows(b"".join(pieces), np.array([len(p) for p in pieces], np.int64))
+        return names[place]
+
+    value = parts(trained)
+    tree = lm_scoring.Tree([np.unique(value & lm_scoring._MASKS[n + 1], return_counts=True) for n in range(lm_scoring.DEPTH + 1)])
+    return [float(np.log10(tree.symbols(parts([t]), lm_scoring.DEPTH)).sum()) for t in texts]
+
+
+def test_contexts_of_a_large_tree_all_count(docs, rows, monkeypatch):
+    """All pairs count, rare ones too, also of texts that are cut into pieces."""
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
+    right = plain_scores([t for _, t, _ in rows], [t for d, t, _ in rows if not held(d)])
+    for size in (lm_scoring.BLOCK_BYTES, 1000):
+        monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", size)
+        got = by_id(lm_scoring.score(docs))
+        assert all(abs(got[d]["score"] - p) < 1e-6 * max(1, abs(p)) for (d, _, _), p in zip(rows, right))
+    assert not hasattr(lm_scoring, "SHARE")
+
+
 def test_quality(docs, rows, odd):
     trusted = local_frame(docs.sparkSession, [(rows[0][0],), (rows[0][0],), (None,), (999,)], "doc_id bigint")
     got = by_id(quality.judge(docs, trusted))
