@@ -229,6 +229,13 @@ def test_contexts_of_a_large_tree_all_count(docs, rows, monkeypatch):
     assert not hasattr(lm_scoring, "SHARE")
 
 
+def test_order_of_words_counts(spark):
+    text = "the cat sat on a mat and " * 40
+    pairs = [(i, text) for i in range(8)] + [(100, "the cat sat on a mat"), (101, "mat a on sat cat the")]
+    got = by_id(lm_scoring.score(local_frame(spark, pairs, "doc_id bigint, text string")))
+    assert got[100]["base_score"] == pytest.approx(got[101]["base_score"]) and got[100]["score"] > got[101]["score"] + 1
+
+
 def test_quality(docs, rows, odd):
     trusted = local_frame(docs.sparkSession, [(rows[0][0],), (rows[0][0],), (None,), (999,)], "doc_id bigint")
     got = by_id(quality.judge(docs, trusted))
