@@ -198,15 +198,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
                 percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the least key.
 
-    Of rows that share a key one stays. Null keys take no part in groups and all stay. Texts stay where
-    they are if the keys that go are measured to be few.
+    Only equal or near-equal texts go: rows that share a key but not their text are rows like any others. Null
+    keys all stay. The rows are numbered by writing them, so the row that is judged is the row that stays.
     """
-    twice = docs.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > 1 and `{key}` is not null").select(key)
-    twice = small_side(materialize(twice, "repeated"))
-    single = docs.join(twice, key, "left_anti").select(*docs.columns).unionByName(
-        docs.join(twice, key, "left_semi").select(*docs.columns).dropDuplicates([key]))
-    gone = near_duplicates(single, key, text, n, percent).where(~F.col("kept")).select(key)
-    return single.join(small_side(materialize(gone, "gone")), key, "left_anti").select(*docs.columns)
+    number = F.monotonically_increasing_id()
+    rows = materialize(docs.withColumn("_row", number), "rows")
+    rows = rows.withColumn("_id", F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"),
+                                           F.col("_row").alias("row")))
+    gone = near_duplicates(rows, "_id", text, n, percent).where(~F.col("kept") & ~F.col("_id.none")).select(
+        F.col("_id.row").alias("_row"))
+    return rows.join(small_side(materialize(gone, "gone")), "_row", "left_anti").select(*docs.columns)
 
 
 def _links(docs: DataFrame, key: str, text: str, n: int, percent: int, nodes: DataFrame) -> DataFrame:

@@ -204,6 +204,14 @@ def test_tree_is_a_distribution():
         assert abs(tree.symbols(pairs, lm_scoring.DEPTH, np.full(256, len(context))).sum() - 1) < 1e-9
 
 
+def test_one_of_each_goes_by_text(spark):
+    """Rows that share a key but not their text all stay; of equal texts the least key's row stays."""
+    unlike = " ".join(f"thing{i} of{i % 7}" for i in range(90))
+    pairs = [(1, PROSE), (1, unlike), (1, "short text"), (3, PROSE), (2, unlike), (2, unlike), (None, PROSE)]
+    left = minhash.one_of_each(local_frame(spark, pairs, "doc_id bigint, text string"))
+    assert Counter(map(tuple, left.collect())) == Counter([(1, PROSE), (1, unlike), (1, "short text"), (None, PROSE)])
+
+
 def plain_scores(texts, trained):
     """The scores of the plain tree over running texts."""
     import numpy as np
