@@ -60,12 +60,14 @@ def slices(texts: Iterable[bytes], limit: int = SLICE) -> Iterator[tuple[int, in
         yield lo, hi
 
 
-def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and for each text (and the end) the number of words before it."""
+def word_spans(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words in order, where they start and end in the joined texts, and for each text (and the
+    end) the number of words before it."""
     buf = np.frombuffer(b"".join(texts), np.uint8)
     edges = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
     if not len(buf):
-        return np.zeros(0, _U), np.zeros(len(texts) + 1, np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, _U), none, none, np.zeros(len(texts) + 1, np.int64)
     if lower:
         buf = _LOWER[buf]
     inside = ~_BREAK[buf]
@@ -77,7 +79,13 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
     sums = np.zeros(len(buf) + 1, _U)
     np.cumsum(_BYTES[buf] * _powers[:len(buf)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * _inverse[starts]
-    return mix(hashes + (ends - starts).astype(_U)), np.searchsorted(starts, edges)
+    return mix(hashes + (ends - starts).astype(_U)), starts, ends, np.searchsorted(starts, edges)
+
+
+def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and for each text (and the end) the number of words before it."""
+    hashes, _, _, edges = word_spans(texts, lower)
+    return hashes, edges
 
 
 def shingle_sets(texts: list[bytes], n: int, lower: bool = True) -> list[np.ndarray]:

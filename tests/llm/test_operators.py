@@ -1,6 +1,7 @@
 """Each operator on a small table of awkward rows, against the plain versions."""
 
 import hashlib
+import random
 import sys
 import zlib
 from collections import Counter
@@ -13,8 +14,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from chunkatlas.llm import bpe, fingerprints, licenses, lm_scoring, minhash, mixing, quality, secrets, sharding, suffix_dedup  # noqa: E402
-from chunkatlas.llm.queries import tokenizer  # noqa: E402
+from chunkatlas.llm import (  # noqa: E402
+    bpe, collocations, fingerprints, licenses, lm_scoring, minhash, mixing, periodic, quality, secrets, sharding, suffix_dedup, toxicity)
+from chunkatlas.llm.queries import repeated_tail, tokenizer  # noqa: E402
 from chunkatlas.session import local_frame  # noqa: E402
 
 PROSE = " ".join(f"word{i * i % 97} and{i % 13}" for i in range(120))
@@ -260,3 +262,122 @@ def test_quality(docs, rows, odd):
 def test_held_out(spark):
     got = by_id(local_frame(spark, [(i,) for i in range(50)], "doc_id bigint").withColumn("held", lm_scoring.held_out(F.col("doc_id"))))
     assert all(r["held"] == (zlib.crc32(str(d).encode()) % 5 == 1) for d, r in got.items())
+
+
+def test_runs_of_any_words():
+    generator = random.Random(7)
+    for _ in range(400):
+        n, kinds = generator.randrange(50), generator.choice([1, 2, 3, 5])
+        x = [generator.randrange(kinds) for _ in range(n)]
+        if n > 6:
+            a, p = generator.randrange(n), generator.randrange(1, 9)
+            x = [x[i] if i < a else x[a + (i - a) % p] for i in range(n)]
+        for least, times in ((6, 4), (2, 2), (5, 3)):
+            assert periodic.find_runs(x, least, times) == brute.runs(x, least, times)
+
+
+def test_collapse_runs(spark, odd):
+    texts = {i: t for i, t in enumerate([
+        None, "", " \t", "a " * 5, "a " * 6, "x " + "a b " * 4 + "y", "a b " * 4 + "a " + "c a b " * 5,
+        " ".join(["é ü"] * 9) + " end", PROSE, PROSE + " " + "z " * 20000 + PROSE, "p q r s " * 3, "p\nq\tr s " * 4])}
+    docs = local_frame(spark, [(d, t, "mine") for d, t in texts.items()], "doc_id bigint, text string, runs string")
+    got = by_id(periodic.collapse_runs(docs))
+    for d, t in texts.items():
+        w = brute.words(t)
+        found = brute.runs(w) if len(w) < 5000 else [(240, 20000, 1)]
+        assert [tuple(r) for r in got[d]["runs"]] == found and got[d]["n_words"] == len(w)
+        gone = {i for s, size, p in found for i in range(s + p, s + size)}
+        assert got[d]["collapsed"] == " ".join(x for i, x in enumerate(w) if i not in gone)
+    assert periodic.collapse_runs(odd).count() == 6 and periodic.collapse_runs(docs.limit(0)).count() == 0
+
+
+def test_repeated_tail():
+    keys = [k for k in range(400) if zlib.crc32(str(k).encode()) % 10 == 0]
+    assert len(keys) > 20 and repeated_tail(None, 9) is None and repeated_tail(keys[0], 0) is None
+    text = " ".join(f"w{i}" for i in range(90))
+    for k in keys:
+        place = repeated_tail(k, 90)
+        assert len(place) == 90 and (place >= 0).all() and (place < 90).all()
+        changed = " ".join(f"w{i}" for i in place)
+        assert brute.periodic(k, text)[-1] == brute.periodic(None, " ".join(
+            changed.split()[i] for i in range(90) if i not in {
+                j for s, size, p in brute.runs(changed.split()) for j in range(s + p, s + size)}))[-1]
+
+
+def test_chunks_count_each_gram_once():
+    generator = random.Random(3)
+    for _ in range(100):
+        texts = [" ".join(generator.choice(["a", "B", "c,", "d.", "é", "z\nz", "\x1eq"]) for _ in range(generator.choice([0, 1, 2, 3, 150])))
+                 for _ in range(5)]
+        counts = Counter(collocations.chunks_of([collocations.marked(t.encode()) for t in texts]))
+        names, got = list(counts), Counter()
+        joined = b"".join(names)
+        for _, a, b, owner, n in zip(*collocations.grams(names, 1)):
+            got[(int(n), joined[a:b].decode())] += counts[names[owner]]
+        assert got == Counter({(n, g): c for (_, n, g), c in brute.ngrams([("en", t) for t in texts]).items()})
+
+
+def test_phrases(spark):
+    lines = ["Strong tea, strong tea. Weak TEA of the day"] * 7 + ["the tea of the day; of the day"] * 6 + ["one two three four"] * 12
+    rows = [("en", t) for t in lines] + [(None, "é ü é ü"), ("de", None), ("de", ""), ("fr", "of the " * 30)] + [(None, "é ü, a")] * 9
+    docs = local_frame(spark, [(l, t, 1) for l, t in rows], "lang string, text string, f int")
+    got = collocations.ranked(collocations.phrases(docs), 4)
+    found = sorted((r["lang"], r["rank"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in got.collect())
+    assert found == brute.collocations(rows, 4) and len(found) > 5
+    assert collocations.phrases(docs.limit(0)).count() == 0
+    assert collocations.phrases(docs.where("text IS NULL")).count() == 0
+
+
+def test_collocation_sums_beyond_64_bits(spark):
+    big = 4_000_000_000_000
+    found = local_frame(spark, [("en", 1, "a", big), ("en", 1, "b", 3 * big), ("en", 2, "a b", big - 1)],
+                        "lang string, words int, phrase string, f bigint")
+    totals = local_frame(spark, [("en", 9 * big)], "lang string, n bigint")
+    row = collocations.rated(found, totals).first()
+    assert row["score"] == 1000000 * (big - 1) ** 2 // (big * 3 * big)
+
+
+def toxic_rows(n):
+    generator = random.Random(1)
+    bad = ["zorkling", "zorkish", "grumpf"]
+    out = []
+    for i in range(n):
+        w = [f"w{generator.randrange(300)}" for _ in range(60)]
+        if i % 5 == 0:
+            w[generator.randrange(60)] = generator.choice(bad)
+        out.append((i, " ".join(w), int(i % 5 == 0)))
+    return out
+
+
+def test_toxicity(spark, odd):
+    rows = [*toxic_rows(400), (900, None, 0), (901, "", None), (902, "w1 Zorklings w2", 0), (903, "Grumpf " + "w5 " * 400_000, None)]
+    docs = local_frame(spark, [(d, t, "s", 5.0) for d, t, _ in rows], "doc_id bigint, text string, label string, score double")
+    held = [d for d, *_ in rows if zlib.crc32(str(d).encode()) % 4 == 2]
+    labels = local_frame(spark, [(d, y, 1) for d, _, y in rows] + [(None, 1, 1), (0, 0, 1)], "doc_id bigint, toxic int, quality int")
+    out = toxicity.held_out(F.col("doc_id"), 4, 2)
+    assert sorted(r["doc_id"] for r in docs.where(out).collect()) == sorted(held)
+    model = toxicity.train(docs, labels.where(~out))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert len(got) == len(rows) and all(0 <= s <= 1 for s in got.values())
+    wrong = [d for d in held if d < 400 and (got[d] >= 0.3) != (d % 5 == 0)]
+    assert len(wrong) <= 0.05 * len(held)
+    assert got[900] == got[901] < 0.3 <= min(got[902], got[903])
+    # Labels of the held-out rows do not matter.
+    other = toxicity.train(docs, labels.withColumn("toxic", F.when(out, 1 - F.col("toxic")).otherwise(F.col("toxic"))).where(~out))
+    assert (other.features == model.features).all() and abs(other.weights - model.weights).max() < 1e-9
+    for some, share in ((labels.where("toxic = 0"), 0.0), (labels.where("toxic = 1"), 1.0), (labels.limit(0), 0.0)):
+        assert {round(r["score"], 6) for r in toxicity.score(odd, toxicity.train(docs, some)).collect()} == {share}
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_long_texts_lose_no_feature():
+    text = "".join(chr(97 + i * i % 23) + str(i) for i in range(400_000))
+    assert len(text) > 2 * toxicity.SLICE
+    at = toxicity.SLICE
+    whole = set(toxicity.present([text])[1].tolist())
+    # Inner pieces, without the ends that get a space: across a cut, at the start and at the end.
+    for lo in (0, at - 50, len(text) - 100):
+        part = text[lo:lo + 100]
+        inner = [part[i:i + n] for n in toxicity.SIZES for i in range(len(part) - n + 1)]
+        codes = {int(sum(ord(c) * int(f) for c, f in zip(g, toxicity._FACTORS)) % 2**64) >> (64 - toxicity.BITS) for g in inner}
+        assert codes <= whole

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert set(QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
