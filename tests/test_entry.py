@@ -10,6 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
+from chunkatlas.plans.oracles import ORACLES  # noqa: E402
+from chunkatlas.plans.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,4 +36,9 @@ def test_entry(spark):
 
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"file_manifest", "sync_apply"}
+    assert set(QUERIES) - set(ORACLES) == {"file_manifest", "sync_apply"}
+
+
+def test_optional_queries():
+    optional = set(entry.queries()) - set(QUERIES)
+    assert all(name == "pipeline" or name.startswith("op") for name in optional)
