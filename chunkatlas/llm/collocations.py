@@ -171,11 +171,10 @@ def dictionary(chunks: DataFrame) -> DataFrame:
         # About half a block each, so that a block's n-grams are few at a time.
         for lo, hi in slices(names, BLOCK_BYTES // 2):
             own, weights = names[lo:hi], np.array([counts[c] for c in names[lo:hi]], np.int64)
-            hashes, _, _, owner, words = grams(own, _seed(lang))
-            total = int(weights[owner[words == 1]].sum())
+            owner = _starts(own)
             packed = _pack(own)
             name = hashlib.blake2b(lang.encode() + b"\n" + packed, digest_size=16).digest()
-            yield _record([(lang, name, total, len(hashes), packed, squeeze(weights))], kinds)
+            yield _record([(lang, name, int(weights[owner].sum()), LONGEST * len(owner), packed, squeeze(weights))], kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, counts = None, {}
@@ -195,6 +194,13 @@ def dictionary(chunks: DataFrame) -> DataFrame:
             .sortWithinPartitions("lang", "bucket").mapInArrow(run, _BLOCKS))
 
 
+def _starts(chunks: list[bytes]) -> np.ndarray:
+    """For each word before the overlap the number of its chunk."""
+    hashes, _, _, edges = word_spans(chunks, False)
+    owner = np.repeat(np.arange(len(chunks)), np.diff(edges))
+    return owner[(hashes != _MARK_HASH) & (np.arange(len(hashes)) < edges[1:][owner] - WINDOW)]
+
+
 def hash_rows(blocks: DataFrame, ranges: int) -> DataFrame:
     """Each block's distinct hashes in order and their weights, by range."""
     kinds = {"block": pa.binary(), "part": pa.int32(), "hashes": pa.binary(), "weights": pa.binary()}
@@ -242,23 +248,63 @@ def frequent_bits(hashed: DataFrame, least: int) -> DataFrame:
             .mapInArrow(run, "block binary, part int, n int, bits binary"))
 
 
+def _alike(text: bytes, starts: np.ndarray, ends: np.ndarray, some: np.ndarray, others: np.ndarray) -> bool:
+    """Whether the pieces ``some`` of a text equal the pieces ``others``, eight bytes at a time."""
+    a, b, left = starts[some], starts[others], (ends - starts)[some]
+    if (left != (ends - starts)[others]).any():
+        return False
+    padded = np.frombuffer(text + b"\0" * 8, np.uint8)
+    eights = np.lib.stride_tricks.as_strided(padded[:8].view(_U), (len(text) + 1,), (1,))
+    while len(left):
+        spare = (np.maximum(8 - left, 0) * 8).astype(_U)
+        if (((eights[a] ^ eights[b]) << spare) != 0).any():
+            return False
+        more = left > 8
+        a, b, left = a[more] + 8, b[more] + 8, left[more] - 8
+    return True
+
+
+def _strings(text: bytes, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Pieces of a text as an array of strings."""
+    sizes = ends - starts
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int32)),
+                                       pa.py_buffer(np.frombuffer(text, np.uint8)[places]))
+
+
 def counted(blocks: DataFrame, bits: DataFrame) -> DataFrame:
-    """lang, words, phrase, n: exact sums per block of the n-grams whose hash passed."""
+    """lang, words, phrase, n: exact sums per block of the n-grams whose hash passed.
+
+    Occurrences with one hash are compared byte by byte; a block in which they differ is counted by a table of texts.
+    """
     kinds = {"lang": pa.string(), "words": pa.int32(), "phrase": pa.string(), "n": pa.int64()}
 
     def closed(lang: str, chunks: bytes, counts: bytes, answers: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         own = _unpack(chunks)
         joined, weights = b"".join(own), unsqueeze(counts, np.int64)
-        hashes, starts, ends, owner, _ = grams(own, _seed(lang))
-        distinct = np.unique(hashes)
+        hashes, starts, ends, owner, words = grams(own, _seed(lang))
+        order = np.argsort(hashes)
+        first = np.flatnonzero(np.concatenate(([True], np.diff(hashes[order]) != 0)))
         passed = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for n, b in answers]).astype(bool)
-        if len(passed) != len(distinct):
+        if len(passed) != len(first):
             raise RuntimeError("a block's answers are not complete")
-        at = np.flatnonzero(passed[np.searchsorted(distinct, hashes)])
-        sums: dict[bytes, int] = defaultdict(int)
-        for a, b, w in zip(starts[at].tolist(), ends[at].tolist(), weights[owner[at]].tolist()):
-            sums[joined[a:b]] += w
-        yield _record([(lang, p.count(b" ") + 1, p.decode(), n) for p, n in sums.items()], kinds)
+        sizes = np.diff(first, append=len(order))
+        order, sizes = order[np.repeat(passed, sizes)], sizes[passed]
+        if not len(order):
+            return
+        first = np.cumsum(sizes) - sizes
+        chosen = order[first]
+        if _alike(joined, starts, ends, order, np.repeat(chosen, sizes)):
+            sums = np.add.reduceat(weights[owner[order]], first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(lang), len(chosen)), pa.array(words[chosen].astype(np.int32)),
+                 _strings(joined, starts[chosen], ends[chosen]), pa.array(sums)], list(kinds))
+            return
+        table: dict[bytes, int] = defaultdict(int)
+        for a, b, w in zip(starts[order].tolist(), ends[order].tolist(), weights[owner[order]].tolist()):
+            table[joined[a:b]] += w
+        yield _record([(lang, p.count(b" ") + 1, p.decode(), n) for p, n in table.items()], kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, answers = None, []

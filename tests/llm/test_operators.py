@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -328,6 +329,16 @@ def test_phrases(spark):
     assert collocations.phrases(docs.where("text IS NULL")).count() == 0
 
 
+def test_pieces_with_one_hash_are_compared():
+    text = "ab cd éf ab cd éf gh ab_long_word_of_more ab_long_word_of_mire".encode()
+    starts, ends = (np.array(x) for x in zip((0, 5), (10, 15), (22, 42), (43, 63)))
+    same = lambda a, b: collocations._alike(text, starts, ends, np.array([a]), np.array([b]))
+    for a in range(4):
+        for b in range(4):
+            assert same(a, b) == (text[starts[a]:ends[a]] == text[starts[b]:ends[b]])
+    assert collocations._strings(text, starts, ends).to_pylist() == [text[a:b].decode() for a, b in zip(starts, ends)]
+
+
 def test_collocation_sums_beyond_64_bits(spark):
     big = 4_000_000_000_000
     found = local_frame(spark, [("en", 1, "a", big), ("en", 1, "b", 3 * big), ("en", 2, "a b", big - 1)],
