@@ -2,18 +2,30 @@
 
 The tree's symbols are the bytes of the running text: its words, ASCII letters in lower case, with one 0x20 between
 them and 0x0A at the end. Contexts are the up to DEPTH bytes before a symbol, whatever word they belong to; before a
-text's first byte stand 0x0A. A context becomes a state if its next-symbol counts tell it from its parent, the context
-shorter by a byte: if the log-likelihood gain passes ``GAIN``. No context is left out for being rare. A state's
-distribution is smoothed with its parent's, and a symbol is scored in the state of the longest suffix.
-
-A window is a symbol with the DEPTH bytes before it, as one number. Blocks of text send each of their windows
-once, with its count in trained texts. All counts, states and probabilities are Spark tables; the driver gets none.
-Windows that only other texts have are in the tables with a count of 0, so each window finds its own probability.
+text's first byte stand 0x0A. A context becomes a state by its divergence from its parent, the context shorter by a
+byte: each occurrence is predicted from the others of its context, smoothed with the parent's distribution, and the
+log-likelihood gained over the parent's predictions has to pass ``GAIN``. A context seen once gains nothing, and one
+that only repeats its parent's distribution loses, however often it is seen. A state's distribution is smoothed with
+its parent's, and a symbol is scored in the state of the longest suffix.
+
+A text is scored word by word, a word being its bytes and the 0x20 or 0x0A after it: the tree's probability of the
+word is smoothed into the distribution of the trained words (Witten and Bell: with the weight of the number of kinds
+of words, against that of the number of words), so that common words need not be spelled. The score is the logarithm
+of the mean of two probabilities of the whole text: of its words in this mixture, and of its bytes in the tree alone,
+where a text that follows learnt contexts closely is likelier than its words one by one. Both sum to 1.
+
+A window is a symbol with the DEPTH bytes before it, as one number. One pass over the texts makes blocks: each sends
+each of its windows and each of its words once, with their counts in trained texts, and keeps its texts. All
+counts, states and probabilities are Spark tables; the driver gets none. Windows that only other texts have are in the
+tables with a count of 0, so each window finds its own probability.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,104 +36,19 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .text import mix
-from .wordtable import buckets_for, rejoin, squeeze, unpack, unsqueeze, word_rows
+from .wordtable import buckets_for, squeeze, unpack, unsqueeze
 
-DEPTH = 4
-#: Least log-likelihood gain of a state over its parent, in nats.
-GAIN = 10.0
+DEPTH = 5
+#: Least log-likelihood that a state gains over its parent, in nats.
+GAIN = 3.0
 #: Bytes of text after which a block of windows is closed; longer texts are cut into pieces that keep their contexts.
 BLOCK_BYTES = 3 << 20
 _PAD = b"\n" * DEPTH
+_LN10 = math.log(10)
 _U = np.uint64
 _MASKS = [_U((1 << (8 * n)) - 1) for n in range(9)]
 
 
-def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte and end of each word: the last DEPTH bytes and it as one number, the length of the
-    context there, and the number of the word. For the plain form of the tree."""
-    buf = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
-    spaces = np.cumsum(np.concatenate(([0], [len(w) + 1 for w in words])))
-    place = np.arange(len(buf))
-    word = np.repeat(np.arange(len(words)), np.diff(spaces))
-    into = place[1:] - spaces[word]
-    value = np.zeros(len(buf) - 1, _U)
-    for back in range(DEPTH, -1, -1):
-        there = into >= back
-        at = np.maximum(place[1:] - back, 0)
-        value = (value << _U(8)) | np.where(there, buf[at], 0).astype(_U)
-    return value, np.minimum(into, DEPTH), word
-
-
-class Tree:
-    """The plain form of the tree, for small tables: states and smoothed counts as sorted arrays per context length."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """``levels``: for each context length the sorted numbers (context, symbol) and their counts."""
-        self.states, self.entries = [], []
-        for length, (pairs, counts) in enumerate(levels):
-            context = pairs >> _U(8)
-            names, first, kinds = np.unique(context, return_index=True, return_counts=True)
-            if not len(names):
-                self.states.append((names, np.zeros(0), np.zeros(0)))
-                self.entries.append((pairs, counts.astype(float)))
-                continue
-            totals = np.add.reduceat(counts.astype(float), first)
-            weight = totals + kinds + 1.0
-            back = (kinds + 1.0) / weight
-            if length:
-                parents = self.symbols(pairs, length - 1)
-                share = counts / np.repeat(totals, kinds)
-                gain = np.add.reduceat(counts * np.log(share / parents), first)
-                kept = gain >= GAIN
-            else:
-                kept = np.ones(len(names), bool)
-            rows = np.repeat(kept, kinds)
-            self.states.append((names[kept], weight[kept], back[kept]))
-            self.entries.append((pairs[rows], counts[rows].astype(float)))
-
-    def symbols(self, pairs: np.ndarray, longest: int, lengths: np.ndarray | None = None) -> np.ndarray:
-        """Probability of each symbol, its context's length limited by ``longest`` and by ``lengths``."""
-        p = np.full(len(pairs), 1 / 256)
-        for length in range(longest + 1):
-            names, weight, back = self.states[length]
-            keys, counts = self.entries[length]
-            if not len(names):
-                continue
-            own = pairs & _MASKS[length + 1]
-            at = np.minimum(np.searchsorted(names, own >> _U(8)), len(names) - 1)
-            hit = names[at] == own >> _U(8)
-            if lengths is not None:
-                hit &= lengths >= length
-            at, own = at[hit], own[hit]
-            to = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            p[hit] = np.where(keys[to] == own, counts[to], 0.0) / weight[at] + back[at] * p[hit]
-        return p
-
-
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, c) of all words with a positive count, from the blocks' packed counts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known = None, {}
-
-        def out() -> pa.RecordBatch:
-            kept = {w: c for w, c in known.items() if c}
-            return pa.RecordBatch.from_arrays([pa.array(kept, pa.binary()), pa.array(kept.values(), pa.int64())], ["word", "c"])
-
-        for batch in batches:
-            for bucket, words, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if bucket != now:
-                    if known:
-                        yield out()
-                    now, known = bucket, {}
-                for w, c in zip(unpack(words), unsqueeze(counts, np.uint32).tolist()):
-                    known[w] = known.get(w, 0) + c
-        yield out()
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.select("bucket", "words", "counts").repartition(parts, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(run, "word binary, c bigint"))
-
-
 def running(text: str | None) -> bytes:
     """The symbols of a text."""
     return b" ".join((text or "").encode().lower().split()) + b"\n"
@@ -173,44 +100,73 @@ def _split(order: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndar
             yield int(bucket[part[0]]), order[part]
 
 
-_BLOCK = "block binary, bucket int, data binary, more binary, keys array<bigint>, sizes array<int>"
+_BLOCK = "block binary, bucket int, data binary, more binary, keys array<bigint>, ids array<string>, sizes array<int>"
+_KINDS = {"block": pa.binary(), "bucket": pa.int32(), "data": pa.binary(), "more": pa.binary(),
+          "keys": pa.list_(pa.int64()), "ids": pa.list_(pa.string()), "sizes": pa.list_(pa.int32())}
 
 
 def _block(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)],
-        ["block", "bucket", "data", "more", "keys", "sizes"])
+    columns = zip(*rows) if rows else [()] * len(_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KINDS.values())], list(_KINDS))
+
+
+def pieces_of(text: str | None) -> Iterator[bytes]:
+    """The symbols of a text in pieces of whole words, each after the DEPTH bytes before it."""
+    whole = _PAD + running(text)
+    lo = DEPTH
+    while lo < len(whole):
+        hi = len(whole)
+        if hi - lo > BLOCK_BYTES:
+            hi = whole.find(b" ", lo + BLOCK_BYTES) + 1 or hi
+        yield whole[lo - DEPTH:hi]
+        lo = hi
 
 
-def window_rows(docs: DataFrame, key: str, text: str, buckets: int, mark: Column) -> DataFrame:
-    """Per block of text and bucket: the block's windows, each once, sorted, with their counts in marked texts.
+def units(pieces: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The words of pieces, and how many each has. The text without words has the empty word."""
+    found = [p[DEPTH:].split() or [b""] for p in pieces]
+    return [w for f in found for w in f], np.array([len(f) for f in found], np.int64)
 
-    One more row per block, of the bucket ``buckets``, holds the text, and the keys and sizes of its pieces.
+
+def numbered_words(words: list[bytes], buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words, the number of each word's, their order by bucket, and the buckets in that order."""
+    numbers: dict[bytes, int] = {}
+    place = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in numbers), np.int32, len(numbers))
+    order = np.argsort(bucket, kind="stable")
+    return list(numbers), place, order, bucket[order]
+
+
+def block_rows(docs: DataFrame, key: str, text: str, buckets: int, mark: Column) -> DataFrame:
+    """Per block of text: its windows by bucket, each once, sorted, with their counts in marked texts; its words
+    likewise, in the buckets from ``buckets`` on; and, in the bucket 2 * ``buckets``, the text, its pieces' keys and
+    sizes, and a name of its own for each row of ``docs``, which a written table keeps.
     """
-    def close(pieces: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
-        data = b"".join(p[2] for p in pieces)
-        sizes = np.array([len(p[2]) for p in pieces], np.int64)
-        keys = [p[0] for p in pieces]
+    def close(pieces: list[tuple[int, str, bool, bytes]]) -> pa.RecordBatch:
+        keys, ids, marks, texts = zip(*pieces)
+        data, sizes = b"".join(texts), np.array(list(map(len, texts)), np.int64)
         names, place = windows(data, sizes)
-        counts = np.bincount(place[np.repeat([p[1] for p in pieces], sizes - DEPTH)], minlength=len(names)).astype(np.uint32)
-        digest = hashlib.blake2b(data, digest_size=16)
-        digest.update(np.array(keys, np.int64).tobytes() + sizes.tobytes())
-        name = digest.digest()
-        rows = [(name, own, squeeze(names[at]), squeeze(counts[at]), None, None)
+        counts = np.bincount(place[np.repeat(marks, sizes - DEPTH)], minlength=len(names)).astype(np.uint32)
+        name = hashlib.blake2b(data + ids[0].encode(), digest_size=16).digest()
+        rows = [(name, own, squeeze(names[at]), squeeze(counts[at]), None, None, None)
                 for own, at in _split(*_buckets(names, buckets))]
-        return _block([*rows, (name, buckets, zstandard.ZstdCompressor(level=3).compress(data), None, keys, sizes.tolist())])
+        found, held = units(texts)
+        words, place, order, bucket = numbered_words(found, buckets)
+        counts = np.bincount(place[np.repeat(marks, held)], minlength=len(words)).astype(np.uint32)
+        rows += [(name, buckets + own, zstandard.ZstdCompressor(level=3).compress(b"\n".join([words[i] for i in at.tolist()])),
+                  squeeze(counts[at]), None, None, None) for own, at in _split(order, bucket)]
+        packed = zstandard.ZstdCompressor(level=3).compress(data)
+        return _block([*rows, (name, 2 * buckets, packed, None, keys, ids, sizes.tolist())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, held = [], 0
+        pieces, held, task, number = [], 0, uuid.uuid4().hex, 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 for own, content, marked in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    whole = _PAD + running(content)
-                    for lo in range(0, len(whole) - DEPTH, BLOCK_BYTES):
-                        piece = whole[lo:lo + BLOCK_BYTES + DEPTH]
-                        pieces.append((own, marked, piece))
+                    number += 1
+                    for piece in pieces_of(content):
+                        pieces.append((own, f"{task}-{number}", marked, piece))
                         held += len(piece)
                         if held >= BLOCK_BYTES:
                             yield close(pieces)
@@ -218,7 +174,44 @@ def window_rows(docs: DataFrame, key: str, text: str, buckets: int, mark: Column
         if pieces:
             yield close(pieces)
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark.alias("mark")).mapInArrow(run, _BLOCK)
+    return (docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), mark.alias("mark"))
+            .mapInArrow(run, _BLOCK))
+
+
+def counted_words(rows: DataFrame) -> DataFrame:
+    """Per row of words the sums of all rows' counts for each of its words; and, in one row per bucket, the number of
+    words with a count, the sum of their counts, and the count of the empty word, which is in neither."""
+    def answered(group: list[tuple]) -> pa.RecordBatch:
+        known: dict[bytes, int] = {}
+        places, counts = [], []
+        for _, _, words, packed in group:
+            places.append(np.array([known.setdefault(w, len(known)) for w in unpack(words)], np.int64))
+            counts.append(unsqueeze(packed, np.uint32).astype(np.int64))
+        total = np.zeros(len(known), np.int64)
+        for at, n in zip(places, counts):
+            total[at] += n
+        empty = int(total[known[b""]]) if b"" in known else 0
+        first = [int((total > 0).sum()) - (empty > 0), int(total.sum()) - empty, empty]
+        return pa.RecordBatch.from_arrays([
+            pa.array([g[0] for g in group], pa.binary()), pa.array([g[1] for g in group], pa.int32()),
+            pa.array([squeeze(total[at]) for at in places], pa.binary()),
+            *(pa.array([n] + [0] * (len(group) - 1), pa.int64()) for n in first)], ["block", "bucket", "data", "kinds", "total", "empty"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, now = [], None
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if row[1] != now:
+                    if group:
+                        yield answered(group)
+                    group, now = [], row[1]
+                group.append(row)
+        if group:
+            yield answered(group)
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.select("block", "bucket", "data", "more").repartition(parts, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(run, "block binary, bucket int, data binary, kinds bigint, total bigint, empty bigint"))
 
 
 def window_counts(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -253,26 +246,28 @@ def probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
                 out.select(F.col("pair").alias("_suffix"), F.col("p").alias("parent")), "_suffix").drop("_suffix")
         context = Window.partitionBy("context")
         n = F.col("n").cast("double")
-        step = own.withColumn("context", F.shiftrightunsigned("pair", 8)).select(
-            "pair", "n", "parent", F.sum(n).over(context).alias("total"),
-            F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).over(context).alias("kinds"),
-            F.sum(F.when(F.col("n") > 0, n * F.log(n / F.col("parent"))).otherwise(0.0)).over(context).alias("part"))
-        gain = F.col("part") - F.when(F.col("total") > 0, F.col("total") * F.log("total")).otherwise(0.0)
-        kept = F.lit(True) if not length else (F.col("total") > 0) & (gain >= GAIN)
+        seen = own.withColumn("context", F.shiftrightunsigned("pair", 8)).select(
+            "pair", "n", "parent", "context", F.sum(n).over(context).alias("total"),
+            F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).over(context).alias("kinds"))
+        # Each occurrence predicted from the context's others.
+        weight = F.col("kinds") + 1.0
+        apart = F.when(F.col("n") > 0, n * F.log((n - 1 + weight * F.col("parent")) / (F.col("total") - 1 + weight) / F.col("parent")))
+        step = seen.select("*", F.sum(F.coalesce(apart, F.lit(0.0))).over(context).alias("gain"))
+        kept = F.lit(True) if not length else F.col("gain") >= GAIN
         smooth = (n + (F.col("kinds") + 1.0) * F.col("parent")) / (F.col("total") + F.col("kinds") + 1.0)
         out = step.select("pair", F.when(kept, smooth).otherwise(F.col("parent")).alias("p"))
     return out
 
 
-def tree_scores(docs: DataFrame, key: str, text: str, buckets: int, mark: Column) -> DataFrame:
-    """(key, score): log10 probability of each text's bytes and end, trained on the marked rows. Keys are unique."""
-    blocks = materialize(window_rows(docs, key, text, buckets, mark), "windows")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def word_scores(blocks: DataFrame, words: DataFrame, buckets: int, kinds: int, total: int, empty: int,
+                ends: int) -> DataFrame:
+    """(id, key, n_tokens, n_known, base_score, score) of each row of ``docs`` that the blocks were made of."""
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, p = batch.column(0).to_numpy().view(_U), batch.column(1).to_numpy()
-            yield _block([(None, own, squeeze(values[at]), squeeze(np.log10(p[at])), None, None)
+            yield _block([(None, own, squeeze(values[at]), squeeze(np.log10(p[at])), None, None, None)
                           for own, at in _split(*_buckets(values, buckets))])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,35 +284,76 @@ def tree_scores(docs: DataFrame, key: str, text: str, buckets: int, mark: Column
                     names, logs = (np.concatenate(c) for c in zip(*learnt))
                     order = np.argsort(names)
                     names, logs, learnt = names[order], logs[order], []
-                rows.append((block, bucket, squeeze(logs[np.searchsorted(names, unsqueeze(data, _U))].astype(np.float32)), None, None, None))
+                found = logs[np.searchsorted(names, unsqueeze(data, _U))].astype(np.float32)
+                rows.append((block, bucket, squeeze(found), None, None, None, None))
             yield _block(rows)
 
+    tokens, spoken = total + ends, total + empty
+    scale = np.log10(tokens + 0.5 * (kinds + (ends > 0) + 1))
+    end = np.log10(ends + 0.5) - scale
+
+    def scored(data: bytes, sizes: np.ndarray, got: dict[int, bytes]) -> list[np.ndarray]:
+        """n_tokens, n_known, base_score, and the logs of both models, of each piece."""
+        names, place = windows(data, sizes)
+        logs = np.empty(len(names))
+        for own, at in _split(*_buckets(names, buckets)):
+            logs[at] = unsqueeze(got[own], np.float32)
+        logs = logs[place]
+        cuts = np.cumsum(sizes)
+        texts = [data[hi - size:hi] for hi, size in zip(cuts.tolist(), sizes.tolist())]
+        found, held = units(texts)
+        words, place, order, bucket = numbered_words(found, buckets)
+        counts = np.empty(len(words), np.int64)
+        for own, at in _split(order, bucket):
+            counts[at] = unsqueeze(got[buckets + own], np.int64)
+        counts = counts[place]
+        own = np.ones(len(data), bool)
+        own[((cuts - sizes)[:, None] + np.arange(DEPTH)).ravel()] = False
+        symbols = np.frombuffer(data, np.uint8)[own]
+        stops = np.flatnonzero((symbols == 32) | (symbols == 10))
+        spelled = np.add.reduceat(logs, np.concatenate(([0], stops[:-1] + 1)))
+        closing = symbols[stops] == 10
+        share = np.where(closing, ends, spoken - ends) / max(1, spoken)
+        with np.errstate(divide="ignore"):
+            whole = np.log10(counts * share)
+        mixed = np.logaddexp(whole * _LN10, (spelled + np.log10(kinds + 1)) * _LN10) / _LN10 - np.log10(spoken + kinds + 1)
+        piece = np.repeat(np.arange(len(sizes)), held)
+        real = np.array([w != b"" for w in words], bool)[place]
+        ended = np.bincount(piece, closing, len(sizes)).astype(np.int64)
+        base = np.where(real, np.log10(counts + 0.5) - scale, 0.0)
+        return [np.bincount(piece, real, len(sizes)).astype(np.int64) + ended,
+                np.bincount(piece, real & (counts > 0), len(sizes)).astype(np.int64) + ended * int(ends > 0),
+                np.bincount(piece, base, len(sizes)) + ended * end, np.bincount(piece, mixed, len(sizes)),
+                np.bincount(piece, spelled, len(sizes))]
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, got = None, {}
         for batch in batches:
             for i in range(batch.num_rows):
-                block, bucket, data, _, keys, sizes = (batch.column(c)[i].as_py() for c in range(6))
+                block, bucket, data, _, keys, ids, sizes = (batch.column(c)[i].as_py() for c in range(7))
                 if block != now:
                     now, got = block, {}
-                if bucket < buckets:
-                    got[bucket] = unsqueeze(data, np.float32)
+                if bucket < 2 * buckets:
+                    got[bucket] = data
                     continue
-                sizes = np.array(sizes, np.int64)
-                names, place = windows(zstandard.ZstdDecompressor().decompress(data), sizes)
-                logs = np.empty(len(names))
-                for own, at in _split(*_buckets(names, buckets)):
-                    logs[at] = got[own]
-                of_piece = np.repeat(np.arange(len(sizes)), sizes - DEPTH)
-                sums = np.bincount(of_piece, logs[place], len(sizes))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sums)], ["key", "part"])
+                columns = scored(zstandard.ZstdDecompressor().decompress(data), np.array(sizes, np.int64), got)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys, pa.int64()), *map(pa.array, columns)],
+                                                 ["id", "key", "n_tokens", "n_known", "base_score", "mixed", "spelled"])
 
     learnt = probabilities(materialize(window_counts(blocks, buckets), "grams")).mapInArrow(pack, _BLOCK)
-    answers = (blocks.where(F.col("bucket") < buckets).withColumn("more", F.lit(None).cast("binary")).unionByName(learnt)
+    none = {"more": F.lit(None).cast("binary"), "keys": F.lit(None).cast("array<bigint>"),
+            "ids": F.lit(None).cast("array<string>"), "sizes": F.lit(None).cast("array<int>")}
+    answers = (blocks.where(F.col("bucket") < buckets).withColumn("more", none["more"]).unionByName(learnt)
                .repartition(parts, "bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first())
                .mapInArrow(answer, _BLOCK))
-    return (blocks.where(F.col("bucket") == buckets).unionByName(answers).repartition(parts, "block")
-            .sortWithinPartitions("block", "bucket").mapInArrow(add, "key bigint, part double")
-            .groupBy(F.col("key").alias(key)).agg(F.sum("part").alias("score")))
+    counts = words.select("block", "bucket", "data").withColumns(none)
+    rows = (blocks.where(F.col("bucket") == 2 * buckets).unionByName(answers).unionByName(counts)
+            .repartition(parts, "block").sortWithinPartitions("block", "bucket")
+            .mapInArrow(add, "id string, key bigint, n_tokens bigint, n_known bigint, base_score double, mixed double, spelled double"))
+    sums = rows.groupBy("id").agg(F.first("key").alias("key"), *(F.sum(c).alias(c) for c in (
+        "n_tokens", "n_known", "base_score", "mixed", "spelled")))
+    less = F.pow(F.lit(10.0), -F.abs(F.col("mixed") - F.col("spelled")))
+    return sums.withColumn("score", F.greatest("mixed", "spelled") + F.log10((1 + less) / 2))
 
 
 def held_out(key: Column, folds: int = 5, fold: int = 1) -> Column:
@@ -330,67 +366,19 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     Tokens are the words, ASCII letters in lower case, and one end. base_score adds up smoothed word
-    frequencies; score is the tree's log10 probability of the same tokens in their order. A null or empty
+    frequencies; score is the model's log10 probability of the same words in their order. A null or empty
     text is the end alone. If nothing is trained on, every token is unknown and the tree is uniform. ``key``
-    is an integer column, which may be null or repeated.
+    is an integer column, which may be null or repeated; each row keeps its own score. Other columns are not
+    read, whatever their names, and a table without rows gives none. A task holds a block of about 3 MB, or
+    one longer word.
     """
-    # The row number is fixed by writing it.
-    own = materialize(docs.select(F.col(key).cast("bigint").alias(key), text).withColumn(
-        "_row", F.monotonically_increasing_id()), "rows")
-    buckets = buckets_for(own)
-    train = ~held_out(F.col(key), folds, fold)
-    rows = materialize(word_rows(own, "_row", text, buckets, True, train), "words")
+    buckets = buckets_for(docs)
+    own = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    train = ~held_out(F.col("key"), folds, fold)
+    blocks = materialize(block_rows(own, "key", "text", buckets, train), "blocks")
     ends = own.where(train).count()
-    kinds, total = word_counts(rows).agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    kinds, total = kinds + (ends > 0), total + ends
-    scale = np.log10(total + 0.5 * (kinds + 1))
-
-    def read(parts: list[bytes]) -> np.ndarray:
-        return np.concatenate([unsqueeze(part, np.int64) for part in parts]) if parts else np.zeros(0, np.int64)
-
-    def write(counts, keys, sizes, place) -> pa.RecordBatch:
-        of_doc = np.repeat(np.arange(len(sizes)), sizes)
-        seen = counts[place]
-        base = np.bincount(of_doc, np.log10(seen + 0.5) - scale, len(sizes)) + np.log10(ends + 0.5) - scale
-        known = np.bincount(of_doc, seen > 0, len(sizes)).astype(np.int64) + int(ends > 0)
-        return pa.RecordBatch.from_arrays([
-            pa.array(keys, pa.int64()), pa.array(sizes + 1), pa.array(known),
-            pa.array(np.full(len(sizes), total, np.int64)), pa.array(base)],
-            ["_row", "n_tokens", "n_known", "train_tokens", "base_score"])
-
-    plain = rejoin(own, "_row", text, buckets, _counted(rows), read, write,
-                   "_row bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double", lower=True)
-    return (own.select("_row", key).join(plain, "_row").join(tree_scores(own, "_row", text, buckets, train), "_row")
-            .select(key, held_out(F.col(key), folds, fold).alias("held_out"), "n_tokens", "n_known",
-                    "train_tokens", "base_score", "score"))
-
-
-def _counted(rows: DataFrame) -> DataFrame:
-    """Counts of the words of each row of words, added up over the bucket's rows first."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, now = [], None
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if row[1] != now:
-                    if group:
-                        yield _answer(group)
-                    group, now = [], row[1]
-                group.append(row)
-        if group:
-            yield _answer(group)
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.select("block", "bucket", "words", "counts").repartition(parts, "bucket")
-            .sortWithinPartitions("bucket").mapInArrow(run, "block binary, bucket int, answer binary"))
-
-
-def _answer(group: list[tuple]) -> pa.RecordBatch:
-    known: dict[bytes, int] = {}
-    places, counts = [], []
-    for _, _, words, packed in group:
-        places.append(np.array([known.setdefault(w, len(known)) for w in unpack(words)], np.int64))
-        counts.append(unsqueeze(packed, np.uint32))
-    total = np.bincount(np.concatenate(places), np.concatenate(counts).astype(float), len(known)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([
-        pa.array([g[0] for g in group], pa.binary()), pa.array([g[1] for g in group], pa.int32()),
-        pa.array([squeeze(total[at]) for at in places], pa.binary())], ["block", "bucket", "answer"])
+    words = materialize(counted_words(blocks.where((F.col("bucket") >= buckets) & (F.col("bucket") < 2 * buckets))), "words")
+    kinds, total, empty = words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("kinds", "total", "empty"))).first()
+    scored = word_scores(blocks, words, buckets, kinds, total, empty, ends)
+    return scored.select(F.col("key").alias(key), held_out(F.col("key"), folds, fold).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(total + ends).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from fractions import Fraction
 
 SPACE = " \t\n\v\f\r"
@@ -195,3 +196,62 @@ def collocations(rows, first, least=10):
             rated.setdefault(lang, []).append((-score, -a, phrase.encode(), l, r))
     return sorted((lang, i, p.decode(), -a, l, r, total[lang], -score) for lang, found in rated.items()
                   for i, (score, a, p, l, r) in enumerate(sorted(found)[:first], 1))
+
+
+def suffix_model(texts, depth, least):
+    """log10 probabilities of a word and the byte after it, given all bytes before, learnt from texts: mixed, spelled."""
+    padding = b"\n" * depth
+    symbols = [b" ".join((t or "").encode().lower().split()) + b"\n" for t in texts]
+    after = defaultdict(Counter)
+    for text in symbols:
+        whole = padding + text
+        for i in range(depth, len(whole)):
+            for n in range(depth + 1):
+                after[whole[i - n:i]][whole[i]] += 1
+    known = Counter(w for text in symbols for w in text.split() or [b""])
+    spoken, kinds, ends = sum(known.values()), len(set(known) - {b""}), len(symbols)
+
+    @functools.cache
+    def is_state(context):
+        if not context:
+            return True
+        seen = after.get(context)
+        if not seen:
+            return False
+        total, weight = sum(seen.values()), len(seen) + 1
+        return least <= sum(n * math.log((n - 1 + weight * p) / (total - 1 + weight) / p)
+                            for s, n in seen.items() for p in [of(context[1:], s)])
+
+    @functools.cache
+    def of(context, symbol):
+        below = of(context[1:], symbol) if context else 1 / 256
+        if not is_state(context):
+            return below
+        seen = after.get(context, Counter())
+        weight = len(seen) + 1
+        return (seen[symbol] + weight * below) / (sum(seen.values()) + weight)
+
+    def score(before, word, stop):
+        whole = padding + before + word + bytes([stop])
+        spelled = sum(math.log10(of(whole[i - depth:i], whole[i])) for i in range(depth + len(before), len(whole)))
+        share = (ends if stop == 10 else spoken - ends) / max(1, spoken)
+        counted = known[word] * share
+        parts = ([math.log10(counted)] if counted else []) + [spelled + math.log10(kinds + 1)]
+        return max(parts) + math.log10(sum(10 ** (p - max(parts)) for p in parts)) - math.log10(spoken + kinds + 1), spelled
+
+    return score
+
+
+def suffix_scores(rows, depth, least):
+    """{doc_id: score} of [(doc_id, text)]."""
+    score = suffix_model([t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1], depth, least)
+    out = {}
+    for d, text in rows:
+        words, before, mixed, spelled = (text or "").encode().lower().split() or [b""], b"", 0.0, 0.0
+        for i, word in enumerate(words):
+            stop = 10 if i + 1 == len(words) else 32
+            both = score(before, word, stop)
+            mixed, spelled = mixed + both[0], spelled + both[1]
+            before = (before + word + bytes([stop]))[-depth:]
+        out[d] = max(mixed, spelled) + math.log10((1 + 10 ** -abs(mixed - spelled)) / 2)
+    return out

@@ -1,6 +1,7 @@
 """Each operator on a small table of awkward rows, against the plain versions."""
 
 import hashlib
+import itertools
 import random
 import sys
 import zlib
@@ -195,18 +196,6 @@ def test_lm_scoring(docs, rows, odd):
     assert lm_scoring.score(odd).count() == 6 and lm_scoring.score(docs.limit(0)).count() == 0
 
 
-def test_tree_is_a_distribution():
-    import numpy as np
-
-    words = [b"the", b"then", b"them", b"a", b"thin"]
-    value, length, _ = lm_scoring.grams(words)
-    levels = [np.unique(value[length >= n] & lm_scoring._MASKS[n + 1], return_counts=True) for n in range(lm_scoring.DEPTH + 1)]
-    tree = lm_scoring.Tree(levels)
-    for context in (b" ", b" th", b"xy"):
-        pairs = np.array([int.from_bytes(context + bytes([s]), "big") for s in range(256)], np.uint64)
-        assert abs(tree.symbols(pairs, lm_scoring.DEPTH, np.full(256, len(context))).sum() - 1) < 1e-9
-
-
 def test_one_of_each_goes_by_text(spark):
     """Rows that share a key but not their text all stay; of equal texts the least key's row stays."""
     unlike = " ".join(f"thing{i} of{i % 7}" for i in range(90))
@@ -215,29 +204,22 @@ def test_one_of_each_goes_by_text(spark):
     assert Counter(map(tuple, left.collect())) == Counter([(1, PROSE), (1, unlike), (1, "short text"), (None, PROSE)])
 
 
-def plain_scores(texts, trained):
-    """The scores of the plain tree over running texts."""
-    import numpy as np
+@pytest.mark.parametrize("size", [lm_scoring.BLOCK_BYTES, 1000])
+def test_suffix_tree_scores(docs, rows, monkeypatch, size):
+    """Against the plain tree; with small blocks texts are cut into pieces."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", size)
+    right = brute.suffix_scores([r[:2] for r in rows], lm_scoring.DEPTH, lm_scoring.GAIN)
+    got = by_id(lm_scoring.score(docs))
+    assert all(abs(got[d]["score"] - p) < 1e-6 * max(1, abs(p)) for d, p in right.items())
+
 
-    def parts(some):
-        pieces = [lm_scoring._PAD + lm_scoring.running(t) for t in some]
-        names, place = lm_scoring.windows(b"".join(pieces), np.array([len(p) for p in pieces], np.int64))
-        return names[place]
-
-    value = parts(trained)
-    tree = lm_scoring.Tree([np.unique(value & lm_scoring._MASKS[n + 1], return_counts=True) for n in range(lm_scoring.DEPTH + 1)])
-    return [float(np.log10(tree.symbols(parts([t]), lm_scoring.DEPTH)).sum()) for t in texts]
-
-
-def test_contexts_of_a_large_tree_all_count(docs, rows, monkeypatch):
-    """All pairs count, rare ones too, also of texts that are cut into pieces."""
-    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
-    right = plain_scores([t for _, t, _ in rows], [t for d, t, _ in rows if not held(d)])
-    for size in (lm_scoring.BLOCK_BYTES, 1000):
-        monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", size)
-        got = by_id(lm_scoring.score(docs))
-        assert all(abs(got[d]["score"] - p) < 1e-6 * max(1, abs(p)) for (d, _, _), p in zip(rows, right))
-    assert not hasattr(lm_scoring, "SHARE")
+def test_word_scores_sum_to_one():
+    words = ["ab", "ab", "abc", "b"]
+    score = brute.suffix_model([" ".join(words)] * 3 + [""], 4, 3.0)
+    # All words of up to three of the letters that the texts use, and what the tree leaves to longer and other ones.
+    some = [bytes(w) for n in range(4) for w in itertools.product(b"abc", repeat=n)]
+    for model in (0, 1):
+        assert 0.8 < sum(10 ** score(b"", w, end)[model] for w in some for end in b" \n") < 1
 
 
 def test_order_of_words_counts(spark):
