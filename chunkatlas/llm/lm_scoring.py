@@ -38,11 +38,11 @@ from ..session import materialize
 from .text import mix
 from .wordtable import buckets_for, squeeze, unpack, unsqueeze
 
-DEPTH = 5
+DEPTH = 4
 #: Least log-likelihood that a state gains over its parent, in nats.
 GAIN = 3.0
 #: Bytes of text after which a block of windows is closed; longer texts are cut into pieces that keep their contexts.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
 _PAD = b"\n" * DEPTH
 _LN10 = math.log(10)
 _U = np.uint64
@@ -369,7 +369,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     frequencies; score is the model's log10 probability of the same words in their order. A null or empty
     text is the end alone. If nothing is trained on, every token is unknown and the tree is uniform. ``key``
     is an integer column, which may be null or repeated; each row keeps its own score. Other columns are not
-    read, whatever their names, and a table without rows gives none. A task holds a block of about 3 MB, or
+    read, whatever their names, and a table without rows gives none. A task holds a block of about 2 MB, or
     one longer word.
     """
     buckets = buckets_for(docs)
