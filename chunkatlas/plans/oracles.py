@@ -257,6 +257,11 @@ SELECT key, md5(t) AS rewritten FROM t{len(b.BUCKETS)}""",
        CAST(embedding[i + 1] AS DOUBLE) AS value
 FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM embeddings)""",
 
+    "zarr_manifest": """SELECT CAST(vec_id // 256 AS VARCHAR) AS granule_id,
+       'emb/' || CAST(vec_id % 256 // 128 AS VARCHAR) || '.0' AS key, CAST(0 AS BIGINT) AS "offset",
+       CAST(128 * 4 * max(len(embedding)) AS BIGINT) AS length
+FROM embeddings GROUP BY vec_id // 256, vec_id % 256 // 128""",
+
     "top_folders": f"""WITH {_OBJECTS}
 SELECT DISTINCT split_part(key, '/', 2) AS collection FROM dst""",
     "inventory": f"""WITH {_OBJECTS},

@@ -270,6 +270,14 @@ def array_read(spark: SparkSession, sf: str) -> DataFrame:
                                         F.get("idx", F.lit(1)).alias("at"), "value")
 
 
+def zarr_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The chunks of stores that are written from vectors, found by listing their folders in tasks."""
+    stores = _write_stores(b.load(spark, sf, "embeddings").select("vec_id", "embedding"),
+                           scratch_path(spark, "arrays"))
+    return virtualize(spark, stores, "zarr2").chunk_refs.select(
+        "granule_id", chunk_key(F.col("var"), F.col("chunk_idx")).alias("key"), "offset", "length")
+
+
 def top_folders_query(spark: SparkSession, sf: str) -> DataFrame:
     return top_folders(b.objects(spark, sf)[1], "pre/")
 
@@ -385,6 +393,7 @@ _ALL = {
     "refs_parquet_roundtrip": refs_parquet_roundtrip,
     "file_manifest": file_manifest,
     "array_read": array_read,
+    "zarr_manifest": zarr_manifest,
     "top_folders": top_folders_query,
     "inventory": inventory_query,
     "sync_plan_copy": _plan("copy"),

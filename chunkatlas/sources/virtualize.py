@@ -14,6 +14,7 @@ from .. import schemas
 from ..schemas import Manifest
 from ..session import local_frame, materialize, small_side
 from .refs import ARRAY_META, ATTR_META, CHUNK_KEY, DIM_NAMES, GROUP_META, codec_json
+from .walk import walk
 
 #: A reader takes a path and yields facts: ``("dims", {...})``, ``("chunk_refs", {...})`` and so on.
 Reader = Callable[[str], Iterable[tuple[str, dict]]]
@@ -155,7 +156,7 @@ def zarr2_manifest_of(spark: SparkSession, stores: DataFrame | Sequence[str],
                       partitions: int | None = None, attempts: int = ATTEMPTS,
                       wait: Callable[[int], float] = backoff,
                       on_error: str = "fail") -> Manifest:
-    """Manifest of Zarr v2 directory stores, from a listing without file contents."""
+    """Manifest of Zarr v2 directory stores; tasks list their folders, and chunk contents are not read."""
     if not isinstance(stores, DataFrame):
         stores = local_frame(spark, [(s, s) for s in stores], "granule_id STRING, path STRING")
     facts = run_reader(stores, read_zarr2_metadata, partitions, attempts, wait, on_error)
@@ -164,12 +165,9 @@ def zarr2_manifest_of(spark: SparkSession, stores: DataFrame | Sequence[str],
             "granule_id", "one.*")
     errors = facts.where(F.col("kind") == "errors").select(
         "granule_id", "path", F.get_json_object("fact", "$.error").alias("error"))
-    # Stores that were read; the list is as long as the list of granules that the user names.
     good = stores.select("granule_id", "path").join(errors, "granule_id", "left_anti")
-    roots = [row["path"] for row in good.select("path").collect()]
-    # Written, since every scan of the listing asks the store for each object again.
-    listing = materialize(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                          .load(roots).select("path", "length"), "listing")
+    listing = walk(spark, good.select(F.regexp_replace("path", "/+$", "").alias("root"))).select(
+        F.concat_ws("/", "root", "key").alias("path"), F.col("size").alias("length"))
     return zarr2_manifest(good, listing, meta).with_(errors=errors)
 
 
