@@ -257,6 +257,10 @@ SELECT key, md5(t) AS rewritten FROM t{len(b.BUCKETS)}""",
        CAST(embedding[i + 1] AS DOUBLE) AS value
 FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM embeddings)""",
 
+    "refs_json_foreign": r"""SELECT 'd"{\/' || doc_id AS key, 'inline' AS kind, NULL AS url, NULL AS tail_json,
+       text AS inline_text, NULL AS other_json FROM documents
+UNION ALL SELECT 'p/' || page_id, 'ref', url, '[0,' || length(html) || ']', NULL, NULL FROM pages
+UNION ALL SELECT 'z', 'other', NULL, NULL, NULL, '{"a":[]}'""",
     "zarr_manifest": """SELECT CAST(vec_id // 256 AS VARCHAR) AS granule_id,
        'emb/' || CAST(vec_id % 256 // 128 AS VARCHAR) || '.0' AS key, CAST(0 AS BIGINT) AS "offset",
        CAST(128 * 4 * max(len(embedding)) AS BIGINT) AS length

@@ -20,6 +20,7 @@ from ..operators.rewrite import rewrite_refs, urls_to_https
 from ..operators.sync import SyncRequest, apply_plan, sync_plan, sync_status
 from ..schemas import Dataset, Manifest
 from ..session import local_frame, materialize, prepare, scratch_path
+from ..sinks.files import concat_parts
 from ..sinks.refs import convert_refs, write_refs_json, write_refs_parquet
 from ..sinks.reports import write_inventory
 from ..sources.arrays import read_array
@@ -196,6 +197,20 @@ def refs_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _refs_row(read_refs_json(spark, target, "indented"))
 
 
+def refs_json_foreign(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of one line as others write it, ``refs`` between other members, read in ranges of 64 KiB."""
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    docs = b.load(spark, sf, "documents").select(F.concat(
+        quoted(F.concat(F.lit('d"{\\/'), "doc_id")), F.lit(" : "), quoted("text")).alias("value"))
+    pages = b.load(spark, sf, "pages").select(F.concat(
+        quoted(F.concat(F.lit("p/"), "page_id")), F.lit(":["), quoted("url"), F.lit(" ,0,"), F.length("html"), F.lit("]")))
+    parts = scratch_path(spark, "foreign")
+    docs.unionAll(pages).write.option("lineSep", ", ").text(parts)
+    path = f"{parts}.json"
+    concat_parts(spark, parts, path, '{"version":1,"x":{"refs":{"no":["}\\"",1]}},"refs":{', '"z":{"a":[]}},"after":["refs",{}]}')
+    return read_refs_json(spark, path, split=1 << 16).select("key", "kind", "url", "tail_json", "inline_text", "other_json")
+
+
 def refs_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "roundtrip")
     write_refs_parquet(combine(b.manifest_existing(spark, sf), b.granules(spark, sf)), folder)
@@ -390,6 +405,7 @@ _ALL = {
     "text_rewrite": text_rewrite,
     "refs_rewrite": refs_rewrite,
     "refs_json_roundtrip": refs_json_roundtrip,
+    "refs_json_foreign": refs_json_foreign,
     "refs_parquet_roundtrip": refs_parquet_roundtrip,
     "file_manifest": file_manifest,
     "array_read": array_read,

@@ -266,12 +266,12 @@ def write_refs_parquet(ds: Dataset, path: str, mode: str = "errorifexists") -> N
 
 def convert_refs(spark: SparkSession, src: str, dst: str | None = None, *,
                  buckets: Sequence[str], hosts: Mapping[str, str], default_host: str,
-                 overwrite: bool = False, layout: str = "document",
+                 overwrite: bool = False, layout: str = "any",
                  out_layout: str = "file") -> str:
     """Rewrite the URLs of a reference file to HTTPS, with two-space indentation.
 
     Other top-level keys stay, and so does a file without ``refs``. Writing over ``src`` needs
-    ``overwrite=True``. With another layout than ``document`` the file is read in parallel.
+    ``overwrite=True``. ``layout`` is as in ``read_refs_json``; but for ``document`` the file is read in parallel.
     ``out_layout`` is the layout of ``write_refs_json``.
     """
     out = dst or src

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ..schemas import Dataset
 from ..session import local_frame, small_side
+from .jsonscan import SPLIT_BYTES, other_members, read_member
 
 # Names of metadata entries and attributes in array stores.
 ARRAY_META, ATTR_META, GROUP_META = ".zarray", ".zattrs", ".zgroup"
 DIM_NAMES, COORD_NAMES = "_ARRAY_DIMENSIONS", "coordinates"
+REFS = "refs"
 #: What stands before each entry of an indented reference file, up to its key.
 ENTRY_BREAK = '\n    "'
 #: A chunk key ends in its indices.
@@ -21,13 +23,12 @@ CHUNK_KEY = r"^(.*?)/([0-9]+(?:[./][0-9]+)*)$"
 
 
 def read_refs_json(spark: SparkSession, path: str | list[str],
-                   layout: str = "document") -> DataFrame:
+                   layout: str = "any", split: int = SPLIT_BYTES) -> DataFrame:
     """Rows of the ``refs`` object of reference files.
 
-    ``document`` reads any JSON, one file per row and so below 128 MiB each, where Spark's variant
-    ends; a larger one fails. ``lines`` and
-    ``indented`` read what ``write_refs_json`` makes without and with indentation; there Spark
-    splits a file of any size between tasks.
+    ``any`` reads JSON of any size and form: tasks scan ranges of ``split`` bytes. ``lines`` and
+    ``indented`` read what ``write_refs_json`` makes without and with indentation in one pass.
+    ``document`` takes one file per row, below 128 MiB each, from any store that Spark reads.
     """
     entry = F.col("value")
     if layout == "lines":
@@ -41,6 +42,10 @@ def read_refs_json(spark: SparkSession, path: str | list[str],
             "value", F.regexp_replace(entry, '^    "', ""))
         entries = _single_entries(pieces.withColumn("value", F.concat(
             F.lit('"'), F.regexp_replace(entry, r"(,|\n  \}\n\})$", ""))))
+    elif layout == "any":
+        paths = [path] if isinstance(path, str) else list(path)
+        entries = read_member(spark, paths, REFS, split).select(
+            "key", F.parse_json("value").alias("value"))
     elif layout != "document":
         raise ValueError(f"layout: {layout!r}")
     else:
@@ -60,8 +65,11 @@ def _docs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("doc"))
 
 
-def read_head_json(spark: SparkSession, path: str, layout: str = "document") -> str | None:
+def read_head_json(spark: SparkSession, path: str, layout: str = "any") -> str | None:
     """Text of a reference file's top-level object without ``refs``; NULL if it has no ``refs``."""
+    if layout == "any":
+        head = other_members(spark, path, REFS)
+        return None if head is None else json.dumps(head)
     if layout == "document":
         return spark.sql("""
             SELECT if(bool_or(e.key = 'refs'), to_json(map_from_entries(
@@ -97,7 +105,7 @@ def _split_value(value: Column) -> list[Column]:
     ]
 
 
-def open_refs(spark: SparkSession, path: str, layout: str = "document") -> Dataset:
+def open_refs(spark: SparkSession, path: str, layout: str = "any") -> Dataset:
     """A reference file as a dataset: metadata rows and chunk rows, no array data read."""
     return refs_to_dataset(read_refs_json(spark, path, layout))
 
