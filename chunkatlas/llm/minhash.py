@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, small_side
+from .packing import packed, unpacked
 from .graph import components
 from .text import mix, shingle_sets, slices, stream
 
@@ -199,15 +200,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     """``docs`` with one row of each group of near-duplicates, the one with the least key.
 
     Only equal or near-equal texts go: rows that share a key but not their text are rows like any others. Null
-    keys all stay. The rows are numbered by writing them, so the row that is judged is the row that stays.
+    keys all stay. The rows are numbered by writing them, so the row that is judged is the row that stays;
+    all their columns stay, whatever their names.
     """
-    number = F.monotonically_increasing_id()
-    rows = materialize(docs.withColumn("_row", number), "rows")
-    rows = rows.withColumn("_id", F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"),
-                                           F.col("_row").alias("row")))
-    gone = near_duplicates(rows, "_id", text, n, percent).where(~F.col("kept") & ~F.col("_id.none")).select(
-        F.col("_id.row").alias("_row"))
-    return rows.join(small_side(materialize(gone, "gone")), "_row", "left_anti").select(*docs.columns)
+    rows = materialize(packed(docs, text, key=F.col(key), row=F.monotonically_increasing_id()), "rows")
+    rows = rows.withColumn("id", F.struct(F.col("key").isNull().alias("none"), "key", "row"))
+    gone = near_duplicates(rows, "id", "text", n, percent).where(~F.col("kept") & ~F.col("id.none")).select("id.row")
+    return unpacked(rows.join(small_side(materialize(gone, "gone")), "row", "left_anti"), docs, text)
 
 
 def _links(docs: DataFrame, key: str, text: str, n: int, percent: int, nodes: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import with_ordinal_sorted
 from ..session import materialize, small_side
+from .packing import packed, unpacked
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating.
@@ -84,9 +85,13 @@ def with_copies(docs: DataFrame, size: str = "size", key: str = "doc_id", source
             .withColumn("copies", whole.cast("bigint") + more).drop("_source"))
 
 
-def mix(docs: DataFrame, size: str = "size", **options) -> DataFrame:
-    """The mixed table: each row of ``docs`` as often as the mix takes it."""
-    placed = with_copies(docs, size, **options)
-    return (placed.where(F.col("copies") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select(*docs.columns))
+def mix(docs: DataFrame, size: str | Column = "size", key: str = "doc_id", source: str = "source",
+        text: str = "text", **options) -> DataFrame:
+    """The mixed table: each row of ``docs`` as often as the mix takes it, with all its columns, whatever their names.
+
+    ``size`` is a column or an expression over the columns of ``docs``.
+    """
+    size = F.col(size) if isinstance(size, str) else size
+    rows = packed(docs, text, size=size, doc_id=F.col(key), source=F.col(source))
+    placed = with_copies(rows, **options).where(F.col("copies") > 0)
+    return unpacked(placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), docs, text)

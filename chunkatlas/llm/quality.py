@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import small_side
+from .packing import packed, unpacked
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Hash buckets; also the bound of what is sent to the driver and back.
@@ -131,10 +132,11 @@ def judge(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
             .drop("_words"))
 
 
-def keep_good(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps."""
-    judged = judge(docs, trusted, **options)
+def keep_good(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns, whatever their names."""
+    rows = packed(docs, text, doc_id=F.col(key))
+    judged = judge(rows, trusted.select(F.col(key).alias("doc_id")), **options)
     # A filter on the verdict alone would be moved below the steps that it is made of, each of which
     # would then be written out within the next; one that also needs a row number stays behind them.
-    return (judged.withColumn("_row", F.monotonically_increasing_id())
-            .where(F.col("kept") & (F.col("_row") >= 0)).select(*docs.columns))
+    kept = judged.withColumn("_row", F.monotonically_increasing_id()).where(F.col("kept") & (F.col("_row") >= 0))
+    return unpacked(kept, docs, text)
