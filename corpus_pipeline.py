@@ -37,8 +37,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target says; the copies are equal rows."""
     prepare(spark)
-    sized = docs.withColumn("_words", mixing.word_count(F.col("text")))
-    return mixing.mix(sized, "_words").select(*docs.columns)
+    return mixing.mix(docs, mixing.word_count(F.col("text")))
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
