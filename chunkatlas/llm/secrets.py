@@ -120,7 +120,9 @@ def _judged(rows: DataFrame, most_owners: int, most_repositories: int, most_rows
         F.col("n_repositories") <= most_repositories) & (F.col("n_rows") <= most_rows)
     judged = single.join(ownership(single), "hash").withColumn("live", live)
     in_text = Window.partitionBy("row").orderBy("start", "kind")
-    earlier, later = in_text.rowsBetween(Window.unboundedPreceding, -1), in_text.rowsBetween(1, Window.unboundedFollowing)
+    earlier = in_text.rowsBetween(Window.unboundedPreceding, -1)
+    # A frame up to the end is computed anew for each row, so what comes later is read backwards.
+    later = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     base = F.col("kind") < free
     apart = (F.coalesce(F.max(F.when(base, F.col("end"))).over(earlier), F.lit(0)) <= F.col("start")) & F.coalesce(
         F.min(F.when(base, F.col("start"))).over(later) >= F.col("end"), F.lit(True))
