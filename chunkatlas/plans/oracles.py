@@ -293,6 +293,12 @@ UNION ALL
 SELECT 400, 'Missing ''folder'' for upload_folder mode', 0, 0, 0, 'upload_folder',
        (SELECT CAST(ceil(n / 50.0) AS BIGINT) FROM d), (SELECT least(n, 50) FROM d)""",
 
+    "sync_run": """WITH o AS (
+  SELECT doc_id // 20 AS k, CAST(sum(strlen(text)) + count(*) - 1 AS BIGINT) AS size FROM documents GROUP BY 1)
+SELECT 'first' AS run, 'out/' || (k // 100) || '/' || k || '.txt' AS key, 'copy' AS action, size FROM o
+UNION ALL SELECT 'first', 'out/' || (k // 100) || '/gone-' || k || '.txt', 'delete', NULL FROM o WHERE k % 5 = 0
+UNION ALL SELECT 'second', 'out/' || (k // 100) || '/' || k || '.txt', 'skip', size FROM o""",
+
     "guard_status": f"""WITH {_GRANULES},
 w AS (SELECT unnest(['C1_L2', 'C3_L4', 'absent']) AS collection),
 k AS (SELECT w.collection, count(g.granule_id) AS n FROM w LEFT JOIN g USING (collection) GROUP BY 1)

@@ -17,7 +17,7 @@ from ..operators.ordering import (assign_batches, delete_batches, first_k, order
                                   with_ordinal, with_ordinal_sorted)
 from ..operators.quality import compat_gate, dim_conflicts, var_mismatches
 from ..operators.rewrite import rewrite_refs, urls_to_https
-from ..operators.sync import SyncRequest, apply_plan, sync_plan, sync_status
+from ..operators.sync import SyncRequest, apply_plan, run_sync, sync_plan, sync_status
 from ..schemas import Dataset, Manifest
 from ..session import local_frame, materialize, prepare, scratch_path
 from ..sinks.files import concat_parts
@@ -27,7 +27,7 @@ from ..sources.arrays import read_array
 from ..sources.catalog import direct_links, guard, search, search_specs
 from ..sources.listing import list_objects
 from ..sources.refs import open_refs_parquet, read_refs_json
-from ..sources.storage import locate
+from ..sources.storage import copy_object, locate
 from ..sources.virtualize import virtualize
 from ..streaming import CombinedStore
 from . import bindings as b
@@ -347,6 +347,60 @@ def sync_apply(spark: SparkSession, sf: str) -> DataFrame:
         second.select(F.lit("planned again").alias("run"), "folder", "action", "n"))
 
 
+#: Documents per object, and objects per folder, that ``sync_run`` writes.
+OBJECT_DOCS, FOLDER_OBJECTS = 20, 100
+
+
+class _Stopped(BaseException):
+    """Ends a run as a lost driver would."""
+
+
+def _stopping_copy(source: str, target: str) -> None:
+    if target.endswith("7.txt"):
+        raise _Stopped(target)
+    copy_object(source, target)
+
+
+def sync_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Sync objects made of documents to another prefix: a run that is stopped, taken up again, and a second run."""
+    root = scratch_path(spark, "sync")
+    pieces = b.load(spark, sf, "documents").groupBy(F.expr(f"doc_id div {OBJECT_DOCS}").alias("k")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda d: d["text"]), "\n")
+        .alias("content"))
+
+    def put(path: str, text: str) -> None:
+        fs, at = locate(path)
+        fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        with fs.open_output_stream(at) as out:
+            out.write(text.encode())
+
+    def write(pdfs):
+        for pdf in pdfs:
+            for k, content in pdf.itertuples(index=False):
+                put(f"{root}/src/in/{k // FOLDER_OBJECTS}/{k}.txt", content)
+                if k % 3 == 0:
+                    put(f"{root}/dst/out/{k // FOLDER_OBJECTS}/{k}.txt", "old")
+                if k % 5 == 0:
+                    put(f"{root}/dst/out/{k // FOLDER_OBJECTS}/gone-{k}.txt", "x")
+            yield pdf[["k"]]
+
+    materialize(pieces.mapInPandas(write, "k BIGINT"), "objects")
+    fs, at = locate(f"{root}/src/in/empty")
+    fs.create_dir(at)
+    request = SyncRequest(f"{root}/src", f"{root}/dst", "in/", "out/", "sync")
+    try:
+        run_sync(spark, request, f"{root}/state", slices=4, copy=_stopping_copy)
+    except Exception as stop:  # noqa: BLE001 - whatever a failed job raises
+        if "_Stopped" not in str(stop):
+            raise
+    # The destination's own etags differ, so only the stamps say what is the same.
+    first = run_sync(spark, request, f"{root}/state", slices=4)
+    second = run_sync(spark, request, f"{root}/state", dest_etag=None)
+    sizes = first.plan.select("key", "size")
+    return (first.outcomes.where("ok").join(sizes, "key").select(F.lit("first").alias("run"), "key", "action", "size")
+            .unionByName(second.plan.select(F.lit("second").alias("run"), "key", "action", "size")))
+
+
 def guard_status(spark: SparkSession, sf: str) -> DataFrame:
     found = b.granules(spark, sf)
     names = ("C1_L2", "C3_L4", "absent")
@@ -418,6 +472,7 @@ _ALL = {
     "sync_plan_delete": _plan("delete_folder", folder="SUP"),
     "sync_summary": sync_summary,
     "sync_apply": sync_apply,
+    "sync_run": sync_run,
     "guard_status": guard_status,
     "append_batch": append_batch,
     "append_stream": append_stream,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyarrow import fs as pafs
 
@@ -45,3 +46,19 @@ def copy_object(source: str, target: str, buffer: int = 8 << 20) -> None:
 def delete_object(url: str) -> None:
     store, path = locate(url)
     store.delete_file(path)
+
+
+def delete_objects(urls: Sequence[str]) -> dict[str, str]:
+    """Delete many objects; {url: error} of those that are still there. Absent ones count as deleted.
+
+    A store with a request for many keys can take its own function's place.
+    """
+    failed = {}
+    for url in urls:
+        try:
+            delete_object(url)
+        except FileNotFoundError:
+            continue
+        except OSError as error:
+            failed[url] = str(error) or type(error).__name__
+    return failed
