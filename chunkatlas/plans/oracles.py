@@ -252,6 +252,7 @@ SELECT key, md5(t) AS rewritten FROM t{len(b.BUCKETS)}""",
     "refs_rewrite": _REFS,
     "refs_json_roundtrip": _REFS,
     "refs_parquet_roundtrip": _existing(),
+    "refs_records_roundtrip": _existing(),
 
     "array_read": """SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(i AS BIGINT) AS at,
        CAST(embedding[i + 1] AS DOUBLE) AS value

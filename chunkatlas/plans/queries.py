@@ -22,6 +22,7 @@ from ..schemas import Dataset, Manifest
 from ..session import local_frame, materialize, prepare, scratch_path
 from ..sinks.files import concat_parts
 from ..sinks.refs import convert_refs, write_refs_json, write_refs_parquet
+from ..sinks.records import open_records, write_records
 from ..sinks.reports import write_inventory
 from ..sources.arrays import read_array
 from ..sources.catalog import direct_links, guard, search, search_specs
@@ -217,6 +218,12 @@ def refs_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _chunks(open_refs_parquet(spark, folder))
 
 
+def refs_records_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_path(spark, "records")
+    write_records(combine(b.manifest_existing(spark, sf), b.granules(spark, sf)), folder, size=1000)
+    return _chunks(open_records(spark, folder))
+
+
 def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
     listed = list_objects(spark, sf, glob="*.parquet")
     paths = listed.select(F.col("key").alias("granule_id"),
@@ -461,6 +468,7 @@ _ALL = {
     "refs_json_roundtrip": refs_json_roundtrip,
     "refs_json_foreign": refs_json_foreign,
     "refs_parquet_roundtrip": refs_parquet_roundtrip,
+    "refs_records_roundtrip": refs_records_roundtrip,
     "file_manifest": file_manifest,
     "array_read": array_read,
     "zarr_manifest": zarr_manifest,
