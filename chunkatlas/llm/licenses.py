@@ -34,8 +34,12 @@ def normal_words(text: Column) -> Column:
 
 def bigrams(words: Column) -> Column:
     """Distinct pairs of neighbouring words; a single word is its own pair."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.array_join(F.slice(words, i, 2), " "))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(words)
+    def of(w: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.array_join(F.slice(w, i, 2), " "))
+        return F.when(F.size(w) > 1, F.array_distinct(pairs)).otherwise(w)
+
+    # A one-element array binds the words once; within a lambda an expression is computed for each element.
+    return F.get(F.transform(F.array(words), of), F.lit(0))
 
 
 def needed_words(templates: dict[str, str], threshold: float = THRESHOLD) -> list[str]:
