@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import Manifest
 from ..session import small_side
+from .classes import BASIC, reference_variables, schema_mismatches
 from .ordering import first_k
 
 
@@ -16,33 +17,29 @@ class IncompatibleGranules(ValueError):
     """Granules cannot be combined with the first one."""
 
 
-def dim_conflicts(dims: DataFrame, granules: DataFrame, k: int = 5) -> DataFrame:
+def dim_conflicts(dims: DataFrame, granules: DataFrame, k: int = 5,
+                  order: Sequence[str] = ("search_rank",)) -> DataFrame:
     """Dimensions with more than one size; per size the granule count and the first k links.
 
-    ``granules`` has ``granule_id``, ``search_rank`` and ``url``.
+    ``granules`` has ``granule_id``, ``url`` and the columns of ``order``. A granule that was found
+    more than once counts once, at its first place.
     """
     sizes = dims.groupBy("dim", "size").agg(F.count(F.lit(1)).alias("n_granules"))
     bad = (sizes.groupBy("dim").agg(F.min("size").alias("low"), F.max("size").alias("high"))
            .where("low <> high").select("dim"))
     bad = small_side(bad)
+    places = granules.groupBy("granule_id").agg(F.min(F.struct(
+        F.struct(*order).alias("place"), "url")).alias("first")).select("granule_id", "first.*")
     # Only k links per size leave a task: the rank limit is applied before the exchange.
-    ranked = dims.join(bad, "dim", "left_semi").join(
-        granules.select("granule_id", "search_rank", "url"), "granule_id")
-    samples = (first_k(ranked, k, ["search_rank"], ["dim", "size"])
+    ranked = dims.join(bad, "dim", "left_semi").join(places, "granule_id")
+    samples = (first_k(ranked, k, ["place"], ["dim", "size"])
                .groupBy("dim", "size")
-               .agg(F.array_sort(F.collect_list(F.struct("search_rank", "url"))).alias("found"))
+               .agg(F.array_sort(F.collect_list(F.struct("place", "url"))).alias("found"))
                .select("dim", "size", F.col("found.url").alias("sample_links")))
     return (sizes.join(bad, "dim", "left_semi").join(samples, ["dim", "size"])
             .withColumn("more", F.col("n_granules") > k))
 
 
-def reference_variables(variables: DataFrame, granules: DataFrame,
-                        order: Sequence[str] = ("search_rank",)) -> DataFrame:
-    """The variables of granule 0: the first granule in the order given."""
-    first = granules.agg(F.min_by("granule_id", F.struct(*order))).scalar()
-    return variables.where(F.col("granule_id") == first)
-
-
 def _against(variables: DataFrame, reference: DataFrame, how: str) -> DataFrame:
     """Each variable row beside the row of the same variable in granule 0, as struct ``ref``."""
     ref = reference.select("var", F.struct(
@@ -54,27 +51,16 @@ def var_mismatches(variables: DataFrame, granules: DataFrame,
                    order: Sequence[str] = ("search_rank",), extra: bool = False) -> DataFrame:
     """Differences from granule 0: ``missing``, ``dtype``, ``shape`` and, on demand, ``extra``.
 
-    Shapes are compared only where the dimensions are equal.
+    Shapes are compared only where the dimensions are equal. A granule found twice differs at both
+    its places; ``schema_mismatches`` also tells the places and the values.
     """
-    reference = reference_variables(variables, granules, order)
-    pairs = _against(variables, reference, "left" if extra else "inner")
-    known = F.col("ref").isNotNull()
-    kinds = F.filter(F.array(
-        F.when(known & (F.col("dtype") != F.col("ref.dtype")), F.lit("dtype")),
-        F.when(known & (F.col("dims") == F.col("ref.dims"))
-               & (F.col("shape") != F.col("ref.shape")), F.lit("shape")),
-        F.when(~known, F.lit("extra"))), lambda kind: kind.isNotNull())
-    differing = pairs.select("granule_id", "var", F.explode(kinds).alias("kind"))
-
-    # Only granules that lack something are expanded to the names of granule 0.
-    names = reference.agg(F.collect_set("var"))
-    have = pairs.where(known).groupBy("granule_id").agg(F.count(F.lit(1)).alias("n"))
-    lacking = (granules.select("granule_id").join(have, "granule_id", "left")
-               .where(F.coalesce("n", F.lit(0)) < F.size(names.scalar()))
-               .select("granule_id", F.explode(names.scalar()).alias("var")))
-    missing = lacking.join(variables.select("granule_id", "var"), ["granule_id", "var"],
-                           "left_anti").select("granule_id", "var", F.lit("missing").alias("kind"))
-    return differing.unionByName(missing)
+    kinds = (*BASIC, "extra") if extra else BASIC
+    return schema_mismatches(variables, granules, order, kinds).select("granule_id", "var", "kind")
+
+
+def _names(order: Sequence[str | Column]) -> list[str]:
+    """The columns of an order that are plain columns."""
+    return [c for c in order if isinstance(c, str)]
 
 
 def _without(shape: str, at: Column) -> Column:
@@ -85,7 +71,7 @@ def _without(shape: str, at: Column) -> Column:
 def compat_report(manifest: Manifest, granules: DataFrame, axis: str | None = None,
                   order: Sequence[str] = ("search_rank",),
                   reference: DataFrame | None = None) -> DataFrame:
-    """One row per granule that cannot be combined with granule 0, with the counts of reasons.
+    """One row per place whose granule cannot be combined with granule 0, with the counts of reasons.
 
     All variables of both must be the same, with equal dims, dtype, codec, chunk shape and sizes
     apart from ``axis``. On an existing axis only the last granule may end in a partial chunk.
@@ -114,14 +100,17 @@ def compat_report(manifest: Manifest, granules: DataFrame, axis: str | None = No
         F.count_if(known & ~F.coalesce(equal, F.lit(False))).alias("n_different"),
         F.count_if(F.coalesce(partial, F.lit(False))).alias("n_ragged"))
     needed = reference.agg(F.count(F.lit(1))).scalar()
-    last = granules.agg(F.max_by("granule_id", F.struct(*order))).scalar()
+    place = F.struct(*order)
+    last = granules.agg(F.max(place)).scalar()
     zero = F.lit(0)
-    return (granules.select("granule_id").join(per_granule, "granule_id", "left")
-            .select("granule_id",
+    # The last place is exempt, not the granule that stands there: it may have an earlier one too.
+    return (granules.select("granule_id", (place == last).alias("_last"), *_names(order))
+            .join(per_granule, "granule_id", "left")
+            .select("granule_id", *_names(order),
                     (needed - F.coalesce("n_known", zero)).alias("n_missing"),
                     F.coalesce("n_extra", zero).alias("n_extra"),
                     F.coalesce("n_different", zero).alias("n_different"),
-                    F.when(F.col("granule_id") == last, zero)
+                    F.when(F.col("_last"), zero)
                     .otherwise(F.coalesce("n_ragged", zero)).cast("bigint").alias("n_ragged"))
             .where("n_missing + n_extra + n_different + n_ragged > 0"))
 

@@ -166,6 +166,15 @@ def part_variables(spark: SparkSession, sf_dir: str) -> tuple[Manifest, DataFram
     return Manifest(empty, variables, empty, empty, empty), found
 
 
+def part_places(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Parts as granules by a key, found by two specs: the larger half first, then all of them."""
+    found = load(spark, sf_dir, "part").groupBy(key).agg(F.max("p_size").alias("s")).select(
+        granule_id(key), F.col(key).cast("bigint").alias("search_rank"), F.concat(
+            F.lit("s3://b-parts/"), key, F.lit(".nc")).alias("url"), F.col("s"))
+    return found.where("s > 25").withColumn("spec_no", F.lit(0)).unionByName(
+        found.withColumn("spec_no", F.lit(1))).drop("s")
+
+
 def part_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = load(spark, sf_dir, "part")
     value = F.when(F.col("p_size") % 2 == 0, '"const"').otherwise(

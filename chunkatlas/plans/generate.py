@@ -93,7 +93,7 @@ def run(spark: SparkSession, granules: DataFrame, config: RunConfig,
             report("errors", failed)
     if plan["coords"]:
         manifest = load_coords(manifest, plan["coords"])
-    conflicts = dim_conflicts(manifest.dims, linked)
+    conflicts = dim_conflicts(manifest.dims, linked, order=[*prefix, "search_rank"])
     mode = choose_mode(config.collection, plan["level2"], dict(config.modes))
     mismatches = var_mismatches(manifest.variables, granule_fields(found),
                                 combine_order(mode, prefix))

@@ -141,6 +141,13 @@ r AS (SELECT * FROM v WHERE p_size = (SELECT min(p_size) FROM part)),
 q AS (SELECT v.p_size, v.p_brand, v.dtype, v.n, r.dtype AS rd, r.n AS rn, r.p_brand AS rb
       FROM v LEFT JOIN r ON v.p_brand = r.p_brand)"""
 
+_PLACES = """
+p0 AS (SELECT p_size FROM part GROUP BY 1),
+p AS (SELECT p_size, 0 AS spec_no FROM p0 WHERE p_size > 25 UNION ALL SELECT p_size, 1 FROM p0),
+z AS (SELECT p_size AS first FROM p ORDER BY spec_no, p_size LIMIT 1),
+v AS (SELECT p_size, p_brand, min(p_type) AS dtype, count(*) AS n FROM part GROUP BY 1, 2),
+r AS (SELECT v.* FROM v JOIN z ON p_size = first)"""
+
 _FROM_NAME = f"""
 n AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS granule_id, o_orderpriority AS coll,
@@ -227,6 +234,45 @@ SELECT CAST(p_size AS VARCHAR) AS granule_id, (SELECT count(*) FROM r) - n_known
        n_different, CAST(0 AS BIGINT) AS n_ragged FROM k
 WHERE (SELECT count(*) FROM r) - n_known + n_extra + n_different > 0""",
 
+    "dim_conflicts_places": """WITH d AS (
+  SELECT p_partkey, p_type AS dim, CASE WHEN p_size > 25 THEN 0 ELSE 1 END AS spec,
+         CAST(CASE WHEN p_type IN ('SMALL', 'LARGE') THEN 100 ELSE p_size END AS BIGINT) AS size FROM part),
+k AS (SELECT *, row_number() OVER (PARTITION BY dim, size ORDER BY spec, p_partkey) AS i FROM d),
+t AS (SELECT dim, size, count(*) AS n_granules,
+             string_agg('s3://b-parts/' || p_partkey || '.nc', ' ' ORDER BY i) FILTER (WHERE i <= 3)
+             AS sample_links FROM k GROUP BY 1, 2)
+SELECT dim, size, n_granules, sample_links, CAST(n_granules > 3 AS BIGINT) AS more FROM t
+WHERE dim IN (SELECT dim FROM t GROUP BY dim HAVING count(*) > 1)""",
+
+    "mismatch_values": f"""WITH {_PLACES},
+q AS (SELECT v.p_size, v.p_brand, v.dtype, v.n, r.dtype AS rd, r.n AS rn, r.p_brand AS rb
+      FROM v LEFT JOIN r ON v.p_brand = r.p_brand),
+m AS (
+  SELECT p_size, p_brand, 'dtype' AS kind, '"' || rd || '"' AS expected, '"' || dtype || '"' AS found
+  FROM q WHERE rb IS NOT NULL AND dtype <> rd
+  UNION ALL SELECT p_size, p_brand, unnest(['shape', 'chunks']), '[' || rn || ']', '[' || n || ']'
+  FROM q WHERE rb IS NOT NULL AND n <> rn
+  UNION ALL SELECT p_size, p_brand, 'extra', NULL, '"' || dtype || '" [' || n || ']' FROM q WHERE rb IS NULL
+  UNION ALL SELECT p0.p_size, r.p_brand, 'missing', '"' || r.dtype || '" [' || r.n || ']', NULL
+  FROM p0, r WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.p_size = p0.p_size AND v.p_brand = r.p_brand))
+SELECT CAST(p_size AS VARCHAR) AS granule_id, CAST(spec_no AS BIGINT) AS spec_no,
+       CAST(p_size AS BIGINT) AS search_rank, p_brand AS var, kind, expected, found,
+       's3://b-parts/' || p_size || '.nc' AS url, 's3://b-parts/' || first || '.nc' AS first_url
+FROM m JOIN p USING (p_size), z""",
+
+    "compat_places": f"""WITH {_PLACES},
+q AS (SELECT v.p_size, v.n, r.p_brand AS rb, v.dtype <> r.dtype AS other
+      FROM v LEFT JOIN r ON v.p_brand = r.p_brand),
+k AS (SELECT p_size, count(rb) AS n_known, count(*) - count(rb) AS n_extra,
+             count(*) FILTER (WHERE other) AS n_different, count(*) FILTER (WHERE n % 2 = 1) AS odd
+      FROM q GROUP BY p_size),
+w AS (SELECT *, row_number() OVER (ORDER BY spec_no DESC, p_size DESC) AS back FROM p),
+t AS (SELECT CAST(p_size AS VARCHAR) AS granule_id, CAST(spec_no AS BIGINT) AS spec_no,
+             CAST(p_size AS BIGINT) AS search_rank, (SELECT count(*) FROM r) - n_known AS n_missing,
+             n_extra, n_different, CASE WHEN back = 1 THEN 0 ELSE odd END AS n_ragged
+      FROM w JOIN k USING (p_size))
+SELECT * FROM t WHERE n_missing + n_extra + n_different + n_ragged > 0""",
+
     "attrs_merge": """WITH m AS (
   SELECT 'a' || p_size AS key,
          CASE WHEN p_size % 2 = 0 THEN '"const"' ELSE '"' || p_type || '"' END AS v FROM part)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import (basename, chunk_key, coord_vars, granule_fields, https_name, is_level2,
                          link, output_name, provider, rewrite_text, s3_to_https)
 from ..operators.attrs import merge_attrs
+from ..operators.classes import BASIC, schema_mismatches
 from ..operators.combine import (EPOCH_ATTRS, GRANULE, SECONDS, SORTED, axis_table, choose_mode,
                                  combine, subset_by_start)
 from ..operators.inventory import folders_by_bucket, inventory, top_folders
@@ -130,6 +131,32 @@ def compat_gate_query(spark: SparkSession, sf: str) -> DataFrame:
         "granule_id", "n_missing", "n_extra", "n_different", "n_ragged")
 
 
+def dim_conflicts_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Conflicts of granules that two specs found: each counts once, and links follow the specs."""
+    dims, _ = b.part_dims(spark, sf)
+    found = dim_conflicts(dims, b.part_places(spark, sf, "p_partkey"), k=3,
+                          order=["spec_no", "search_rank"])
+    return found.select("dim", "size", "n_granules",
+                        F.array_join("sample_links", " ").alias("sample_links"),
+                        _long("more").alias("more"))
+
+
+def mismatch_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every place that differs from granule 0, with both values and both files."""
+    manifest, _ = b.part_variables(spark, sf)
+    found = schema_mismatches(manifest.variables, b.part_places(spark, sf, "p_size"),
+                              ["spec_no", "search_rank"], (*BASIC, "extra", "chunks"))
+    return found.withColumn("spec_no", _long("spec_no"))
+
+
+def compat_places(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate by place: partial chunks are refused everywhere but at the last place."""
+    manifest, _ = b.part_variables(spark, sf)
+    two = manifest.variables.withColumn("chunk_shape", F.array(F.lit(2).cast("bigint")))
+    return compat_gate(manifest.with_(variables=two), b.part_places(spark, sf, "p_size"), "n",
+                       ["spec_no", "search_rank"], strict=False).withColumn("spec_no", _long("spec_no"))
+
+
 def attrs_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merge_attrs(b.part_attrs(spark, sf), with_dropped=True).select(
         "scope", "key", "value_json", _long("dropped").alias("dropped"))
@@ -457,6 +484,9 @@ _ALL = {
     "dim_conflicts": dim_conflicts_query,
     "var_mismatch": var_mismatch,
     "compat_gate": compat_gate_query,
+    "dim_conflicts_places": dim_conflicts_places,
+    "mismatch_values": mismatch_values,
+    "compat_places": compat_places,
     "attrs_merge": attrs_merge,
     "combine_seconds": combine_seconds,
     "combine_sorted": combine_sorted,

@@ -2,6 +2,7 @@ import pytest
 from conftest import manifest, rows, variable
 
 from chunkatlas.operators.attrs import merge_attrs, require_attrs
+from chunkatlas.operators.classes import KINDS, schema_classes, schema_mismatches
 from chunkatlas.operators.quality import (IncompatibleGranules, compat_gate, compat_report,
                                           dim_conflicts, var_mismatches)
 
@@ -37,6 +38,59 @@ def test_mismatches(checked):
         ("g1", "flag", "extra"), *basic]
 
 
+def test_mismatch_values_and_places(spark, checked):
+    m, _ = checked
+    # g0 is found second by its rank but first by its spec; g2 is found twice.
+    found = spark.createDataFrame(
+        [("g0", 0, 7, "u0"), ("g2", 0, 8, "u2"), ("g1", 1, 1, "u1"), ("g2", 1, 2, "u2"), ("g3", 1, 3, "u3"),
+         ("g4", 1, 4, "u4")], "granule_id STRING, spec_no INT, search_rank BIGINT, url STRING")
+    got = schema_mismatches(m.variables, found, ["spec_no", "search_rank"], KINDS)
+    assert rows(got, "spec_no", "search_rank", "var", "kind", "expected", "found", "url", "first_url") == sorted([
+        *[(s, r, "sst", kind, a, b, "u2", "u0") for s, r in ((0, 8), (1, 2))
+          for kind, a, b in (("dtype", '"<f4"', '"<f8"'), ("shape", "[10,4]", "[9,4]"),
+                             ("chunks", "[10,4]", "[9,4]"))],
+        (1, 1, "flag", "extra", None, '"<f4" [10,4]', "u1", "u0"),
+        (1, 3, "sst", "dims", '["line","pixel"]', '["pixel","line"]', "u3", "u0"),
+        (1, 4, "sst", "missing", '"<f4" [10,4]', None, "u4", "u0")], key=repr)
+    with pytest.raises(ValueError, match="no such kinds"):
+        schema_mismatches(m.variables, found, kinds=["size"])
+
+
+def test_schema_classes_ignore_the_order_of_rows(spark):
+    variables = [variable("a", "v", ["x"], (1,)), variable("a", "w", ["x"], (2,)),
+                 variable("b", "w", ["x"], (2,)), variable("b", "v", ["x"], (1,)),
+                 variable("c", "v", ["x"], (2,)), variable("c", "w", ["x"], (1,))]
+    members, classes = schema_classes(manifest(spark, variables=variables).variables)
+    of = dict(rows(members, "granule_id", "class_id"))
+    assert of["a"] == of["b"] != of["c"]
+    assert rows(classes, "class_id", "n_granules", "var", "shape") == sorted([
+        (of["a"], 2, "v", (1,)), (of["a"], 2, "w", (2,)), (of["c"], 1, "v", (2,)), (of["c"], 1, "w", (1,))],
+        key=repr)
+
+
+def test_nothing_to_compare(spark):
+    m = manifest(spark)
+    found = spark.createDataFrame([("g0", 0), ("g1", 1)], "granule_id STRING, search_rank BIGINT")
+    assert rows(schema_mismatches(m.variables, found, kinds=KINDS)) == []
+    assert rows(schema_mismatches(m.variables, found.limit(0), kinds=KINDS)) == []
+
+
+def test_a_granule_found_twice_counts_once(spark):
+    dims = [("a", "x", 1), ("b", "x", 2), ("c", "x", 2)]
+    found = spark.createDataFrame([("c", 0, 9, "uc"), ("a", 1, 0, "ua"), ("b", 1, 1, "ub"), ("c", 1, 2, "uc")],
+                                  "granule_id STRING, spec_no INT, search_rank BIGINT, url STRING")
+    assert rows(dim_conflicts(manifest(spark, dims).dims, found, order=["spec_no", "search_rank"])) == [
+        ("x", 1, 1, ("ua",), False), ("x", 2, 2, ("uc", "ub"), False)]
+
+
+def test_the_last_place_is_exempt_not_its_granule(spark):
+    variables = [variable(f"g{i}", "v", ["time"], (n,), (2,)) for i, n in enumerate([4, 3])]
+    found = spark.createDataFrame([("g1", 0, 1), ("g0", 1, 0), ("g1", 1, 1)],
+                                  "granule_id STRING, spec_no INT, search_rank BIGINT")
+    report = compat_report(manifest(spark, variables=variables), found, "time", ["spec_no", "search_rank"])
+    assert rows(report, "granule_id", "spec_no", "n_ragged") == [("g1", 0, 1)]
+
+
 def test_gate(checked):
     m, found = checked
     assert rows(compat_gate(m, found, strict=False), "granule_id", "n_missing", "n_extra",
