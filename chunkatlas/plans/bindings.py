@@ -29,7 +29,8 @@ def granule_id(key: str) -> Column:
     return F.col(key).cast("string").alias("granule_id")
 
 
-def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
+def granules(spark: SparkSession, sf_dir: str, days: Column | int = 0) -> DataFrame:
+    """Orders as granules that last six hours, or some days more."""
     orders = load(spark, sf_dir, "orders")
     digit = F.substring("o_orderpriority", 1, 1)
     level = F.when(digit.isin("1", "2"), "_L2").otherwise("_L4")
@@ -37,7 +38,8 @@ def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(coll, F.lit("_"), "o_orderkey", F.lit("_"), F.lower("o_orderstatus"),
                     F.lit(".nc"))
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    end = F.col("o_orderdate") + F.expr("INTERVAL 6 HOURS")
+    days = days if isinstance(days, Column) else F.lit(days)
+    end = F.col("o_orderdate") + F.make_dt_interval(days.cast("int"), F.lit(6))
     direct = F.concat(F.lit("s3://b-"), F.lower("o_orderstatus"), F.lit("/"), name)
     return orders.select(
         granule_id("o_orderkey"), coll.alias("collection"), name.alias("name"),
@@ -56,6 +58,19 @@ def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat(F.lit("https://h/"), name).alias("url"))).alias("links"))
 
 
+def customer_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search spec per customer, every third for one collection; some bounds are open."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    coll = F.when(key % 3 == 0, "C1_L2").otherwise(F.concat(F.lit("C"), key % 3 + 2, F.lit("_L4")))
+    start = F.date_add(F.lit("1992-01-01").cast("date"), (key % 2400).cast("int"))
+    return load(spark, sf_dir, "customer").select(
+        key.cast("int").alias("spec_no"), coll.alias("short_name"),
+        F.when(key % 5 == 0, F.concat(F.lit("C*"), key % 100, F.lit("_?.nc")))
+        .otherwise(F.concat(coll, F.lit("_"), key % 50, F.lit("*"))).alias("granule_glob"),
+        F.when(nation > 1, start).alias("date_from"),
+        F.when(nation < 23, F.date_add(start, (key % 400).cast("int"))).alias("date_to"))
+
+
 def _line_chunks(lines: DataFrame) -> DataFrame:
     """One chunk per order, line status and line number. The sums combine before the exchange."""
     return lines.groupBy("l_orderkey", "l_linestatus", "l_linenumber").agg(

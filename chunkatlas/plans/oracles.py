@@ -176,6 +176,18 @@ f AS (
 SELECT granule_id, CAST(spec_no AS BIGINT) AS spec_no,
        row_number() OVER (ORDER BY spec_no, search_rank) - 1 AS ordinal FROM f""",
 
+    "catalog_search_many": f"""WITH {_GRANULES},
+k AS (SELECT c_custkey AS spec_no, c_nationkey AS n,
+             CASE WHEN c_custkey % 3 = 0 THEN 'C1_L2' ELSE 'C' || (c_custkey % 3 + 2) || '_L4' END AS coll,
+             DATE '1992-01-01' + CAST(c_custkey % 2400 AS INTEGER) AS low FROM customer),
+s AS (SELECT spec_no, coll, CASE WHEN spec_no % 5 = 0 THEN 'C*' || (spec_no % 100) || '_?.nc'
+             ELSE coll || '_' || (spec_no % 50) || '*' END AS pattern,
+             CASE WHEN n > 1 THEN low END AS low,
+             CASE WHEN n < 23 THEN low + CAST(spec_no % 400 AS INTEGER) END AS high FROM k)
+SELECT granule_id, CAST(spec_no AS BIGINT) AS spec_no FROM g JOIN s ON collection = coll
+WHERE name GLOB pattern AND (high IS NULL OR CAST(b AS DATE) <= high)
+  AND (low IS NULL OR CAST(b AS DATE) + CAST(cycle % 40 AS INTEGER) >= low)""",
+
     "granule_fields": f"""WITH {_GRANULES}
 SELECT granule_id, begin_s, cycle, ppass, url, name AS filename, {_PROVIDER} AS provider FROM gl""",
 

@@ -60,6 +60,12 @@ def catalog_search_specs(spark: SparkSession, sf: str) -> DataFrame:
         "granule_id", _long("spec_no").alias("spec_no"), "ordinal")
 
 
+def catalog_search_many(spark: SparkSession, sf: str) -> DataFrame:
+    """As many specs as customers over granules that last up to forty days."""
+    found = search_specs(b.granules(spark, sf, F.col("o_custkey") % 40), b.customer_specs(spark, sf))
+    return found.select("granule_id", _long("spec_no").alias("spec_no"))
+
+
 def granule_fields_query(spark: SparkSession, sf: str) -> DataFrame:
     found = direct_links(granule_fields(b.granules(spark, sf)))
     return found.select(
@@ -474,6 +480,7 @@ _ALL = {
     "combine_existing": combine_existing,
     "catalog_search": catalog_search,
     "catalog_search_specs": catalog_search_specs,
+    "catalog_search_many": catalog_search_many,
     "granule_fields": granule_fields_query,
     "coord_vars": coord_vars_query,
     "epoch_axis": epoch_axis,

@@ -1,8 +1,15 @@
+import datetime as dt
+import random
+
 import pytest
 from conftest import granule, granules, rows
 
 from chunkatlas.functions import granule_fields
 from chunkatlas.operators.ordering import assign_batches, first_k, with_ordinal
+from chunkatlas.operators.overlap import range_bins
+from chunkatlas.schemas import SEARCH_SPECS
+from chunkatlas.session import local_frame
+from chunkatlas.sources import catalog as catalog_module
 from chunkatlas.sources.catalog import direct_links, guard, search, search_specs
 
 
@@ -30,6 +37,47 @@ def test_specs_append_and_keep_duplicates(catalog):
         (0, "g2", 0), (1, "g1", 1), (2, "g2", 1)]
 
 
+def test_many_specs_meet_by_bins(spark, monkeypatch):
+    draw = random.Random(7)
+    day = dt.date(2021, 12, 1)
+
+    def date(n):
+        return (day + dt.timedelta(days=n)).isoformat()
+
+    found = []
+    for i in range(60):
+        begin = draw.choice([None, *range(60)])
+        end = draw.choice([None, *range(begin or 0, 70)])
+        found.append(granule(f"g{i}", i, begin is not None and date(begin) + "T05:00:00Z" or None,
+                             end is not None and date(end) + "T04:00:00Z" or None,
+                             collection=draw.choice("CCD"), name=draw.choice(["ab", "a_", "abc", "b", "", "é"]) + f"{i}.nc"))
+    found.append(granule("old", 60, "1850-01-01T00:00:00Z", "2100-01-01T00:00:00Z", name="ab"))
+    found.append(granule("reversed", 61, "2022-01-20T00:00:00Z", "2022-01-02T00:00:00Z", name="ab"))
+    table = granules(spark, found)
+    specs = [(draw.choice("CCDE"), i, draw.choice("CCD"), draw.choice(["*", "a*", "ab?*", "?b*.nc", "ab1.nc", "a_*", "é*", "", None]),
+              draw.choice([None, day + dt.timedelta(days=draw.randrange(60))]),
+              draw.choice([None, day + dt.timedelta(days=draw.randrange(60))])) for i in range(80)]
+    specs += [("C", 80, "C", "ab", dt.date(1800, 1, 1), dt.date(1850, 1, 1)),
+              ("C", 81, "C", "ab", dt.date(2099, 1, 1), dt.date(2200, 1, 1))]
+    frame = local_frame(spark, specs, SEARCH_SPECS)
+    monkeypatch.setattr(catalog_module, "DIRECT", 10 ** 6)
+    plain = rows(search_specs(table, frame), "spec_no", "granule_id")
+    monkeypatch.setattr(catalog_module, "DIRECT", 0)
+    binned = search_specs(table, frame)
+    assert rows(binned, "spec_no", "granule_id") == plain
+    assert len(set(plain)) == len(plain) > 300
+    assert search_specs(table, frame.limit(0)).columns == binned.columns
+    assert rows(search_specs(table.limit(0), frame)) == []
+
+
+def test_bins_are_disjoint_and_complete(spark):
+    ranges = [(0, 0), (0, 65535), (1, 1), (3, 12), (5, 4), (65535, 65535), (7, 40000)]
+    table = spark.createDataFrame(ranges, "a INT, b INT")
+    for row in table.withColumn("bins", range_bins("a", "b")).collect():
+        days = [d for x in row["bins"] for d in range(x["bin"] << x["level"], (x["bin"] + 1) << x["level"])]
+        assert sorted(days) == list(range(row["a"], row["b"] + 1))
+
+
 def test_fields(catalog):
     got = granule_fields(catalog).where("granule_id = 'g0'").first()
     assert (got["begin_raw"], got["cycle"], got["ppass"]) == ("2022-01-01T00:00:00Z", 1, 2)
