@@ -17,6 +17,7 @@ from ..functions import basename, epoch_seconds, granule_fields, link
 from ..schemas import Dataset, Manifest
 from ..session import local_frame, materialize, small_side
 from .attrs import merge_attrs
+from .coords import with_auxiliary
 from .ordering import order_by_start, with_ordinal, with_ordinal_sorted
 from .quality import compat_gate, reference_variables
 
@@ -108,7 +109,7 @@ def roles(reference: DataFrame, mode: Mode) -> DataFrame:
 
     ``shift``: it has the axis and moves along it. ``stack``: it gets the new axis. ``spread``: a
     data variable without the existing axis gets it, its chunks repeated for each step of the
-    granule. ``first``: taken from granule 0 unchanged.
+    granule. ``first``: taken from granule 0 unchanged, as all coordinates without the axis are.
     """
     at = F.array_position("dims", F.lit(mode.axis)).cast("int") - 1
     follows = ~F.coalesce("is_coord", F.lit(False))
@@ -206,7 +207,8 @@ def combine(manifest: Manifest, granules: DataFrame, mode: Mode | str = EXISTING
     granules = granule_fields(granules) if "begin" not in granules.columns else granules
     order = combine_order(mode, prefix)
     # Both are read several times below and are far smaller than the tables they come from.
-    reference = materialize(reference_variables(manifest.variables, granules, order), "reference")
+    reference = materialize(with_auxiliary(reference_variables(manifest.variables, granules, order),
+                                           manifest.attrs), "reference")
     if gate:
         compat_gate(manifest, granules, None if mode.new_axis else mode.axis, order,
                     reference=reference)

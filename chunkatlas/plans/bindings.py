@@ -137,6 +137,29 @@ def manifest_existing(spark: SparkSession, sf_dir: str) -> Manifest:
                     local_frame(spark, [], COORD_VALUES))
 
 
+def manifest_coords(spark: SparkSession, sf_dir: str) -> Manifest:
+    """As ``manifest_existing``, with a latitude over two dimensions that attributes name.
+
+    Variable ``v_F`` names ``lat2`` and one that does not exist, and ``lat2`` names ``aux``.
+    """
+    base, orders = manifest_existing(spark, sf_dir), load(spark, sf_dir, "orders")
+    like = base.variables.where("var = 'm_total'")
+    two = [F.lit(4).cast("bigint"), F.lit(3).cast("bigint")]
+    variables = base.variables.unionByName(like.withColumn("var", F.lit("aux"))).unionByName(
+        like.withColumns({"var": F.lit("lat2"), "dims": F.array(F.lit("y"), F.lit("x")),
+                          "shape": F.array(*two), "chunk_shape": F.array(*two)}))
+    zero = F.lit(0).cast("bigint")
+    chunks = _order_chunks(orders, ["aux", "lat2"]).withColumn("chunk_idx", F.when(
+        F.col("var") == "lat2", F.array(zero, zero)).otherwise(F.array(zero)))
+    named = orders.select(granule_id("o_orderkey"), F.explode(F.array(*[
+        F.struct(F.lit(scope).alias("scope"), F.lit("coordinates").alias("key"),
+                 F.lit(value).alias("value_json"))
+        for scope, value in (("v_F", '"lat2 gone"'), ("lat2", '"aux"'))])).alias("one")).select(
+            "granule_id", "one.*")
+    return base.with_(variables=variables, attrs=base.attrs.unionByName(named),
+                      chunk_refs=base.chunk_refs.unionByName(chunks))
+
+
 def manifest_new(spark: SparkSession, sf_dir: str) -> Manifest:
     """Granules of equal shape for a new axis: ``line`` is as long as the highest line number."""
     lines, orders = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders")

@@ -292,6 +292,23 @@ SELECT '' AS scope, key, CASE WHEN count(DISTINCT v) = 1 THEN min(v) END AS valu
        CAST(count(DISTINCT v) > 1 AS BIGINT) AS dropped FROM m GROUP BY key""",
 
     "combine_existing": _existing(),
+    "combine_coords": f"""{_existing()}
+UNION ALL SELECT unnest(['aux/0', 'lat2/0.0']), 's3://b/' || granule_id || '.nc', "offset", length
+FROM a JOIN o USING (granule_id) WHERE ord = 0""",
+    "combine_shapes": """WITH s AS (
+  SELECT max(l_linenumber) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey),
+t AS (SELECT CAST(CAST(sum(n) AS BIGINT) AS VARCHAR) AS n FROM s)
+SELECT 'var' AS kind, unnest(['v_F', 'v_O']) AS name, 'time' AS dims, n AS sizes, CAST(0 AS BIGINT) AS is_coord FROM t
+UNION ALL SELECT 'var', 'm_total', 'time|y', n || '|4', 0 FROM t
+UNION ALL SELECT 'var', unnest(['lat', 'aux']), 'y', '4', 1
+UNION ALL SELECT 'var', 'lat2', 'y|x', '4|3', 1
+UNION ALL SELECT 'dim', 'time', NULL, n, NULL FROM t""",
+    "combine_attrs": """SELECT '' AS scope, 'title' AS key, '"orders"' AS value_json FROM orders
+HAVING count(*) > 0
+UNION ALL SELECT '', 'status', '["' || min(o_orderstatus) || '"]' FROM orders
+HAVING count(DISTINCT o_orderstatus) = 1
+UNION ALL SELECT 'orbit_segment_start_time', 'units', '"seconds since 1970-01-01T00:00:00"'
+UNION ALL SELECT 'orbit_segment_start_time', 'calendar', '"gregorian"'""",
     "combine_seconds": _new_axis(),
     "combine_sorted": _new_axis("b, search_rank"),
     "combine_granule": _new_axis(

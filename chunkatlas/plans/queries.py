@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (basename, chunk_key, coord_vars, granule_fields, https_name, is_level2,
                          link, output_name, provider, rewrite_text, s3_to_https)
-from ..operators.attrs import merge_attrs
+from ..operators.attrs import merge_attrs, require_attrs
 from ..operators.classes import BASIC, schema_mismatches
 from ..operators.combine import (EPOCH_ATTRS, GRANULE, SECONDS, SORTED, axis_table, choose_mode,
                                  combine, subset_by_start)
@@ -177,6 +177,28 @@ def combine_existing(spark: SparkSession, sf: str) -> DataFrame:
     return _chunks(combine(b.manifest_existing(spark, sf), b.granules(spark, sf)))
 
 
+def combine_coords(spark: SparkSession, sf: str) -> DataFrame:
+    """Auxiliary coordinates that only attributes name are taken from granule 0, not repeated."""
+    return _chunks(combine(b.manifest_coords(spark, sf), b.granules(spark, sf)))
+
+
+def combine_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimensions and variables of the combined dataset."""
+    ds = combine(b.manifest_coords(spark, sf), b.granules(spark, sf))
+    text = F.array_join(F.col("shape").cast("array<string>"), "|")
+    return ds.variables.select(
+        F.lit("var").alias("kind"), F.col("var").alias("name"), F.array_join("dims", "|").alias("dims"),
+        text.alias("sizes"), _long("is_coord").alias("is_coord")).unionByName(ds.dims.select(
+            F.lit("dim").alias("kind"), F.col("dim").alias("name"), F.lit(None).cast("string").alias("dims"),
+            F.col("size").cast("string").alias("sizes"), F.lit(None).cast("bigint").alias("is_coord")))
+
+
+def combine_attrs(spark: SparkSession, sf: str) -> DataFrame:
+    """Attributes of the combined dataset, those of its new time axis included."""
+    ds = combine(b.manifest_new(spark, sf), b.granules(spark, sf), SECONDS)
+    return require_attrs(ds.attrs)
+
+
 def combine_seconds(spark: SparkSession, sf: str) -> DataFrame:
     mode = choose_mode("C1_L2", level2=True)
     ds = combine(b.manifest_new(spark, sf), b.granules(spark, sf), mode)
@@ -495,6 +517,9 @@ _ALL = {
     "mismatch_values": mismatch_values,
     "compat_places": compat_places,
     "attrs_merge": attrs_merge,
+    "combine_coords": combine_coords,
+    "combine_shapes": combine_shapes,
+    "combine_attrs": combine_attrs,
     "combine_seconds": combine_seconds,
     "combine_sorted": combine_sorted,
     "combine_granule": combine_granule,

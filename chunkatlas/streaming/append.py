@@ -18,6 +18,7 @@ from ..functions import granule_fields
 from ..operators.attrs import attr_summary, merge_attrs
 from ..operators.combine import (MODES, Mode, axis_sizes, axis_table, combine_chunks,
                                  combine_coord_values, combined_variables, roles, with_axis_attrs)
+from ..operators.coords import with_auxiliary
 from ..operators.quality import compat_gate, reference_variables
 from ..schemas import Dataset, Manifest
 from ..session import fits, local_frame, materialize, small_side
@@ -79,7 +80,8 @@ class CombinedStore:
 
         order = [*self.prefix, "search_rank"]
         if first_batch:
-            reference = reference_variables(manifest.variables, new, order)
+            reference = with_auxiliary(reference_variables(manifest.variables, new, order),
+                                       manifest.attrs)
             self._write(reference, "reference", batch_id)
         reference = self._table(
             "reference", [batch_id] if first_batch else self._filled(batch_id)[:1])

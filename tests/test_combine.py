@@ -8,6 +8,7 @@ from chunkatlas import session
 from chunkatlas.functions import epoch_seconds
 from chunkatlas.operators import combine as module
 from chunkatlas.operators.combine import choose_mode, combine, subset_by_start
+from chunkatlas.operators.coords import with_auxiliary
 from chunkatlas.operators.quality import IncompatibleGranules
 
 STARTS = {"g0": "2022-01-03T00:00:00Z", "g1": "2022-01-01T00:00:00Z", "g2": "2022-01-02T00:00:00"}
@@ -201,3 +202,18 @@ def test_subset(spark, found, equal):
     assert rows(part.axis, "granule_id", "ordinal") == [("g1", 1)]
     assert keys(part, "sst") == [((1, 0), "g1"), ((1, 1), "g1")]
     assert keys(part, "crs") == [((), "g0")]
+
+
+def test_attributes_name_auxiliary_coordinates(spark):
+    variables = [variable("a", v, ["y", "x"], (2, 2)) for v in ("t", "lat2", "aux", "glob", "other")]
+    variables += [variable("b", v, ["y", "x"], (2, 2)) for v in ("t", "other")]
+    attrs = [("a", "t", "coordinates", '" lat2\\n gone "'), ("a", "lat2", "coordinates", '"aux lat2"'),
+             ("a", "", "coordinates", '"glob"'), ("a", "t", "units", '"other"'), ("a", "glob", "coordinates", "3"),
+             ("a", "aux", "coordinates", None), ("a", "other", "coordinates", '""'), ("b", "t", "coordinates", '"other"')]
+    m = manifest(spark, variables=variables, attrs=attrs)
+    assert rows(with_auxiliary(m.variables, m.attrs).where("is_coord"), "granule_id", "var") == [
+        ("a", "aux"), ("a", "glob"), ("a", "lat2"), ("b", "other")]
+    first = m.variables.where("granule_id = 'a'")
+    assert with_auxiliary(first, m.attrs).columns == first.columns
+    assert rows(with_auxiliary(first, m.attrs.limit(0)), "var", "is_coord") == [
+        (v, False) for v in ("aux", "glob", "lat2", "other", "t")]
