@@ -333,6 +333,11 @@ SELECT key, md5(t) AS rewritten FROM t{len(b.BUCKETS)}""",
        CAST(embedding[i + 1] AS DOUBLE) AS value
 FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM embeddings)""",
 
+    "array_slice": """SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(i AS BIGINT) AS at,
+       CAST(embedding[i + 1] AS DOUBLE) AS value
+FROM (SELECT vec_id, embedding, unnest(range(len(embedding))) AS i FROM embeddings WHERE vec_id >= 100)
+WHERE i BETWEEN 3 AND 17""",
+
     "refs_json_foreign": r"""SELECT 'd"{\/' || doc_id AS key, 'inline' AS kind, NULL AS url, NULL AS tail_json,
        text AS inline_text, NULL AS other_json FROM documents
 UNION ALL SELECT 'p/' || page_id, 'ref', url, '[0,' || length(html) || ']', NULL, NULL FROM pages

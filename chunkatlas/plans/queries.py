@@ -27,6 +27,7 @@ from ..sinks.records import open_records, write_records
 from ..sinks.reports import write_inventory
 from ..sources.arrays import read_array
 from ..sources.catalog import direct_links, guard, search, search_specs
+from ..sources.cells import cells
 from ..sources.listing import list_objects
 from ..sources.refs import open_refs_parquet, read_refs_json
 from ..sources.storage import copy_object, locate
@@ -347,6 +348,18 @@ def array_read(spark: SparkSession, sf: str) -> DataFrame:
                                         F.get("idx", F.lit(1)).alias("at"), "value")
 
 
+def array_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """A box of the vectors' array by conditions on its dimensions, read through positional records."""
+    stores = _write_stores(b.load(spark, sf, "embeddings").select("vec_id", "embedding"),
+                           scratch_path(spark, "arrays"))
+    none = F.lit(None).cast("string")
+    found = stores.withColumns({"begin": none.cast("timestamp"), "begin_raw": none})
+    folder = scratch_path(spark, "records")
+    write_records(combine(virtualize(spark, stores, "zarr2"), found, axis="vec"), folder, size=16)
+    return cells(spark, folder, "emb").where("vec >= 100 AND dim BETWEEN 3 AND 17").select(
+        F.col("vec").alias("vec_id"), F.col("dim").alias("at"), "value")
+
+
 def zarr_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """The chunks of stores that are written from vectors, found by listing their folders in tasks."""
     stores = _write_stores(b.load(spark, sf, "embeddings").select("vec_id", "embedding"),
@@ -533,6 +546,7 @@ _ALL = {
     "refs_records_roundtrip": refs_records_roundtrip,
     "file_manifest": file_manifest,
     "array_read": array_read,
+    "array_slice": array_slice,
     "zarr_manifest": zarr_manifest,
     "top_folders": top_folders_query,
     "inventory": inventory_query,

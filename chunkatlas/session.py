@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Reference files may repeat a key; the last one counts, as with most JSON readers.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Index conditions reach the reader of array cells.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 #: Largest side that is ever broadcast explicitly.

@@ -45,6 +45,12 @@ def chunk_index(number: Column, counts: Column) -> Column:
         F.concat(F.array(acc["rest"] % n), acc["idx"]).alias("idx")), lambda acc: acc["idx"])
 
 
+def _write_ranged(table: DataFrame, order: list[str], path: str, mode: str, *folders: str) -> None:
+    """Write files, named in order, of ranges of ``order``, so that a row is found by bisection."""
+    (table.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode)
+     .option("parquet.block.size", 1 << 20).partitionBy(*folders).parquet(path))
+
+
 def write_records(ds: Dataset, path: str, size: int = ROW_RECORDS, mode: str = "errorifexists") -> None:
     """Write the dataset's chunk references as records, and its other tables as ``write_refs_parquet`` does.
 
@@ -62,11 +68,11 @@ def write_records(ds: Dataset, path: str, size: int = ROW_RECORDS, mode: str = "
                                      F.substr("url", F.length(folder) + 1).alias("name"), "offset", "length", "inline_text"), "chunks")
     folders = with_ordinal_sorted(found.where("folder IS NOT NULL").select("folder").distinct(), ["folder"], out="folder_id")
     urls = with_ordinal_sorted(found.where("folder IS NOT NULL").select("folder", "name").distinct(), ["folder", "name"], out="url_id")
-    folders.select("folder_id", "folder").write.mode(mode).parquet(f"{path}/folders")
-    (urls.join(small_side(folders), "folder").select("url_id", "folder_id", "name")
-     .sortWithinPartitions("url_id").write.mode(mode).parquet(f"{path}/urls"))
+    _write_ranged(folders.select("folder_id", "folder"), ["folder_id"], f"{path}/folders", mode)
+    _write_ranged(urls.join(small_side(folders), "folder").select("url_id", "folder_id", "name"), ["url_id"],
+                  f"{path}/urls", mode)
     inline = found.where("inline_text IS NOT NULL").select("var", "n", "inline_text")
-    inline.write.mode(mode).partitionBy("var").parquet(f"{path}/inline")
+    _write_ranged(inline, ["var", "n"], f"{path}/inline", mode, "var")
     placed = found.join(small_side(urls), ["folder", "name"], "left").select(
         "var", F.expr(f"n div {size}").alias("row"), F.expr(f"n % {size}").cast("int").alias("at"),
         F.when(F.col("inline_text").isNotNull(), INLINE).otherwise(F.coalesce("url_id", F.lit(ABSENT))).cast("bigint").alias("url"),
@@ -98,8 +104,7 @@ def write_records(ds: Dataset, path: str, size: int = ROW_RECORDS, mode: str = "
 
     rows = placed.repartition("var", "row").sortWithinPartitions("var", "row", "at").mapInArrow(
         build, "var STRING, row BIGINT, records BINARY")
-    rows = materialize(rows, "records").repartitionByRange("var", "row").sortWithinPartitions("var", "row")
-    rows.write.mode(mode).option("parquet.block.size", 1 << 20).partitionBy("var").parquet(f"{path}/records")
+    _write_ranged(materialize(rows, "records"), ["var", "row"], f"{path}/records", mode, "var")
     ds.variables.withColumn("row_records", F.lit(size)).write.mode(mode).parquet(f"{path}/variables")
     for name in ("dims", "attrs", "coord_values"):
         getattr(ds, name).write.mode(mode).parquet(f"{path}/{name}")

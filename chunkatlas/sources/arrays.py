@@ -90,12 +90,16 @@ def inline_bytes(text: str) -> bytes:
     return base64.b64decode(text[7:]) if text.startswith("base64:") else text.encode("utf-8")
 
 
-def _cells(chunk: np.ndarray, chunk_idx: Sequence[int],
-           info: ArrayInfo) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places in the whole array and values of a chunk's cells inside it, in pieces of bounded size."""
-    base = np.asarray(chunk_idx, "int64") * np.asarray(info.chunk_shape, "int64")
-    inside = tuple(slice(0, max(0, min(c, n - b)))
-                   for c, n, b in zip(info.chunk_shape, info.shape, base))
+def _cells(chunk: np.ndarray, chunk_idx: Sequence[int], info: ArrayInfo, lo: Sequence[int] = (),
+           hi: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in the whole array and values of a chunk's cells inside it, in pieces of bounded size.
+
+    ``lo`` and ``hi`` narrow the places along each dimension, the latter excluded.
+    """
+    start_of = np.asarray(chunk_idx, "int64") * np.asarray(info.chunk_shape, "int64")
+    base = np.maximum(start_of, np.asarray(lo, "int64")) if len(lo) else start_of
+    inside = tuple(slice(int(b - s), int(max(b, min(s + c, n)) - s))
+                   for s, b, c, n in zip(start_of, base, info.chunk_shape, hi if len(hi) else info.shape))
     part = chunk[inside]
     flat = part.reshape(-1)
     for start in range(0, flat.size, _CELLS):
