@@ -387,5 +387,6 @@ SELECT collection, CASE WHEN n = 0 THEN 'empty' ELSE 'ok' END AS status,
        CASE WHEN n = 0 THEN 'no granules found' END AS reason, n AS granules, n AS links FROM k""",
 
     "append_batch": _existing(f"b >= TIMESTAMP '{b.SPLIT_DAY}', search_rank"),
+    "append_many": _existing("search_rank % 5, search_rank"),
     "append_stream": _new_axis(f"b >= TIMESTAMP '{b.SPLIT_DAY}', search_rank"),
 }

@@ -498,6 +498,19 @@ def append_batch(spark: SparkSession, sf: str) -> DataFrame:
     return _chunks(store.read())
 
 
+#: Batches of ``append_many``, whose parts are merged by twos.
+BATCHES = 5
+
+
+def append_many(spark: SparkSession, sf: str) -> DataFrame:
+    """All granules in several batches, with merges in between."""
+    store = CombinedStore(spark, scratch_path(spark, "store"), fan=2)
+    manifest, found = b.manifest_existing(spark, sf), b.granules(spark, sf)
+    for number in range(BATCHES):
+        store.append(manifest, found.where(F.col("search_rank") % BATCHES == number), number)
+    return _chunks(store.read())
+
+
 def append_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Granule files arrive twice; the stream is started anew for each arrival."""
     store = CombinedStore(spark, scratch_path(spark, "store"), SECONDS)
@@ -559,6 +572,7 @@ _ALL = {
     "sync_run": sync_run,
     "guard_status": guard_status,
     "append_batch": append_batch,
+    "append_many": append_many,
     "append_stream": append_stream,
 }
 

@@ -1,15 +1,17 @@
 """Incremental combination.
 
-A store is a folder of tables, each split by ``batch_id``. A batch writes its own folders and then
-one row in ``commits``, which makes it count. Running a batch again replaces its folders, so a
-batch that failed midway, or that a restarted stream repeats, leaves the same result.
+A store is a folder of tables, each of which has a folder per part, and a commit log (``log.py``). A batch
+writes a part under a name of its own and then publishes the version that names it, which makes it count.
+A batch that failed midway, or that a restarted stream repeats, leaves the same result; parts that no version
+names are never read. Parts of older versions stay, so whoever has opened one can go on reading it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -22,8 +24,10 @@ from ..operators.coords import with_auxiliary
 from ..operators.quality import compat_gate, reference_variables
 from ..schemas import Dataset, Manifest
 from ..session import fits, local_frame, materialize, small_side
+from .log import CommitLog, ConflictingWriter, Part, Version, tier
 
 _COMMITS = "batch_id BIGINT, granules BIGINT, axis_size BIGINT"
+_TABLES = ("axis", "chunk_refs", "coord_values", "attrs", "dims")
 
 
 class CombinedStore:
@@ -35,91 +39,84 @@ class CombinedStore:
     """
 
     def __init__(self, spark: SparkSession, root: str, mode: Mode | str = "existing",
-                 gate: bool = True, prefix: Sequence[str] = ()):
+                 gate: bool = True, prefix: Sequence[str] = (), fan: int = 8):
         self.spark, self.root = spark, root.rstrip("/")
         self.mode = MODES[mode] if isinstance(mode, str) else mode
         if self.mode.by_start:
             raise ValueError("a dataset sorted by start time cannot be appended to")
-        self.gate, self.prefix = gate, tuple(prefix)
-
-    def _path(self, table: str, batch_id: int | None = None) -> str:
-        return f"{self.root}/{table}" + ("" if batch_id is None else f"/batch_id={batch_id}")
+        if fan < 2:
+            raise ValueError("fan must be at least 2")
+        self.gate, self.prefix, self.fan = gate, tuple(prefix), fan
+        self.log = CommitLog(spark, f"{self.root}/log")
 
     def commits(self) -> DataFrame:
         """One row per finished batch."""
-        try:
-            return self.spark.read.schema(_COMMITS).parquet(self._path("commits"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        now = self.log.latest()
+        if now is None:
             return local_frame(self.spark, [], _COMMITS)
+        return self._table("commits", [part.name for part in now.parts])
 
-    def _filled(self, before: int | None = None) -> list[int]:
-        """Numbers of the finished batches that brought granules."""
-        full = self.commits().where("granules > 0")
-        if before is not None:
-            full = full.where(F.col("batch_id") < before)
-        return sorted(row["batch_id"] for row in full.select("batch_id").collect())
-
-    def _table(self, name: str, batches: Sequence[int]) -> DataFrame:
-        return self.spark.read.parquet(*[self._path(name, b) for b in batches])
+    def _table(self, name: str, parts: Sequence[str]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.root}/{name}/{part}" for part in parts])
 
     def append(self, manifest: Manifest, granules: DataFrame, batch_id: int) -> int:
-        """Combine new granules behind the stored ones; return how many were new."""
-        state = self.commits().where(F.col("batch_id") == batch_id).first()
-        if state is not None:
-            return state["granules"]
-        base = self.commits().where(F.col("batch_id") < batch_id).agg(
-            F.coalesce(F.sum("granules"), F.lit(0)).alias("granules"),
-            F.coalesce(F.sum("axis_size"), F.lit(0)).alias("axis_size")).first()
-        first_batch = base["granules"] == 0
-        new = materialize(self._new(granules, batch_id, first_batch), "arrived")
+        """Combine new granules behind the stored ones; return how many were new.
+
+        Batches come in ascending order of their numbers; one that was finished is not run again. If another
+        writer has published a batch meanwhile, ConflictingWriter is raised and this batch does not count.
+        """
+        base = self.log.latest()
+        if base is not None and batch_id <= base.batch_id:
+            done = self.commits().where(F.col("batch_id") == batch_id).first()
+            if done is None:
+                raise ValueError(f"batch {batch_id} comes after batch {base.batch_id}")
+            return done["granules"]
+        base = base or Version(-1, -1, 0, 0, None, ())
+        first_batch = base.granules == 0
+        part = f"{batch_id}-{uuid.uuid4().hex[:12]}"
+        new = materialize(self._new(granules, base), "arrived")
         if new.isEmpty():
-            self._commit(batch_id, 0, 0)
+            self._commit(base, part, batch_id, 0, 0)
             return 0
 
         order = [*self.prefix, "search_rank"]
         if first_batch:
             reference = with_auxiliary(reference_variables(manifest.variables, new, order),
                                        manifest.attrs)
-            self._write(reference, "reference", batch_id)
-        reference = self._table(
-            "reference", [batch_id] if first_batch else self._filled(batch_id)[:1])
+            self._write(reference, "reference", part)
+        reference = self._table("reference", [part if first_batch else base.reference])
         if self.gate:
             compat_gate(self._only(manifest, new), new,
                         None if self.mode.new_axis else self.mode.axis, order,
                         reference=reference)
         sizes = None if self.mode.new_axis else axis_sizes(manifest.dims, self.mode.axis)
-        index = axis_table(new, self.mode, sizes, base["granules"], base["axis_size"],
-                           prefix=self.prefix)
-        self._write(index, "axis", batch_id)
-        index = self.spark.read.parquet(self._path("axis", batch_id))
+        index = axis_table(new, self.mode, sizes, base.granules, base.axis_size, prefix=self.prefix)
+        self._write(index, "axis", part)
+        index = self._table("axis", [part])
 
         role = small_side(roles(reference, self.mode))
         place = small_side(index.select("granule_id", "ordinal", "axis_offset", "axis_size"))
-        self._write(combine_chunks(manifest.chunk_refs, role, place), "chunk_refs", batch_id)
-        self._write(combine_coord_values(manifest.coord_values, role, place), "coord_values",
-                    batch_id)
+        self._write(combine_chunks(manifest.chunk_refs, role, place), "chunk_refs", part)
+        self._write(combine_coord_values(manifest.coord_values, role, place), "coord_values", part)
         ids = place.select("granule_id")
-        self._write(attr_summary(manifest.attrs.join(ids, "granule_id", "left_semi")), "attrs",
-                    batch_id)
+        self._write(attr_summary(manifest.attrs.join(ids, "granule_id", "left_semi")), "attrs", part)
         first = index.where(F.col("ordinal") == 0).select("granule_id")
         self._write(manifest.dims.join(F.broadcast(first), "granule_id", "left_semi")
-                    .select("dim", "size"), "dims", batch_id)
+                    .select("dim", "size"), "dims", part)
         added = index.agg(F.count(F.lit(1)), F.sum("axis_size")).first()
-        self._commit(batch_id, added[0], added[1])
+        self._commit(base, part, batch_id, added[0], added[1])
         return added[0]
 
-    def _new(self, granules: DataFrame, batch_id: int, first_batch: bool) -> DataFrame:
+    def _new(self, granules: DataFrame, base: Version) -> DataFrame:
         """Arrivals that are not stored; of a repeated granule the first one."""
         order = F.struct(*self.prefix, "search_rank")
         columns = granules.columns
         rows = granules.groupBy("granule_id").agg(
             F.min_by(F.struct(*columns), order).alias("row")).select("row.*")
         rows = rows if "begin" in columns else granule_fields(rows)
-        if first_batch:
+        if base.granules == 0:
             return rows
-        stored = self._table("axis", self._filled(batch_id)).select("granule_id")
+        stored = self._table("axis", base.filled).select("granule_id")
         # The arrivals are few beside the store: the store is scanned, not shuffled.
         ids = rows.select("granule_id")
         if fits(ids):
@@ -131,32 +128,48 @@ class CombinedStore:
         ids = small_side(granules.select("granule_id"))
         return manifest.with_(variables=manifest.variables.join(ids, "granule_id", "left_semi"))
 
-    def _write(self, table: DataFrame, name: str, batch_id: int) -> None:
-        table.write.mode("overwrite").parquet(self._path(name, batch_id))
-
-    def _commit(self, batch_id: int, granules: int, axis_size: int) -> None:
-        row = local_frame(self.spark, [(granules, axis_size)],
-                                         "granules BIGINT, axis_size BIGINT")
-        row.coalesce(1).write.mode("overwrite").parquet(self._path("commits", batch_id))
+    def _write(self, table: DataFrame, name: str, part: str) -> None:
+        table.write.parquet(f"{self.root}/{name}/{part}")
+
+    def _commit(self, base: Version, part: str, batch_id: int, granules: int, axis_size: int) -> None:
+        row = local_frame(self.spark, [(batch_id, granules, axis_size)], _COMMITS)
+        self._write(row.coalesce(1), "commits", part)
+        now = Version(base.number + 1, batch_id, base.granules + granules, base.axis_size + axis_size,
+                      base.reference or (part if granules else None),
+                      (*base.parts, Part(part, 0, granules > 0)))
+        self.log.publish(now)
+        self._compact(now)
+
+    def _compact(self, now: Version) -> None:
+        """Merge full tiers, each by a version of its own. A merge that another writer overtakes is given up."""
+        while old := tier(now.parts, self.fan):
+            merged = Part(uuid.uuid4().hex, old[0].level + 1, any(p.filled for p in old))
+            # Small files of several parts are read together, so merged parts have fewer files, without a shuffle.
+            self._write(self._table("commits", [p.name for p in old]).coalesce(1), "commits", merged.name)
+            for name in _TABLES if merged.filled else ():
+                self._write(self._table(name, [p.name for p in old if p.filled]), name, merged.name)
+            now = replace(now, number=now.number + 1, parts=(*now.parts[:-self.fan], merged))
+            try:
+                self.log.publish(now)
+            except ConflictingWriter:
+                return
 
     def read(self) -> Dataset:
-        """The dataset as of the last finished batch."""
-        done = self._filled()
-        if not done:
+        """The dataset as of the newest version."""
+        now = self.log.latest()
+        if now is None or not now.granules:
             raise ValueError(f"nothing stored in {self.root}")
 
         def table(name: str) -> DataFrame:
-            return self._table(name, done)
+            return self._table(name, now.filled)
 
-        full = self.commits().where(F.col("batch_id").isin(done))
-        length = full.agg(F.sum("axis_size")).scalar()
+        length = F.lit(now.axis_size).cast("bigint")
         axis = self.mode.axis
-        reference = self.spark.read.parquet(self._path("reference", done[0]))
+        reference = self._table("reference", [now.reference])
         dims = table("dims").select("dim", F.when(F.col("dim") == axis, length)
                                     .otherwise(F.col("size")).alias("size"))
         if self.mode.new_axis:
-            dims = dims.unionByName(full.agg(F.lit(axis).alias("dim"),
-                                             F.sum("axis_size").alias("size")))
+            dims = dims.unionByName(local_frame(self.spark, [(axis, now.axis_size)], "dim STRING, size BIGINT"))
         return Dataset(
             dims=dims,
             variables=combined_variables(reference, roles(reference, self.mode), self.mode, length),

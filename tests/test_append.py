@@ -7,6 +7,7 @@ from chunkatlas.operators.combine import combine
 from chunkatlas.operators.quality import IncompatibleGranules
 from chunkatlas.streaming import CombinedStore
 from chunkatlas.streaming import append as module
+from chunkatlas.streaming.log import CommitLog, ConflictingWriter, Part, Version, tier
 
 SIZES = {"g0": 2, "g1": 1, "g2": 3, "g3": 2, "g4": 1}
 
@@ -86,6 +87,55 @@ def test_batch_that_failed_midway_is_run_again(spark, folder, found, facts, monk
     same(store.read(), combine(m, found))
 
 
+def test_parts_are_merged_in_tiers(spark, folder, found, facts):
+    m = facts(False)
+    store = CombinedStore(spark, folder, fan=2)
+    for number, g in enumerate(SIZES):
+        assert store.append(m, pick(found, g), number) == 1
+        now = store.log.latest()
+        levels = [part.level for part in now.parts]
+        assert levels == [i for i in range(3, -1, -1) if (number + 1) >> i & 1]
+    assert store.append(m, pick(found, "g0"), 7) == 0
+    same(store.read(), combine(m, found))
+    assert rows(store.commits(), "batch_id", "granules") == [(i, 1) for i in range(5)] + [(7, 0)]
+    assert store.append(m, found, 3) == 1
+    with pytest.raises(ValueError, match="batch 6"):
+        store.append(m, found, 6)
+
+
+def test_second_writer_is_refused(spark, folder, found, facts, monkeypatch):
+    m = facts(False)
+    store, other = CombinedStore(spark, folder), CombinedStore(spark, folder)
+    store.append(m, pick(found, "g0"), 0)
+    real = module.combine_coord_values
+
+    def meanwhile(*args):
+        monkeypatch.setattr(module, "combine_coord_values", real)
+        other.append(m, pick(found, "g1"), 1)
+        return real(*args)
+    monkeypatch.setattr(module, "combine_coord_values", meanwhile)
+    with pytest.raises(ConflictingWriter):
+        store.append(m, pick(found, "g2"), 1)
+    same(store.read(), combine(m, pick(found, "g0", "g1")))
+
+
+def test_log(spark, folder):
+    log = CommitLog(spark, f"{folder}/log")
+    assert log.latest() is None
+    for number in range(40):
+        log.publish(Version(number, number, number, 0, None, (Part("p", 0, True),)))
+    assert log.latest() == Version(39, 39, 39, 0, None, (Part("p", 0, True),))
+    with pytest.raises(ConflictingWriter):
+        log.publish(Version(7, 0, 0, 0, None, ()))
+    assert log._read("hint")["number"] == 32
+    parts: tuple = ()
+    for n in range(1000):
+        parts += (Part(str(n), 0, True),)
+        while old := tier(parts, 8):
+            parts = (*parts[:-8], Part("m", old[0].level + 1, True))
+        assert len(parts) <= 7 * 4
+
+
 def test_incompatible_arrivals_are_refused(spark, folder, found, facts):
     store = CombinedStore(spark, folder)
     store.append(facts(False), pick(found, "g0"), 0)
