@@ -3,10 +3,11 @@ import random
 
 import pytest
 from conftest import granule, granules, rows
+from pyspark.sql import functions as F
 
 from chunkatlas.functions import granule_fields
 from chunkatlas.operators.ordering import assign_batches, first_k, with_ordinal
-from chunkatlas.operators.overlap import range_bins
+from chunkatlas.operators.overlap import overlap_pairs, range_bins
 from chunkatlas.schemas import SEARCH_SPECS
 from chunkatlas.session import local_frame
 from chunkatlas.sources import catalog as catalog_module
@@ -70,6 +71,25 @@ def test_many_specs_meet_by_bins(spark, monkeypatch):
     assert rows(search_specs(table.limit(0), frame)) == []
 
 
+def test_globs_meet_by_their_ends(spark, monkeypatch):
+    """Names meet only globs whose beginning, end and length fit; the work on pairs is spread over tasks."""
+    names = ["", "a", "?", "*", "ab", "a?b", "axb", "a*b", "abab", "aéb", "a\U0001f600b", "ab\nab", "a_7_x.nc", "a_17_x.nc"]
+    globs = ["", "*", "**", "?", "a*", "*b", "a?b", "a?*?b", "a*b*", "*b*a*", "ab*ab", "a*7_?.nc", "?*", "a\U0001f600?", None]
+    table = granules(spark, [granule(f"g{i}", i, "2022-01-01T00:00:00Z", name=n) for i, n in enumerate(names)])
+    frame = local_frame(spark, [("C", i, "C", g, None, None) for i, g in enumerate(globs)], SEARCH_SPECS)
+    monkeypatch.setattr(catalog_module, "DIRECT", 10 ** 6)
+    plain = rows(search_specs(table, frame), "spec_no", "name")
+    monkeypatch.setattr(catalog_module, "DIRECT", 0)
+    binned = search_specs(table.coalesce(1), frame)
+    assert rows(binned, "spec_no", "name") == plain
+    assert binned.rdd.getNumPartitions() > 1
+    left = table.withColumns({"_low": F.lit(9), "_high": F.lit(9)})
+    right = frame.drop("collection").withColumnRenamed("short_name", "collection").withColumns({
+        "_from": F.lit(0), "_to": F.lit(99)})
+    pairs = overlap_pairs(left, right, "collection", "name", "granule_glob")
+    assert rows(pairs.where("NOT _open"), "spec_no", "name") == [p for p in plain if p[0] not in (8, 9)]
+
+
 def test_bins_are_disjoint_and_complete(spark):
     ranges = [(0, 0), (0, 65535), (1, 1), (3, 12), (5, 4), (65535, 65535), (7, 40000)]
     table = spark.createDataFrame(ranges, "a INT, b INT")
