@@ -100,6 +100,25 @@ def present(texts: list[str], place: np.ndarray | None = None) -> tuple[np.ndarr
     return pairs >> 32, pairs & 0xFFFFFFFF
 
 
+def distinct(texts: list[str], seen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The number of each text and its distinct features, in no order.
+
+    Occurrences are told apart without sorting: ``seen``, a table by feature, takes each one's place in the
+    text, and the one that stands there last is kept.
+    """
+    if sum(map(len, texts)) + 2 * len(texts) > 2 * SLICE:
+        owner, found = present(texts)
+        yield from enumerate(np.split(found, np.searchsorted(owner, np.arange(1, len(texts)))))
+        return
+    pieces, owners = next(_pieces(texts))
+    sizes = [(found, np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()) for found, owner in grams(pieces, owners)]
+    for i in range(len(texts)):
+        every = np.concatenate([found[cuts[i]:cuts[i + 1]] for found, cuts in sizes])
+        place = np.arange(len(every), dtype=seen.dtype)
+        seen[every] = place
+        yield i, every[seen[every] == place]
+
+
 def _parts(batches: Iterator[pa.RecordBatch], *columns: int) -> Iterator[tuple[list, ...]]:
     """Slices of bounded size of the batches' rows; the first column is the text."""
     for batch in batches:
@@ -115,12 +134,10 @@ def class_counts(rows: DataFrame) -> DataFrame:
     slabs = (1 << BITS) // _SLAB
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, 1 << BITS), np.int64)
+        sums, seen = np.zeros((2, 1 << BITS), np.int64), np.zeros(1 << BITS, np.int32)
         for texts, labels in _parts(batches, 0, 1):
-            owner, found = present(texts)
-            label = np.array(labels, np.int64)[owner]
-            for c in (0, 1):
-                sums[c] += np.bincount(found[label == c], minlength=1 << BITS)
+            for i, found in distinct(texts, seen):
+                sums[labels[i]][found] += 1
         cut = sums.reshape(2, slabs, _SLAB)
         used = np.flatnonzero(cut.any(axis=(0, 2))).tolist()
         yield pa.RecordBatch.from_arrays(

@@ -343,6 +343,16 @@ def toxic_rows(n):
     return out
 
 
+def test_distinct_features_without_sorting():
+    texts = ["", "a", "aaaa aaaa aaaa", "Über 😀 straße " * 9, "aaaa aaaa aaaa", "x" * 50_000]
+    seen = np.zeros(1 << toxicity.BITS, np.int32)
+    for some in (texts, [*texts, "ab cd " * toxicity.SLICE], [""]):
+        owner, found = toxicity.present(some)
+        got = list(toxicity.distinct(some, seen))
+        assert [i for i, _ in got] == list(range(len(some)))
+        assert [sorted(f.tolist()) for _, f in got] == [found[owner == i].tolist() for i in range(len(some))]
+
+
 def test_toxicity(spark, odd):
     rows = [*toxic_rows(400), (900, None, 0), (901, "", None), (902, "w1 Zorklings w2", 0), (903, "Grumpf " + "w5 " * 400_000, None)]
     docs = local_frame(spark, [(d, t, "s", 5.0) for d, t, _ in rows], "doc_id bigint, text string, label string, score double")
