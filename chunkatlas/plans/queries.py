@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -436,30 +439,36 @@ def _stopping_copy(source: str, target: str) -> None:
     copy_object(source, target)
 
 
-def sync_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Sync objects made of documents to another prefix: a run that is stopped, taken up again, and a second run."""
-    root = scratch_path(spark, "sync")
-    pieces = b.load(spark, sf, "documents").groupBy(F.expr(f"doc_id div {OBJECT_DOCS}").alias("k")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda d: d["text"]), "\n")
-        .alias("content"))
-
-    def put(path: str, text: str) -> None:
+def _object_writer(root: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes batches of ``(k, content)`` as objects; contents go out from Arrow's memory, not as Python texts."""
+    def put(path: str, content: pa.Buffer | bytes) -> None:
         fs, at = locate(path)
         fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
         with fs.open_output_stream(at) as out:
-            out.write(text.encode())
+            out.write(content)
 
-    def write(pdfs):
-        for pdf in pdfs:
-            for k, content in pdf.itertuples(index=False):
-                put(f"{root}/src/in/{k // FOLDER_OBJECTS}/{k}.txt", content)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            contents = batch.column(1).view(pa.binary())
+            for i, k in enumerate(batch.column(0).to_pandas()):
+                put(f"{root}/src/in/{k // FOLDER_OBJECTS}/{k}.txt", contents[i].as_buffer())
                 if k % 3 == 0:
-                    put(f"{root}/dst/out/{k // FOLDER_OBJECTS}/{k}.txt", "old")
+                    put(f"{root}/dst/out/{k // FOLDER_OBJECTS}/{k}.txt", b"old")
                 if k % 5 == 0:
-                    put(f"{root}/dst/out/{k // FOLDER_OBJECTS}/gone-{k}.txt", "x")
-            yield pdf[["k"]]
+                    put(f"{root}/dst/out/{k // FOLDER_OBJECTS}/gone-{k}.txt", b"x")
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["k"])
+
+    return write
+
+
+def sync_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Sync objects made of documents to another prefix: a run that is stopped, taken up again, and a second run."""
+    root = scratch_path(spark, "sync")
+    pieces = b.load(spark, sf, "documents").groupBy(F.expr(f"doc_id div {OBJECT_DOCS}").alias("k")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda d: d["text"]), "\n")
+        .alias("content"))
 
-    materialize(pieces.mapInPandas(write, "k BIGINT"), "objects")
+    materialize(pieces.mapInArrow(_object_writer(root), "k BIGINT"), "objects")
     fs, at = locate(f"{root}/src/in/empty")
     fs.create_dir(at)
     request = SyncRequest(f"{root}/src", f"{root}/dst", "in/", "out/", "sync")

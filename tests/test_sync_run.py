@@ -1,9 +1,13 @@
 import os
+import tracemalloc
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 
 from chunkatlas.operators.sync import SyncRequest, run_sync
+from chunkatlas.plans.queries import _object_writer
 from chunkatlas.sources.storage import copy_object, delete_objects
 
 
@@ -87,3 +91,19 @@ def test_bulk_deletes(folder):
     os.makedirs(f"{folder}/d")
     failed = delete_objects([f"{folder}/{n}" for n in ("a", "b", "absent", "d")])
     assert list(failed) == [f"{folder}/d"] and tree(folder) == {}
+
+
+def test_objects_are_written_without_python_texts(folder):
+    """A batch of large contents takes no Python memory in proportion."""
+    contents = [c * (4 << 20) for c in "abcd"] + ["é\U0001f600", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 3, 105, 7, 8]), pa.array(contents)], ["k", "content"])
+    tracemalloc.start()
+    done = list(_object_writer(folder)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 << 20
+    assert [d.column(0).to_pylist() for d in done] == [[0, 1, 3, 105, 7, 8]]
+    for k, content in zip([0, 1, 3, 105, 7, 8], contents):
+        assert Path(f"{folder}/src/in/{k // 100}/{k}.txt").read_text("utf-8") == content
+    assert sorted(p.name for p in Path(f"{folder}/dst/out").rglob("*.txt")) == [
+        "0.txt", "105.txt", "3.txt", "gone-0.txt", "gone-105.txt"]
