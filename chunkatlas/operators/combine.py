@@ -99,6 +99,12 @@ def _axis_columns(mode: Mode) -> list[Column]:
     return []
 
 
+def axis_inputs(mode: Mode) -> list[str]:
+    """The columns of granules that ``_axis_columns`` reads."""
+    return {SECONDS.name: ["begin_raw"], SORTED.name: ["begin", "begin_raw"],
+            GRANULE.name: ["begin", "cycle", "ppass", "links"]}.get(mode.name, [])
+
+
 def axis_sizes(dims: DataFrame, axis: str) -> DataFrame:
     """Length of the axis per granule, which has each of its dimensions once."""
     return dims.where(F.col("dim") == axis).select("granule_id", F.col("size").alias("axis_size"))

@@ -16,15 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions import granule_fields
+from ..functions import granule_fields, utc_timestamp
 from ..operators.attrs import attr_summary, merge_attrs
-from ..operators.combine import (MODES, Mode, axis_sizes, axis_table, combine_chunks,
+from ..operators.combine import (MODES, Mode, axis_inputs, axis_sizes, axis_table, combine_chunks,
                                  combine_coord_values, combined_variables, roles, with_axis_attrs)
 from ..operators.coords import with_auxiliary
 from ..operators.quality import compat_gate, reference_variables
 from ..schemas import Dataset, Manifest
 from ..session import fits, local_frame, materialize, small_side
-from .log import CommitLog, ConflictingWriter, Part, Version, tier
+from .log import CommitLog, ConflictingWriter, Part, Version, full_tiers
 
 _COMMITS = "batch_id BIGINT, granules BIGINT, axis_size BIGINT"
 _TABLES = ("axis", "chunk_refs", "coord_values", "attrs", "dims")
@@ -108,17 +108,22 @@ class CombinedStore:
         return added[0]
 
     def _new(self, granules: DataFrame, base: Version) -> DataFrame:
-        """Arrivals that are not stored; of a repeated granule the first one."""
-        order = F.struct(*self.prefix, "search_rank")
-        columns = granules.columns
-        rows = granules.groupBy("granule_id").agg(
-            F.min_by(F.struct(*columns), order).alias("row")).select("row.*")
-        rows = rows if "begin" in columns else granule_fields(rows)
+        """Arrivals that are not stored, with what the axis needs; of a repeated granule the first one."""
+        order = [*self.prefix, "search_rank"]
+        known = "begin" in granules.columns
+        rows = granules if known else granule_fields(granules)
+        # Only these columns are moved, not the whole records of the search.
+        columns = dict.fromkeys(["granule_id", *order, "begin" if known else "begin_raw",
+                                 *[c for c in axis_inputs(self.mode) if c != "begin"]])
+        rows = rows.groupBy("granule_id").agg(
+            F.min_by(F.struct(*columns), F.struct(*order)).alias("row")).select("row.*")
+        if not known:
+            rows = rows.withColumn("begin", utc_timestamp(F.col("begin_raw")))
         if base.granules == 0:
             return rows
         stored = self._table("axis", base.filled).select("granule_id")
         # The arrivals are few beside the store: the store is scanned, not shuffled.
-        ids = rows.select("granule_id")
+        ids = granules.select("granule_id")
         if fits(ids):
             stored = stored.join(F.broadcast(ids), "granule_id", "left_semi")
         return rows.join(stored, "granule_id", "left_anti")
@@ -129,7 +134,7 @@ class CombinedStore:
         return manifest.with_(variables=manifest.variables.join(ids, "granule_id", "left_semi"))
 
     def _write(self, table: DataFrame, name: str, part: str) -> None:
-        table.write.parquet(f"{self.root}/{name}/{part}")
+        table.write.option("compression", "zstd").parquet(f"{self.root}/{name}/{part}")
 
     def _commit(self, base: Version, part: str, batch_id: int, granules: int, axis_size: int) -> None:
         row = local_frame(self.spark, [(batch_id, granules, axis_size)], _COMMITS)
@@ -141,18 +146,19 @@ class CombinedStore:
         self._compact(now)
 
     def _compact(self, now: Version) -> None:
-        """Merge full tiers, each by a version of its own. A merge that another writer overtakes is given up."""
-        while old := tier(now.parts, self.fan):
-            merged = Part(uuid.uuid4().hex, old[0].level + 1, any(p.filled for p in old))
-            # Small files of several parts are read together, so merged parts have fewer files, without a shuffle.
-            self._write(self._table("commits", [p.name for p in old]).coalesce(1), "commits", merged.name)
-            for name in _TABLES if merged.filled else ():
-                self._write(self._table(name, [p.name for p in old if p.filled]), name, merged.name)
-            now = replace(now, number=now.number + 1, parts=(*now.parts[:-self.fan], merged))
-            try:
-                self.log.publish(now)
-            except ConflictingWriter:
-                return
+        """Merge full tiers, all by one version. A merge that another writer overtakes is given up."""
+        old, level = full_tiers(now.parts, self.fan)
+        if not old:
+            return
+        merged = Part(uuid.uuid4().hex, level, any(p.filled for p in old))
+        # Small files of several parts are read together, so merged parts have fewer files, without a shuffle.
+        self._write(self._table("commits", [p.name for p in old]).coalesce(1), "commits", merged.name)
+        for name in _TABLES if merged.filled else ():
+            self._write(self._table(name, [p.name for p in old if p.filled]), name, merged.name)
+        try:
+            self.log.publish(replace(now, number=now.number + 1, parts=(*now.parts[:-len(old)], merged)))
+        except ConflictingWriter:
+            return
 
     def read(self) -> Dataset:
         """The dataset as of the newest version."""

@@ -7,7 +7,7 @@ from chunkatlas.operators.combine import combine
 from chunkatlas.operators.quality import IncompatibleGranules
 from chunkatlas.streaming import CombinedStore
 from chunkatlas.streaming import append as module
-from chunkatlas.streaming.log import CommitLog, ConflictingWriter, Part, Version, tier
+from chunkatlas.streaming.log import CommitLog, ConflictingWriter, Part, Version, full_tiers, tier
 
 SIZES = {"g0": 2, "g1": 1, "g2": 3, "g3": 2, "g4": 1}
 
@@ -166,3 +166,32 @@ def test_stream_restarted_midway(spark, folder, found, facts):
     run("g2")
     run("g1", "g3", "g4")
     same(store.read(), combine(m, found))
+
+
+def test_merged_rows_are_written_once(spark, folder, found, facts, monkeypatch):
+    """A part that fills the next tier at once is not written for the tier between."""
+    parts = tuple(Part(str(i), level, True) for i, level in enumerate([2, 1, 0, 0]))
+    assert full_tiers(parts, 2) == (parts, 3)
+    assert full_tiers(parts[:3], 2) == ((), 0) and full_tiers((Part("x", 3, True), *parts[1:]), 2) == (parts[1:], 2)
+    m, written = facts(False), []
+    store = CombinedStore(spark, folder, fan=2)
+    real = CombinedStore._write
+
+    def counting(self, table, name, part):
+        if name == "chunk_refs":
+            written.append(table.count())
+        real(self, table, name, part)
+    monkeypatch.setattr(CombinedStore, "_write", counting)
+    for number, g in enumerate(["g0", "g1", "g2", "g3"]):
+        store.append(m, pick(found, g), number)
+    # g0 brings the latitude; the last merge takes (g0 g1), g2 and g3 together.
+    assert written == [3, 1, 4, 3, 2, 9]
+    same(store.read(), combine(m, pick(found, "g0", "g1", "g2", "g3")))
+
+
+def test_arrivals_without_their_records(spark, folder, found, facts):
+    """Of the search's rows only what the axis needs is kept and moved."""
+    store = CombinedStore(spark, folder)
+    kept = store._new(found, Version(-1, -1, 0, 0, None, ()))
+    assert sorted(kept.columns) == ["begin", "begin_raw", "granule_id", "search_rank"]
+    assert rows(kept, "granule_id") == [(g,) for g in SIZES]
