@@ -74,13 +74,18 @@ def customer_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_chunks(lines: DataFrame) -> DataFrame:
-    """One chunk per order, line status and line number. The sums combine before the exchange."""
-    return lines.groupBy("l_orderkey", "l_linestatus", "l_linenumber").agg(
+    """One chunk per order, line status and line number.
+
+    Rows are dealt by granule, once: neither the groups nor a join with granules moves them again.
+    """
+    dealt = lines.select(granule_id("l_orderkey"), "l_linestatus", "l_linenumber", "l_partkey",
+                         "l_quantity").repartition("granule_id")
+    return dealt.groupBy("granule_id", "l_linestatus", "l_linenumber").agg(
         F.min("l_partkey").alias("offset"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("length")).select(
-            granule_id("l_orderkey"), F.concat(F.lit("v_"), "l_linestatus").alias("var"),
+            "granule_id", F.concat(F.lit("v_"), "l_linestatus").alias("var"),
             F.array(F.col("l_linenumber").cast("bigint") - 1).alias("chunk_idx"),
-            file_url("l_orderkey"), "offset", "length", F.lit(None).cast("string")
+            file_url("granule_id"), "offset", "length", F.lit(None).cast("string")
             .alias("inline_text"))
 
 
@@ -89,12 +94,13 @@ def file_url(key: str) -> Column:
 
 
 def _order_chunks(orders: DataFrame, names: list[str]) -> DataFrame:
-    """One chunk of each named variable per order."""
-    return orders.select(
-        granule_id("o_orderkey"), F.explode(F.array(*map(F.lit, names))).alias("var"),
-        F.array(F.lit(0).cast("bigint")).alias("chunk_idx"), file_url("o_orderkey"),
-        F.col("o_custkey").alias("offset"), F.floor("o_totalprice").alias("length"),
-        F.lit(None).cast("string").alias("inline_text"))
+    """One chunk of each named variable per order, dealt by granule as the chunks of lines are."""
+    dealt = orders.select(granule_id("o_orderkey"), F.col("o_custkey").alias("offset"),
+                          F.floor("o_totalprice").alias("length")).repartition("granule_id")
+    return dealt.select(
+        "granule_id", F.explode(F.array(*map(F.lit, names))).alias("var"),
+        F.array(F.lit(0).cast("bigint")).alias("chunk_idx"), file_url("granule_id"),
+        "offset", "length", F.lit(None).cast("string").alias("inline_text"))
 
 
 def _variables(sized: DataFrame, rows: list[tuple[str, str, Column, Column, bool]]) -> DataFrame:
