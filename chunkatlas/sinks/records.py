@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +39,16 @@ def chunk_number(chunk_idx: Column, counts: Column) -> Column:
 
 
 def chunk_index(number: Column, counts: Column) -> Column:
-    """The indices of a chunk, from its place."""
+    """The indices of a chunk, from its place. Few dimensions are done without a loop, in compiled code."""
     start = F.struct(number.cast("bigint").alias("rest"), F.array().cast("array<bigint>").alias("idx"))
-    return F.aggregate(F.reverse(counts), start, lambda acc, n: F.struct(
+    looped = F.aggregate(F.reverse(counts), start, lambda acc, n: F.struct(
         F.floor(acc["rest"] / n).cast("bigint").alias("rest"),
         F.concat(F.array(acc["rest"] % n), acc["idx"]).alias("idx")), lambda acc: acc["idx"])
+    number = number.cast("bigint")
+    first, second = F.get(counts, F.lit(0)), F.get(counts, F.lit(1))
+    return (F.when(F.size(counts) == 1, F.array(number % first))
+            .when(F.size(counts) == 2, F.array(F.floor(number / second).cast("bigint") % first, number % second))
+            .otherwise(looped))
 
 
 def _write_ranged(table: DataFrame, order: list[str], path: str, mode: str, *folders: str) -> None:
@@ -59,13 +65,19 @@ def write_records(ds: Dataset, path: str, size: int = ROW_RECORDS, mode: str = "
     """
     spark = ds.variables.sparkSession
     shapes = ds.variables.select("var", grid(F.col("shape"), F.col("chunk_shape")).alias("counts")).distinct()
-    folder = F.regexp_extract("url", r"^(.*/)?", 0)
+    name = F.substring_index("url", "/", -1)
+    folder = F.left("url", F.length("url") - F.length(name))
     found = ds.chunk_refs.select("var", "chunk_idx", "url", "offset", "length", "inline_text").join(small_side(shapes), "var")
     inside = F.forall(F.zip_with("chunk_idx", "counts", lambda i, n: (i >= 0) & (i < n)), lambda x: F.coalesce(x, F.lit(False)))
-    number = F.when(inside & (F.size("chunk_idx") == F.size("counts")), chunk_number(F.col("chunk_idx"), F.col("counts"))).otherwise(
+    # One and two dimensions are the usual cases, and compiled code does them several times faster.
+    rank = lambda n: (F.size("chunk_idx") == n) & (F.size("counts") == n)
+    (i, m), (j, n) = [(F.get("chunk_idx", F.lit(d)), F.get("counts", F.lit(d))) for d in (0, 1)]
+    first, second = (i >= 0) & (i < m), (j >= 0) & (j < n)
+    number = F.when(rank(1) & first, i).when(rank(2) & first & second, i * n + j).when(
+        inside & (F.size("chunk_idx") == F.size("counts")), chunk_number(F.col("chunk_idx"), F.col("counts"))).otherwise(
         F.raise_error(F.concat(F.lit("chunk outside its grid: "), "var", F.lit(" "), F.to_json("chunk_idx"))).cast("bigint"))
     found = materialize(found.select("var", number.alias("n"), folder.alias("folder"),
-                                     F.substr("url", F.length(folder) + 1).alias("name"), "offset", "length", "inline_text"), "chunks")
+                                     name.alias("name"), "offset", "length", "inline_text"), "chunks")
     folders = with_ordinal_sorted(found.where("folder IS NOT NULL").select("folder").distinct(), ["folder"], out="folder_id")
     urls = with_ordinal_sorted(found.where("folder IS NOT NULL").select("folder", "name").distinct(), ["folder", "name"], out="url_id")
     _write_ranged(folders.select("folder_id", "folder"), ["folder_id"], f"{path}/folders", mode)
@@ -73,37 +85,42 @@ def write_records(ds: Dataset, path: str, size: int = ROW_RECORDS, mode: str = "
                   f"{path}/urls", mode)
     inline = found.where("inline_text IS NOT NULL").select("var", "n", "inline_text")
     _write_ranged(inline, ["var", "n"], f"{path}/inline", mode, "var")
-    placed = found.join(small_side(urls), ["folder", "name"], "left").select(
+    # Names come first, as the folders of most URLs begin alike: a sort then compares few of them beyond their first bytes.
+    placed = found.join(small_side(urls), ["name", "folder"], "left").select(
         "var", F.expr(f"n div {size}").alias("row"), F.expr(f"n % {size}").cast("int").alias("at"),
         F.when(F.col("inline_text").isNotNull(), INLINE).otherwise(F.coalesce("url_id", F.lit(ABSENT))).cast("bigint").alias("url"),
         F.coalesce("offset", F.lit(-1)).cast("bigint").alias("offset"), F.coalesce("length", F.lit(-1)).cast("bigint").alias("length"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, records = None, None
+        # The rows of one hash, which are one but for collisions.
+        now, held = None, {}
 
-        def closed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([v]) for v in (*now, records.tobytes())], ["var", "row", "records"])
+        def closed() -> Iterator[pa.RecordBatch]:
+            for (var, row), records in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (var, row, records.tobytes())], ["var", "row", "records"])
 
         for batch in batches:
-            var, row = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns = [batch.column(c).to_numpy() for c in range(2, 6)]
-            cuts = [0, *(i for i in range(1, len(row)) if (var[i], row[i]) != (var[i - 1], row[i - 1])), len(row)]
+            var, row, hashes = batch.column(0), batch.column(1), batch.column(2).to_numpy()
+            columns = [batch.column(c).to_numpy() for c in range(3, 7)]
+            turns = [pc.not_equal(c.slice(1), c.slice(0, max(len(c) - 1, 0))).to_numpy(zero_copy_only=False) for c in (var, row)]
+            cuts = [0, *(np.flatnonzero(turns[0] | turns[1]) + 1).tolist(), len(row)]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if lo == hi:
                     continue
-                if (var[lo], row[lo]) != now:
-                    if now:
-                        yield closed()
-                    now = (var[lo], row[lo])
-                    records = np.full(size, np.array((ABSENT, -1, -1), RECORD))
+                if hashes[lo] != now:
+                    yield from closed()
+                    now, held = hashes[lo], {}
+                key = (var[lo].as_py(), row[lo].as_py())
+                if key not in held:
+                    held[key] = np.full(size, np.array((ABSENT, -1, -1), RECORD))
                 at = columns[0][lo:hi]
                 for name, values in zip(RECORD.names, columns[1:]):
-                    records[name][at] = values[lo:hi]
-        if now:
-            yield closed()
+                    held[key][name][at] = values[lo:hi]
+        yield from closed()
 
-    rows = placed.repartition("var", "row").sortWithinPartitions("var", "row", "at").mapInArrow(
-        build, "var STRING, row BIGINT, records BINARY")
+    # One number is sorted much faster than variable and row.
+    rows = placed.select("var", "row", F.xxhash64("var", "row").alias("hash"), "at", "url", "offset", "length").repartition(
+        "hash").sortWithinPartitions("hash").mapInArrow(build, "var STRING, row BIGINT, records BINARY")
     _write_ranged(materialize(rows, "records"), ["var", "row"], f"{path}/records", mode, "var")
     ds.variables.withColumn("row_records", F.lit(size)).write.mode(mode).parquet(f"{path}/variables")
     for name in ("dims", "attrs", "coord_values"):

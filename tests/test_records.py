@@ -4,6 +4,7 @@ from conftest import rows, variable
 from chunkatlas import schemas as S
 from chunkatlas.schemas import Dataset
 from chunkatlas.session import local_frame
+from chunkatlas.sinks import records
 from chunkatlas.sinks.records import open_records, read_records, write_records
 
 
@@ -46,3 +47,30 @@ def test_chunks_outside_the_grid(spark, folder):
         write_records(dataset(spark, [("v", [5, 0], "u", 0, 1, None)]), f"{folder}/r")
     write_records(dataset(spark, []), f"{folder}/empty")
     assert open_records(spark, f"{folder}/empty").chunk_refs.count() == 0
+
+
+def test_grids_of_any_rank(spark, folder):
+    """One and two dimensions take another path than more of them; a name may hold a line break."""
+    def make(found, schema):
+        return local_frame(spark, found, schema)
+    names = [variable("g", f"v{k}", list("abc"[:k]), [5] * k, [2] * k) for k in range(4)]
+    chunks = [(f"v{k}", [(i + d) % 3 for d in range(k)], f"s3://b/x\ny/{i}.nc" if k else "u", i, 1, None)
+              for k in range(4) for i in range(3 if k else 1)]
+    ds = dataset(spark, [])
+    ds = Dataset(ds.dims, make(names, S.VARIABLES).drop("granule_id"), ds.attrs,
+                 make(chunks, S.CHUNK_REFS.replace("granule_id STRING, ", "")), ds.coord_values)
+    write_records(ds, f"{folder}/r", 2)
+    assert rows(open_records(spark, f"{folder}/r").chunk_refs) == rows(ds.chunk_refs)
+    for bad in ([3, 0], [0, -1], [0], [0, None]):
+        with pytest.raises(Exception, match="outside its grid"):
+            write_records(Dataset(ds.dims, ds.variables, ds.attrs, make(
+                [("v2", bad, "u", 0, 1, None)], S.CHUNK_REFS.replace("granule_id STRING, ", "")), ds.coord_values),
+                f"{folder}/bad")
+
+
+def test_records_are_sorted_by_one_number(spark, folder, monkeypatch):
+    """Variable and row are told apart though they share a hash."""
+    monkeypatch.setattr(records.F, "xxhash64", lambda *c: records.F.lit(7).cast("bigint"))
+    ds = dataset(spark, CHUNKS)
+    write_records(ds, f"{folder}/r", 4)
+    assert rows(open_records(spark, f"{folder}/r").chunk_refs) == rows(ds.chunk_refs)
