@@ -252,8 +252,9 @@ def write_refs_parquet(ds: Dataset, path: str, mode: str = "errorifexists") -> N
     for name, table in ds.tables().items():
         if name == "chunk_refs":
             # Ranges are found by a sample, which would compute the combination once more.
-            table = materialize(table, "chunks").repartitionByRange("var", "chunk_idx").sortWithinPartitions(
-                "var", "chunk_idx")
+            # The first index decides most comparisons; whole arrays are compared only where it is equal.
+            order = ["var", F.get("chunk_idx", F.lit(0)), "chunk_idx"]
+            table = materialize(table, "chunks").repartitionByRange(*order).sortWithinPartitions(*order)
             table.write.mode(mode).partitionBy("var").parquet(f"{path}/{name}")
             continue
         if name == "axis":
