@@ -144,16 +144,25 @@ def _placed(rows: DataFrame, role: DataFrame, index: DataFrame) -> DataFrame:
         (F.col("role") != "first") | (F.col("ordinal") == 0))
 
 
-def combine_chunks(chunk_refs: DataFrame, role: DataFrame, index: DataFrame) -> DataFrame:
-    """Chunk rows with indices that count over the whole axis.
-
-    A granule that would begin within a chunk has no index of its own, so it ends the job.
-    """
+def _stepped(rows: DataFrame, mode: Mode | None) -> DataFrame:
+    """Rows with ``_step``, one for each step of the granule if they are spread. A new axis spreads none."""
+    if mode is not None and mode.new_axis:
+        return rows.withColumn("_step", F.lit(0).cast("bigint"))
     step = F.when(F.col("role") == "spread",
                   F.when(F.col("axis_size") > 0, F.sequence(F.lit(0), F.col("axis_size") - 1))
                   .otherwise(F.array().cast("array<bigint>"))).otherwise(
                       F.array(F.lit(0).cast("bigint")))
-    rows = _placed(chunk_refs, role, index).withColumn("_step", F.explode(step))
+    return rows.withColumn("_step", F.explode(step))
+
+
+def combine_chunks(chunk_refs: DataFrame, role: DataFrame, index: DataFrame,
+                   mode: Mode | None = None) -> DataFrame:
+    """Chunk rows with indices that count over the whole axis.
+
+    A granule that would begin within a chunk has no index of its own, so it ends the job. ``mode``, that
+    of ``role``, tells what need not be looked for.
+    """
+    rows = _stepped(_placed(chunk_refs, role, index), mode)
     whole = F.when(F.col("axis_offset") % F.col("chunk_len") == 0, F.expr("axis_offset div chunk_len")
                    ).otherwise(F.raise_error(F.concat(
                        F.lit("a partial chunk of "), "var", F.lit(" lies before granule "),
@@ -170,17 +179,14 @@ def combine_chunks(chunk_refs: DataFrame, role: DataFrame, index: DataFrame) ->
                        *[c for c in ("inline_text",) if c in chunk_refs.columns])
 
 
-def combine_coord_values(values: DataFrame, role: DataFrame, index: DataFrame) -> DataFrame:
+def combine_coord_values(values: DataFrame, role: DataFrame, index: DataFrame,
+                         mode: Mode | None = None) -> DataFrame:
     """Values of loaded coordinates at their positions in the combined variable."""
-    step = F.when(F.col("role") == "spread",
-                  F.when(F.col("axis_size") > 0, F.sequence(F.lit(0), F.col("axis_size") - 1))
-                  .otherwise(F.array().cast("array<bigint>"))).otherwise(
-                      F.array(F.lit(0).cast("bigint")))
     leads = F.when((F.col("role") == "shift") & (F.col("at") != 0), F.raise_error(F.concat(
         F.lit("a loaded coordinate must lead with the axis: "), F.col("var"))).cast("bigint"))
     moved = F.coalesce(leads, F.when(F.col("role") == "first", F.col("pos")).otherwise(
         F.col("pos") + (F.col("axis_offset") + F.col("_step")) * F.col("step")))
-    return (_placed(values, role, index).withColumn("_step", F.explode(step))
+    return (_stepped(_placed(values, role, index), mode)
             .select("granule_id", "var", moved.alias("pos"), "value"))
 
 
@@ -243,8 +249,8 @@ def assemble(manifest: Manifest, mode: Mode, reference: DataFrame, index: DataFr
         dims=dims,
         variables=combined_variables(reference, role, mode, length),
         attrs=with_axis_attrs(merge_attrs(used), mode),
-        chunk_refs=combine_chunks(manifest.chunk_refs, role, place),
-        coord_values=combine_coord_values(manifest.coord_values, role, place),
+        chunk_refs=combine_chunks(manifest.chunk_refs, role, place, mode),
+        coord_values=combine_coord_values(manifest.coord_values, role, place, mode),
         axis=index, axis_name=mode.axis)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import COORD_VALUES, Manifest
-from ..session import local_frame
+from ..session import hashed_side, local_frame
 
 HOSTS = {"b-src1": "h-one", "b-src2": "h-two"}
 DEFAULT_HOST = "h-all"
@@ -73,13 +73,20 @@ def customer_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(nation < 23, F.date_add(start, (key % 400).cast("int"))).alias("date_to"))
 
 
-def _line_chunks(lines: DataFrame) -> DataFrame:
-    """One chunk per order, line status and line number.
+def _dealt(rows: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """Rows by granule, moved once: neither groups by granule nor a join with granules moves them again.
 
-    Rows are dealt by granule, once: neither the groups nor a join with granules moves them again.
+    ``ids`` leaves those of its granules; a join that has to move rows deals them by granule itself.
     """
-    dealt = lines.select(granule_id("l_orderkey"), "l_linestatus", "l_linenumber", "l_partkey",
-                         "l_quantity").repartition("granule_id")
+    if ids is None:
+        return rows.repartition("granule_id")
+    return rows.join(ids, "granule_id", "left_semi")
+
+
+def _line_chunks(lines: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """One chunk per order, line status and line number."""
+    dealt = _dealt(lines.select(granule_id("l_orderkey"), "l_linestatus", "l_linenumber", "l_partkey",
+                                "l_quantity"), ids)
     return dealt.groupBy("granule_id", "l_linestatus", "l_linenumber").agg(
         F.min("l_partkey").alias("offset"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("length")).select(
@@ -93,10 +100,10 @@ def file_url(key: str) -> Column:
     return F.concat(F.lit("s3://b/"), F.col(key), F.lit(".nc")).alias("url")
 
 
-def _order_chunks(orders: DataFrame, names: list[str]) -> DataFrame:
+def _order_chunks(orders: DataFrame, names: list[str], ids: DataFrame | None = None) -> DataFrame:
     """One chunk of each named variable per order, dealt by granule as the chunks of lines are."""
-    dealt = orders.select(granule_id("o_orderkey"), F.col("o_custkey").alias("offset"),
-                          F.floor("o_totalprice").alias("length")).repartition("granule_id")
+    dealt = _dealt(orders.select(granule_id("o_orderkey"), F.col("o_custkey").alias("offset"),
+                                 F.floor("o_totalprice").alias("length")), ids)
     return dealt.select(
         "granule_id", F.explode(F.array(*map(F.lit, names))).alias("var"),
         F.array(F.lit(0).cast("bigint")).alias("chunk_idx"), file_url("granule_id"),
@@ -117,9 +124,12 @@ def _variables(sized: DataFrame, rows: list[tuple[str, str, Column, Column, bool
         F.lit("null").alias("fill_json"), "one.is_coord", F.lit(False).alias("loadable"))
 
 
-def order_attrs(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        granule_id("o_orderkey"), F.explode(F.array(
+def order_attrs(orders: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    rows = orders.select(granule_id("o_orderkey"), "o_orderstatus")
+    if ids is not None:
+        rows = _dealt(rows, ids)
+    return rows.select(
+        "granule_id", F.explode(F.array(
             F.struct(F.lit("").alias("scope"), F.lit("title").alias("key"),
                      F.lit('"orders"').alias("value_json")),
             F.struct(F.lit("").alias("scope"), F.lit("status").alias("key"),
@@ -173,10 +183,17 @@ def manifest_coords(spark: SparkSession, sf_dir: str) -> Manifest:
                       chunk_refs=base.chunk_refs.unionByName(chunks))
 
 
-def manifest_new(spark: SparkSession, sf_dir: str) -> Manifest:
-    """Granules of equal shape for a new axis: ``line`` is as long as the highest line number."""
+def manifest_new(spark: SparkSession, sf_dir: str, batch: DataFrame | None = None) -> Manifest:
+    """Granules of equal shape for a new axis: ``line`` is as long as the highest line number of all.
+
+    ``batch``, granules that arrived together, leaves the manifest of these. Their rows are taken before
+    they are grouped or made several, as a reader of their files would give them.
+    """
     lines, orders = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders")
+    wanted = None if batch is None else hashed_side(batch.select("granule_id"))
     ids = orders.select(granule_id("o_orderkey"))
+    if wanted is not None:
+        ids = _dealt(ids, wanted)
     longest = lines.agg(F.max("l_linenumber").cast("bigint")).scalar()
     sized = ids.withColumn("size", longest)
     one, four = F.lit(1), F.lit(4)
@@ -185,8 +202,8 @@ def manifest_new(spark: SparkSession, sf_dir: str) -> Manifest:
         ("lat", "y", four, four, True), ("crs", "y", four, four, True)])
     dims = sized.select("granule_id", F.lit("line").alias("dim"), "size").unionByName(
         ids.select("granule_id", F.lit("y").alias("dim"), F.lit(4).cast("bigint").alias("size")))
-    chunks = _line_chunks(lines).unionByName(_order_chunks(orders, ["lat", "crs"]))
-    return Manifest(dims, variables, order_attrs(orders), chunks,
+    chunks = _line_chunks(lines, wanted).unionByName(_order_chunks(orders, ["lat", "crs"], wanted))
+    return Manifest(dims, variables, order_attrs(orders, wanted), chunks,
                     local_frame(spark, [], COORD_VALUES))
 
 

@@ -527,11 +527,15 @@ def append_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Granule files arrive twice; the stream is started anew for each arrival."""
     store = CombinedStore(spark, scratch_path(spark, "store"), SECONDS)
     arriving, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "progress")
-    manifest: Manifest = b.manifest_new(spark, sf)
+
+    def manifest_for(batch: DataFrame) -> Manifest:
+        # A micro-batch is read with all its columns at each use, so its ids are written once.
+        return b.manifest_new(spark, sf, materialize(batch.select("granule_id"), "batch"))
+
     for part in _halves(spark, sf):
         part.write.mode("append").parquet(arriving)
         stream = spark.readStream.schema(part.schema).parquet(arriving)
-        store.append_stream(stream, lambda batch: manifest, checkpoint).trigger(
+        store.append_stream(stream, manifest_for, checkpoint).trigger(
             availableNow=True).start().awaitTermination()
     return _chunks(store.read())
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NumericType, StringType, StructType
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -94,6 +96,17 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> None:
+    """Run jobs that do not need each other at once: the last tasks of one leave no core idle.
+
+    All of them have ended when this returns or raises the first error.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for job in running:
+        job.result()
+
+
 def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A few rows as a DataFrame that holds them itself.
 
@@ -107,16 +120,26 @@ def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` of text.
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` of text and numbers.
 
     Two sums, aggregated in the tasks; no row leaves them.
     """
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    size = df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    size = _size(df)
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
+def _size(df: DataFrame) -> Row:
+    # Plain columns need no text to be measured; keys of many granules are measured several times a batch.
+    plain = [f.name for f in df.schema if isinstance(f.dataType, (StringType, NumericType))]
+    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    nested = [c for c in df.columns if c not in plain]
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(8 * len(plain)))
+    if nested:
+        width += F.octet_length(F.to_json(F.struct(*nested)))
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS,
                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast if it is small enough now.
@@ -125,3 +148,18 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS,
     adaptive execution splits.
     """
     return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
+
+
+def hashed_side(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """As ``small_side``; a side that is larger, but small enough in each shuffle partition, is hashed there.
+
+    Its keys must be unique or the join must only ask for them, since they have to spread evenly. The
+    other side, which is larger by far, is then not sorted.
+    """
+    size, parts = _size(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if size["rows"] <= max_rows and size["bytes"] <= max_bytes:
+        return F.broadcast(df)
+    if size["rows"] <= max_rows * parts and size["bytes"] <= max_bytes * parts:
+        return df.hint("shuffle_hash")
+    return df

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,9 @@ from ..operators.attrs import attr_summary, merge_attrs
 from ..operators.combine import (MODES, Mode, axis_inputs, axis_sizes, axis_table, combine_chunks,
                                  combine_coord_values, combined_variables, roles, with_axis_attrs)
 from ..operators.coords import with_auxiliary
-from ..operators.quality import compat_gate, reference_variables
+from ..operators.quality import compat_gate
 from ..schemas import Dataset, Manifest
-from ..session import fits, local_frame, materialize, small_side
+from ..session import fits, hashed_side, local_frame, materialize, small_side, together
 from .log import CommitLog, ConflictingWriter, Part, Version, full_tiers
 
 _COMMITS = "batch_id BIGINT, granules BIGINT, axis_size BIGINT"
@@ -81,28 +82,33 @@ class CombinedStore:
 
         order = [*self.prefix, "search_rank"]
         if first_batch:
-            reference = with_auxiliary(reference_variables(manifest.variables, new, order),
-                                       manifest.attrs)
+            # A value, not a subquery: it reaches both sides of whatever joins the manifest consists of.
+            head = new.agg(F.min_by("granule_id", F.struct(*order))).first()[0]
+            reference = with_auxiliary(manifest.variables.where(F.col("granule_id") == head), manifest.attrs)
             self._write(reference, "reference", part)
         reference = self._table("reference", [part if first_batch else base.reference])
-        if self.gate:
-            compat_gate(self._only(manifest, new), new,
-                        None if self.mode.new_axis else self.mode.axis, order,
-                        reference=reference)
         sizes = None if self.mode.new_axis else axis_sizes(manifest.dims, self.mode.axis)
-        index = axis_table(new, self.mode, sizes, base.granules, base.axis_size, prefix=self.prefix)
-        self._write(index, "axis", part)
-        index = self._table("axis", [part])
+        jobs = [partial(self._write, axis_table(new, self.mode, sizes, base.granules, base.axis_size,
+                                                prefix=self.prefix), "axis", part)]
+        if self.gate:
+            jobs.append(partial(compat_gate, self._only(manifest, new), new,
+                                None if self.mode.new_axis else self.mode.axis, order,
+                                reference=reference))
+        together(self.spark, *jobs)
 
+        index = self._table("axis", [part])
         role = small_side(roles(reference, self.mode))
-        place = small_side(index.select("granule_id", "ordinal", "axis_offset", "axis_size"))
-        self._write(combine_chunks(manifest.chunk_refs, role, place), "chunk_refs", part)
-        self._write(combine_coord_values(manifest.coord_values, role, place), "coord_values", part)
+        place = hashed_side(index.select("granule_id", "ordinal", "axis_offset", "axis_size"))
         ids = place.select("granule_id")
-        self._write(attr_summary(manifest.attrs.join(ids, "granule_id", "left_semi")), "attrs", part)
-        first = index.where(F.col("ordinal") == 0).select("granule_id")
-        self._write(manifest.dims.join(F.broadcast(first), "granule_id", "left_semi")
-                    .select("dim", "size"), "dims", part)
+        # Only the first batch has granule 0, whose dimensions are kept.
+        zero = index.where(F.col("ordinal") == 0).first() if first_batch else None
+        tables = {
+            "chunk_refs": combine_chunks(manifest.chunk_refs, role, place, self.mode),
+            "coord_values": combine_coord_values(manifest.coord_values, role, place, self.mode),
+            "attrs": attr_summary(manifest.attrs.join(ids, "granule_id", "left_semi")),
+            "dims": manifest.dims.where(F.col("granule_id") == zero["granule_id"] if zero else F.lit(False))
+            .select("dim", "size")}
+        together(self.spark, *[partial(self._write, table, name, part) for name, table in tables.items()])
         added = index.agg(F.count(F.lit(1)), F.sum("axis_size")).first()
         self._commit(base, part, batch_id, added[0], added[1])
         return added[0]
@@ -130,8 +136,11 @@ class CombinedStore:
 
     @staticmethod
     def _only(manifest: Manifest, granules: DataFrame) -> Manifest:
-        ids = small_side(granules.select("granule_id"))
-        return manifest.with_(variables=manifest.variables.join(ids, "granule_id", "left_semi"))
+        ids = granules.select("granule_id")
+        # The gate asks for these granules only; without a broadcast, its counts move fewer rows than a join.
+        if not fits(ids):
+            return manifest
+        return manifest.with_(variables=manifest.variables.join(F.broadcast(ids), "granule_id", "left_semi"))
 
     def _write(self, table: DataFrame, name: str, part: str) -> None:
         table.write.option("compression", "zstd").parquet(f"{self.root}/{name}/{part}")

@@ -2,9 +2,11 @@ import pytest
 from conftest import granule, granules, manifest, rows, variable
 from pyspark.sql import functions as F
 
+from chunkatlas import session
 from chunkatlas.operators import combine as combine_module
 from chunkatlas.operators.combine import combine
 from chunkatlas.operators.quality import IncompatibleGranules
+from chunkatlas.plans import bindings, queries
 from chunkatlas.streaming import CombinedStore
 from chunkatlas.streaming import append as module
 from chunkatlas.streaming.log import CommitLog, ConflictingWriter, Part, Version, full_tiers, tier
@@ -195,3 +197,62 @@ def test_arrivals_without_their_records(spark, folder, found, facts):
     kept = store._new(found, Version(-1, -1, 0, 0, None, ()))
     assert sorted(kept.columns) == ["begin", "begin_raw", "granule_id", "search_rank"]
     assert rows(kept, "granule_id") == [(g,) for g in SIZES]
+
+
+def tables_of_orders(spark, folder):
+    """Orders and lines as the queries' tables have them; order 9 has no lines."""
+    spark.sql("""select id as o_orderkey, id % 3 as o_custkey, if(id % 2 = 0, 'O', 'F') as o_orderstatus,
+        id * 1.5D as o_totalprice, timestamp'1998-05-25' + make_interval(0, 0, 0, int(id)) as o_orderdate,
+        '1-URGENT' as o_orderpriority from range(14)""").write.parquet(f"{folder}/orders.parquet")
+    spark.sql("""select o.id as l_orderkey, l.id + o.id * 10 as l_partkey, int(l.id % 3) + 1 as l_linenumber,
+        double(l.id) as l_quantity, if(o.id % 4 = 0, 'O', 'F') as l_linestatus
+        from range(14) o, range(5) l where o.id <> 9""").write.parquet(f"{folder}/lineitem.parquet")
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_stream_batches_get_their_own_manifest(spark, folder, monkeypatch, limit):
+    """A micro-batch costs what its granules cost, however many the tables have, by any kind of join."""
+    tables_of_orders(spark, folder)
+    for sized in (session.fits, session.small_side, session.hashed_side):
+        monkeypatch.setattr(sized, "__defaults__", (limit, *sized.__defaults__[1:]))
+    if limit == 2:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    seen, real = [], CombinedStore.append
+
+    def watched(self, manifest, granules, batch_id):
+        ids = {row[0] for row in granules.select("granule_id").collect()}
+        seen.append(ids)
+        for name in ("dims", "variables", "attrs", "chunk_refs"):
+            assert {row[0] for row in getattr(manifest, name).select("granule_id").collect()} <= ids, name
+        return real(self, manifest, granules, batch_id)
+    monkeypatch.setattr(CombinedStore, "append", watched)
+    try:
+        ours = rows(queries.append_stream(spark, folder))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen == [{str(i) for i in range(7)}, {str(i) for i in range(7, 14)}]
+    whole = combine(bindings.manifest_new(spark, folder), bindings.granules(spark, folder), "seconds")
+    assert ours == rows(queries._chunks(whole)) and len(ours) == 13 * 3 + 14 + 1
+
+
+def test_larger_sides_are_hashed_by_partition(spark):
+    table = spark.range(40).withColumnRenamed("id", "k")
+
+    def kind(rows_):
+        plan = table.join(session.hashed_side(table, max_rows=rows_), "k")._jdf.queryExecution().toString()
+        return next(k for k in ("BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin") if k in plan)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [kind(n) for n in (40, 10, 9)] == ["BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_jobs_that_run_together_all_end(spark):
+    done = []
+
+    def broken():
+        raise OSError("lost")
+    with pytest.raises(OSError):
+        session.together(spark, broken, lambda: done.append(spark.range(3).count()))
+    assert done == [3]
