@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chunkatlas.functions import granule_fields
 from chunkatlas.operators.ordering import assign_batches, first_k, with_ordinal
+from chunkatlas.operators import overlap as overlap_module
 from chunkatlas.operators.overlap import overlap_pairs, range_bins
 from chunkatlas.schemas import SEARCH_SPECS
 from chunkatlas.session import local_frame
@@ -90,6 +91,57 @@ def test_globs_meet_by_their_ends(spark, monkeypatch):
     assert rows(pairs.where("NOT _open"), "spec_no", "name") == [p for p in plain if p[0] not in (8, 9)]
 
 
+def moved_rows(plan):
+    """Rows written by all exchanges of a plan that was run."""
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return moved_rows(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return moved_rows(plan.plan())
+    below = sum(moved_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+    return below + (plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0)
+
+
+def test_granules_do_not_move_once_per_bin(spark, monkeypatch):
+    """Where specs are too many to be broadcast, a granule moves a few times, however its days are cut."""
+    draw = random.Random(5)
+    day = dt.date(2021, 1, 1)
+
+    def date(n):
+        return day + dt.timedelta(days=n)
+
+    found = []
+    for i in range(400):
+        begin = draw.randrange(1000)
+        found.append(granule(f"g{i}", i, f"{date(begin)}T05:00:00Z", f"{date(begin + draw.randrange(30))}T04:00:00Z",
+                             name=f"{draw.choice('abcd')}_{i}.nc"))
+    found += [granule("long", 400, "1850-01-01T00:00:00Z", "2100-01-01T00:00:00Z", name="a_x.nc"),
+              granule("reversed", 401, f"{date(400)}T00:00:00Z", f"{date(300)}T00:00:00Z", name="b_x.nc"),
+              granule("never", 402, None, None, name="a_y.nc")]
+    table = granules(spark, found)
+    specs = []
+    for i in range(150):
+        low = draw.randrange(1000)
+        specs.append(("C", i, "C", draw.choice(["a*", "b*", "?_1*.nc", "x*"]), draw.choice([None, *[date(low)] * 6]),
+                      draw.choice([None, *[date(low + draw.choice([-50, 0, 30, 200]))] * 6])))
+    specs += [("C", 150 + i, "C", "a_*", date(100), date(500)) for i in range(40)]
+    frame = local_frame(spark, specs, SEARCH_SPECS)
+    monkeypatch.setattr(catalog_module, "DIRECT", 10 ** 6)
+    plain = rows(search_specs(table, frame), "spec_no", "granule_id")
+    monkeypatch.setattr(catalog_module, "DIRECT", 0)
+    monkeypatch.setattr(overlap_module, "BROADCAST_ROWS", 0, raising=False)
+    monkeypatch.setattr(overlap_module, "small_side", lambda df: df if "_bin" in df.columns else F.broadcast(df))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = search_specs(table, frame).select("spec_no", "granule_id")
+        assert rows(pairs) == plain
+        assert len(set(plain)) == len(plain) > 2000
+        # One move spreads the granules' file, one meets the specs.
+        assert moved_rows(pairs._jdf.queryExecution().executedPlan()) < 6 * len(found) + 30 * len(specs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_bins_are_disjoint_and_complete(spark):
     ranges = [(0, 0), (0, 65535), (1, 1), (3, 12), (5, 4), (65535, 65535), (7, 40000)]
     table = spark.createDataFrame(ranges, "a INT, b INT")
